@@ -1,0 +1,107 @@
+"""The model graph over the bound test tables, built lazily.
+
+``Pipeline(spark, sf_dir).fct_rent_trends`` is a DataFrame whose plan reaches
+back to the parquet scans; nothing runs until an action.
+"""
+
+from __future__ import annotations
+
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession
+
+from hearth.plans import bindings, intermediate, marts, staging
+
+
+class Pipeline:
+    def __init__(self, spark: SparkSession, sf_dir: str, median_strategy: str = "auto"):
+        self.spark = spark
+        self.sf_dir = sf_dir
+        self.median_strategy = median_strategy
+
+    def table(self, name: str) -> DataFrame:
+        return bindings.table(self.spark, self.sf_dir, name)
+
+    # raw ------------------------------------------------------------------
+    @cached_property
+    def raw(self) -> DataFrame:
+        return bindings.raw_records(self.spark, self.sf_dir)
+
+    # staging --------------------------------------------------------------
+    @cached_property
+    def stg_rent_prices(self) -> DataFrame:
+        return staging.stg_rent_prices(bindings.rent_wide_raw(self.spark, self.sf_dir))
+
+    @cached_property
+    def stg_inventory(self) -> DataFrame:
+        return staging.stg_inventory(bindings.inventory_wide_raw(self.spark, self.sf_dir))
+
+    @cached_property
+    def stg_listing_snapshots(self) -> DataFrame:
+        return staging.stg_listing_snapshots(bindings.listings_raw(self.spark, self.sf_dir))
+
+    @cached_property
+    def stg_permits(self) -> DataFrame:
+        return staging.stg_permits(bindings.permits_raw(self.spark, self.sf_dir))
+
+    @cached_property
+    def stg_neighborhood_housing(self) -> DataFrame:
+        return staging.stg_neighborhood_housing(bindings.housing_raw(self.spark, self.sf_dir))
+
+    @cached_property
+    def stg_transit_access(self) -> DataFrame:
+        return staging.stg_transit_access(bindings.stations_raw(self.spark, self.sf_dir))
+
+    # intermediate -----------------------------------------------------------
+    @cached_property
+    def int_zip_month_market_signals(self) -> DataFrame:
+        return intermediate.int_zip_month_market_signals(self.stg_rent_prices, self.stg_inventory)
+
+    @cached_property
+    def int_neighborhood_development_signals(self) -> DataFrame:
+        return intermediate.int_neighborhood_development_signals(self.stg_neighborhood_housing, self.stg_permits)
+
+    @cached_property
+    def int_transit_access_by_borough(self) -> DataFrame:
+        return intermediate.int_transit_access_by_borough(self.stg_transit_access)
+
+    # marts ------------------------------------------------------------------
+    @cached_property
+    def dim_listings(self) -> DataFrame:
+        return marts.dim_listings(self.stg_listing_snapshots)
+
+    @cached_property
+    def dim_neighborhoods(self) -> DataFrame:
+        return marts.dim_neighborhoods(self.stg_listing_snapshots, self.int_neighborhood_development_signals)
+
+    @cached_property
+    def fct_listing_history(self) -> DataFrame:
+        return marts.fct_listing_history(self.stg_listing_snapshots)
+
+    @cached_property
+    def fct_rent_trends(self) -> DataFrame:
+        return marts.fct_rent_trends(self.int_zip_month_market_signals)
+
+    @cached_property
+    def mart_affordability(self) -> DataFrame:
+        return marts.mart_affordability(self.fct_rent_trends)
+
+    @cached_property
+    def mart_development_activity(self) -> DataFrame:
+        return marts.mart_development_activity(self.int_neighborhood_development_signals)
+
+    @cached_property
+    def mart_inventory_churn(self) -> DataFrame:
+        return marts.mart_inventory_churn(self.fct_listing_history, self.median_strategy)
+
+    @cached_property
+    def mart_transit_price_effect(self) -> DataFrame:
+        return marts.mart_transit_price_effect(
+            self.stg_listing_snapshots, self.int_transit_access_by_borough, self.median_strategy
+        )
+
+    @cached_property
+    def mart_neighborhood_scorecard(self) -> DataFrame:
+        return marts.mart_neighborhood_scorecard(
+            self.dim_neighborhoods, self.fct_rent_trends, self.mart_inventory_churn, self.mart_development_activity
+        )
