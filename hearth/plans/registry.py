@@ -64,6 +64,8 @@ def render_sql(source: str, columns: str) -> str:
             out.append(f"cast({n} AS BIGINT) AS {n}")
         elif kind == "a":
             out.append(f"to_json({n}) AS {n}")
+        elif kind == "m":
+            out.append(f"to_json(list_sort(map_entries({n}))) AS {n}")
         else:
             out.append(n)
     return f"SELECT {', '.join(out)} FROM {source}"
@@ -112,3 +114,7 @@ def _model(name: str) -> SparkQuery:
 
 for _name, _cols in MODEL_COLUMNS.items():
     register_fragment(_name, _cols, _model(_name), _name)
+
+
+# operator-level and source-level keys register themselves on import
+from hearth.plans import queries_ops as _ops  # noqa: E402,F401
