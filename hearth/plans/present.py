@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+KEEP_NULLS = {"ignoreNullFields": "false"}
+
+
 def checkable(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
@@ -24,9 +27,9 @@ def checkable(df: DataFrame) -> DataFrame:
         elif isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             c = c.cast("string")
         elif isinstance(t, T.MapType):
-            c = F.to_json(F.array_sort(F.map_entries(c)))
+            c = F.to_json(F.array_sort(F.map_entries(c)), KEEP_NULLS)
         elif isinstance(t, (T.ArrayType, T.StructType)):
-            c = F.to_json(c)
+            c = F.to_json(c, KEEP_NULLS)
         elif isinstance(t, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("long")
         elif isinstance(t, T.FloatType):

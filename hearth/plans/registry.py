@@ -118,3 +118,4 @@ for _name, _cols in MODEL_COLUMNS.items():
 
 # operator-level and source-level keys register themselves on import
 from hearth.plans import queries_ops as _ops  # noqa: E402,F401
+from hearth.plans import queries_io as _io  # noqa: E402,F401

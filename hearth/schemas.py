@@ -37,6 +37,9 @@ RAW_JSONL_SCHEMA = T.StructType(
     ]
 )
 
+# Landed layout: the JSONL schema plus the ``ingest_date`` path column.
+LANDED_SCHEMA = T.StructType(RAW_JSONL_SCHEMA.fields + [T.StructField("ingest_date", T.StringType(), True)])
+
 AUDIT_SCHEMA = T.StructType(
     [
         T.StructField("load_id", T.StringType(), False),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearth.schemas import RAW_JSONL_SCHEMA
+from hearth.schemas import LANDED_SCHEMA
 
 BOM = "﻿"
 
@@ -85,7 +85,7 @@ def read_normalized(spark: SparkSession, root: str, file_pattern: str | None = N
     parsed tolerantly (bad text -> NULL).  ``original_s3_key`` falls back to the
     file each row came from.
     """
-    schema = T.StructType(RAW_JSONL_SCHEMA.fields + ([T.StructField("_corrupt_record", T.StringType())] if keep_rejects else []))
+    schema = T.StructType(LANDED_SCHEMA.fields + ([T.StructField("_corrupt_record", T.StringType())] if keep_rejects else []))
     reader = spark.read.schema(schema).option("mode", "PERMISSIVE" if keep_rejects else "DROPMALFORMED")
     if file_pattern:
         reader = reader.option("pathGlobFilter", file_pattern)

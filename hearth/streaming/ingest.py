@@ -15,13 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.operators.merge import insert_ignore, merge_insert
-from hearth.schemas import ENVELOPE_KEYS, RAW_JSONL_SCHEMA
+from hearth.schemas import ENVELOPE_KEYS, LANDED_SCHEMA
 from hearth.sources.sinks import read_current, write_version
 
 
 def landed_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Stream of raw records from JSONL landed under ``root`` (hive layout)."""
-    reader = spark.readStream.schema(RAW_JSONL_SCHEMA).option("mode", "DROPMALFORMED").option("recursiveFileLookup", "true")
+    reader = spark.readStream.schema(LANDED_SCHEMA).option("mode", "DROPMALFORMED")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.json(root)
