@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,18 +74,6 @@ def _median_builtin(counts: DataFrame, keys: Sequence[str], alias: str) -> DataF
     return counts.groupBy(*keys).agg(F.percentile(F.col("__v"), 0.5, F.col("__c")).alias(alias))
 
 
-def _running_end(batches):
-    total = 0
-    for pdf in batches:
-        if len(pdf):
-            ends = pdf["__c"].cumsum() + total
-            total = int(ends.iloc[-1])
-            pdf = pdf.assign(__end=ends.astype("int64"))
-        else:
-            pdf = pdf.assign(__end=pd.Series([], dtype="int64"))
-        yield pdf
-
-
 def _median_ranked(counts: DataFrame, keys: Sequence[str], alias: str, partitions: int | None) -> DataFrame:
     """Rank selection: sort (keys, value) across range partitions, prefix-sum the
     multiplicities, and pick the one or two middle ranks of every group.
@@ -94,6 +81,21 @@ def _median_ranked(counts: DataFrame, keys: Sequence[str], alias: str, partition
     A hot group spreads over many range partitions; no task ever holds a whole
     group.  The only single-task step works on one row per range partition.
     """
+    # Defined here so it is shipped to the Python workers by value: executors
+    # need pandas, not this package.
+    def _running_end(batches):
+        import pandas as pd
+
+        total = 0
+        for pdf in batches:
+            if len(pdf):
+                ends = pdf["__c"].cumsum() + total
+                total = int(ends.iloc[-1])
+                pdf = pdf.assign(__end=ends.astype("int64"))
+            else:
+                pdf = pdf.assign(__end=pd.Series([], dtype="int64"))
+            yield pdf
+
     spark = counts.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = counts.repartitionByRange(n_parts, *keys, "__v").sortWithinPartitions(*keys, "__v")

@@ -42,7 +42,10 @@ def payload_from_columns(df: DataFrame, columns: Sequence[str] | None = None) ->
             values.append(F.to_json(c))
         else:
             values.append(c.cast("string"))
-    return F.map_from_arrays(F.array(*[F.lit(n) for n in cols]), F.array(*values))
+    kv = []
+    for n, v in zip(cols, values):
+        kv += [F.lit(n), v]
+    return F.create_map(*kv)
 
 
 def key_part(payload: Column, key: str) -> Column:

@@ -70,7 +70,13 @@ def _money_text(c: Column, precision: int = 12) -> Column:
 
 
 def _payload(entries: dict[str, Column]) -> Column:
-    return F.map_from_arrays(F.array(*[F.lit(k) for k in entries]), F.array(*[v.cast("string") for v in entries.values()]))
+    # create_map (not map_from_arrays): Catalyst folds payload['key'] on a
+    # literal-keyed map into the value expression, so readers that only pick
+    # fields never build the map.
+    kv = []
+    for k, v in entries.items():
+        kv += [F.lit(k), v.cast("string")]
+    return F.create_map(*kv)
 
 
 def _run_of_year(ts: Column) -> Column:
