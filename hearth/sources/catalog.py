@@ -10,6 +10,7 @@ CREATE TABLE IF NOT EXISTS {name} (
   extracted_at STRING, ingested_at STRING, original_s3_key STRING, payload MAP<STRING, STRING>,
   dataset_name STRING, ingest_date STRING, run_id STRING
 ) USING json
+OPTIONS (mode 'DROPMALFORMED')
 PARTITIONED BY (dataset_name, ingest_date, run_id)
 LOCATION '{root}'
 """
@@ -17,7 +18,8 @@ LOCATION '{root}'
 
 def register_raw_table(spark: SparkSession, name: str, root: str) -> DataFrame:
     """Register the landed layout as a partitioned table and discover its
-    partitions (a new table sees no rows until the repair).  A filter on
+    partitions (a new table sees no rows until the repair).  Malformed lines
+    are skipped, as in ``read_normalized``.  A filter on
     ``dataset_name`` then prunes whole directories."""
     spark.sql(RAW_TABLE_DDL.format(name=name, root=root.replace("'", "\\'")))
     spark.catalog.recoverPartitions(name)
