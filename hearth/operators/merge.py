@@ -20,22 +20,50 @@ class DuplicateKeyError(ValueError):
     pass
 
 
-def merge_insert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+# At most this many distinct partition values are lifted from a batch into a
+# literal filter on the target; past it the target is read whole.
+PRUNE_MAX_VALUES = 1000
+
+
+def _candidates(target: DataFrame, batch: DataFrame, prune_on: str | None) -> DataFrame:
+    """The part of the target that can match the batch.
+
+    ``prune_on`` names a key column that is also a partition column of the
+    target (``dataset_name`` on the landed layout).  The batch's distinct
+    values are checked to be few, then become a literal IN filter, so the scan
+    of a large target skips every other partition folder."""
+    if prune_on is None or prune_on not in target.columns or prune_on not in batch.columns:
+        return target
+    values = batch.select(prune_on).distinct().limit(PRUNE_MAX_VALUES + 1).collect()
+    if len(values) > PRUNE_MAX_VALUES or any(v[0] is None for v in values):
+        return target
+    return target.where(F.col(prune_on).isin([v[0] for v in values]))
+
+
+def merge_insert(
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], prune_on: str | None = "dataset_name"
+) -> DataFrame:
     """Insert batch rows whose key is absent from the target; matched rows are
     untouched.  Duplicates inside the batch are all inserted (the source of a
-    MERGE is not de-duplicated)."""
-    new_rows = batch.join(target.select(*keys), list(keys), "left_anti")
+    MERGE is not de-duplicated).  Only the key columns of the target are
+    shuffled, and only from the partitions the batch touches."""
+    existing = _candidates(target, batch, prune_on if prune_on in keys else None)
+    new_rows = batch.join(existing.select(*keys), list(keys), "left_anti")
     return target.unionByName(new_rows.select(*target.columns))
 
 
 def insert_ignore(
-    target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[OrderSpec] | None = None
+    target: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[OrderSpec] | None = None,
+    prune_on: str | None = "dataset_name",
 ) -> DataFrame:
     """INSERT ... ON CONFLICT DO NOTHING: like ``merge_insert`` but duplicates
     inside the batch also collapse, the first under ``order`` winning (give a
     unique tie-break for a reproducible choice)."""
     first = latest_by(batch, keys, order) if order else batch.dropDuplicates(list(keys))
-    return merge_insert(target, first, keys)
+    return merge_insert(target, first, keys, prune_on)
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str | Sequence[str], check_unique: bool = True) -> DataFrame:

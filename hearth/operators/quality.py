@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hearth.operators.aggregates import count_when
+from hearth.session import ensure_checkpoint_dir
 
 # The check names of the validation gate.
 RECORD_COUNTS = "raw_record_counts"
@@ -116,20 +117,44 @@ def _row(check: str, failed: Column, detail_fail: Column, detail_pass: str = "pa
     ]
 
 
+def hash_groups(raw: DataFrame, price_dataset: str = "listing_snapshots", price_field: str = "rent") -> DataFrame:
+    """The one aggregation every gate check is derived from:
+    rows, newest ingest time and unparseable prices per (dataset, hash, run).
+    The shuffle is keyed by the hash, so no dataset lands in one task."""
+    invalid = (F.col("dataset_name") == price_dataset) & F.col("payload").getItem(price_field).try_cast("double").isNull()
+    return raw.groupBy("dataset_name", "record_hash", "run_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max("ingested_at").alias("latest_ingested_at"),
+        count_when(invalid).alias("invalid_price"),
+    )
+
+
 def quality_report(
     raw: DataFrame,
     required: Sequence[str],
     checks: Sequence[str] = KNOWN_CHECKS,
     price_dataset: str = "listing_snapshots",
     price_field: str = "rent",
+    materialize: bool = True,
 ) -> DataFrame:
     """(check_name, state, detail) per requested check; unknown names are
-    ``not_applicable``.  Each metric is a global aggregate (one row)."""
+    ``not_applicable``.
+
+    All checks derive from one aggregate of the raw table.  Each check prunes
+    that aggregate differently, so Catalyst would plan (and scan the raw table)
+    once per check; with ``materialize`` the aggregate is checkpointed once to
+    the shared checkpoint folder and every check reads it from there."""
+    groups = hash_groups(raw, price_dataset, price_field)
+    if materialize:
+        ensure_checkpoint_dir(raw.sparkSession)
+        groups = groups.checkpoint(eager=True)
+    per_dataset = groups.groupBy("dataset_name").agg(
+        F.sum("n").alias("record_count"), F.sum("invalid_price").alias("invalid_price")
+    )
     parts: list[DataFrame] = []
     for check in checks:
         if check == RECORD_COUNTS:
-            c = record_counts(raw)
-            m = c.agg(
+            m = per_dataset.agg(
                 F.count(F.lit(1)).alias("n"),
                 F.array_join(F.sort_array(F.collect_list(F.when(F.col("record_count") <= 0, F.col("dataset_name")))), ", ").alias("empty"),
             )
@@ -137,21 +162,27 @@ def quality_report(
             detail = F.when(F.col("n") == 0, F.lit("no raw records found")).otherwise(F.concat(F.lit("empty datasets "), F.col("empty")))
             parts.append(m.select(*_row(check, failed, detail)))
         elif check == REQUIRED_PRESENCE:
-            m = required_datasets(raw, required)
+            m = per_dataset.where(F.col("dataset_name").isin(list(required))).agg(
+                F.count(F.lit(1)).alias("loaded_dataset_count")
+            )
             n = F.col("loaded_dataset_count")
             detail = F.format_string(f"loaded %d of {len(required)} required datasets", n)
             parts.append(m.select(*_row(check, n < len(required), detail)))
         elif check == DUPLICATE_HASHES:
-            d = duplicate_hashes(raw, 100)
-            first5 = d.limit(5).agg(
-                F.count(F.lit(1)).alias("n"),
-                F.array_join(
-                    F.sort_array(F.collect_list(F.concat_ws(":", "dataset_name", "record_hash", "run_id"))), ", "
-                ).alias("examples"),
+            first5 = (
+                groups.where(F.col("n") > 1)
+                .orderBy("dataset_name", "record_hash", "run_id")
+                .limit(5)
+                .agg(
+                    F.count(F.lit(1)).alias("n"),
+                    F.array_join(
+                        F.sort_array(F.collect_list(F.concat_ws(":", "dataset_name", "record_hash", "run_id"))), ", "
+                    ).alias("examples"),
+                )
             )
             parts.append(first5.select(*_row(check, F.col("n") > 0, F.col("examples"))))
         elif check == PRICE_QUALITY:
-            m = unparseable(raw, price_dataset, price_field)
+            m = per_dataset.agg(F.coalesce(F.sum("invalid_price"), F.lit(0)).alias("invalid_count"))
             n = F.col("invalid_count")
             detail = F.format_string("%d listing snapshots have invalid rent", n)
             parts.append(m.select(*_row(check, n > 0, detail)))

@@ -60,3 +60,88 @@ def rolling_stddev(c: str, keys: Sequence[str], order: Sequence[OrderSpec], rows
     are skipped and fewer than two values give NULL."""
     w = ordered_window(keys, order).rowsBetween(-(rows - 1), Window.currentRow)
     return F.stddev_samp(F.col(c).cast("double")).over(w)
+
+
+# ---------------------------------------------------------------------------
+# lag that survives hot keys
+
+# Rows per key up to which a plain window is used.  A window puts each key in
+# one task; past this bound the range-partitioned form below is used.
+LAG_WINDOW_MAX_ROWS = 1_000_000
+
+
+def _ascending_only(order: Sequence[OrderSpec]) -> bool:
+    return all(isinstance(o, str) or o[1].lower() != "desc" for o in order)
+
+
+def _name(o: OrderSpec) -> str:
+    return o if isinstance(o, str) else o[0]
+
+
+def _lag_ranked(
+    df: DataFrame, keys: Sequence[str], order: Sequence[OrderSpec], lags: Sequence[tuple[str, str]], partitions: int | None
+) -> DataFrame:
+    """lag(c, 1) without putting a key in one task.
+
+    Rows are range-partitioned on (keys, order), so a hot key spreads over
+    several partitions.  The lag is taken per (partition, key) and the first
+    row of each piece takes its predecessor from the last row of the previous
+    non-empty partition: a table with one row per partition, broadcast because
+    its size is bounded by the partition count.
+    """
+    spark = df.sparkSession
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sort_cols = [F.col(k).asc_nulls_last() for k in keys] + [_order(o) for o in order]
+    ranked = df.repartitionByRange(n_parts, *sort_cols).withColumn("__pid", F.spark_partition_id())
+    w = Window.partitionBy("__pid", *keys).orderBy(*[_order(o) for o in order])
+    local = ranked.select(
+        "*", F.row_number().over(w).alias("__pos"), *[F.lag(src, 1).over(w).alias(f"__lag_{out}") for src, out in lags]
+    )
+    # position of a row in the (keys asc nulls last, order asc nulls last) sort, as a comparable struct
+    rank_key = F.struct(*[F.struct(F.col(c).isNull(), F.col(c)) for c in [*keys, *map(_name, order)]])
+    payload = F.struct(*[F.col(k).alias(k) for k in keys], *[F.col(src).alias(f"v_{out}") for src, out in lags])
+    last = ranked.groupBy("__pid").agg(F.max_by(payload, rank_key).alias("__last"))
+    prev = last.select("__pid", F.lag("__last").over(Window.orderBy("__pid")).alias("__prev"))
+    joined = local.join(F.broadcast(prev), "__pid", "left")
+    same = None
+    for k in keys:
+        term = F.col("__prev").getField(k).eqNullSafe(F.col(k))
+        same = term if same is None else same & term
+    first = (F.col("__pos") == 1) & F.col("__prev").isNotNull() & same
+    out = joined.select(
+        *df.columns,
+        *[F.when(first, F.col("__prev").getField(f"v_{o}")).otherwise(F.col(f"__lag_{o}")).alias(o) for _, o in lags],
+    )
+    return out
+
+
+def with_lags(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[OrderSpec],
+    lags: Sequence[tuple[str, str]],
+    strategy: str = "auto",
+    max_rows_per_key: int = LAG_WINDOW_MAX_ROWS,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Add ``lag(source, 1)`` columns, as ``(source, output)`` pairs.
+
+    ``window``: one window per key (fine while keys are bounded).  ``ranked``:
+    range-partitioned, no task ever holds a whole key (ascending orders only).
+    ``auto``: measure the largest key first (one aggregation) and pick.
+    The order should end in a unique column so the predecessor is defined.
+    """
+    if strategy == "auto":
+        if not _ascending_only(order):
+            strategy = "window"
+        else:
+            widest = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
+            strategy = "window" if widest is None or widest <= max_rows_per_key else "ranked"
+    if strategy == "window":
+        w = ordered_window(keys, order)
+        return df.select("*", *[F.lag(src, 1).over(w).alias(out) for src, out in lags])
+    if strategy == "ranked":
+        if not _ascending_only(order):
+            raise ValueError("the ranked lag supports ascending orders only")
+        return _lag_ranked(df, keys, order, lags, partitions)
+    raise ValueError(f"unknown lag strategy {strategy!r}")

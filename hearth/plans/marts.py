@@ -9,7 +9,7 @@ from hearth.functions import any_band, band, days_between, surrogate_key
 from hearth.operators.aggregates import aggregate_with_median, any_stable, count_when, mean
 from hearth.operators.joins import full_outer_coalesce, lookup
 from hearth.operators.merge import incremental
-from hearth.operators.windows import latest_by, ordered_window
+from hearth.operators.windows import latest_by, ordered_window, with_lags
 
 # Volatility bands (absolute six-month stddev of rent).
 VOLATILITY_BANDS = [(150, "high volatility"), (75, "moderate volatility")]
@@ -81,11 +81,17 @@ def dim_neighborhoods(listings: DataFrame, dev_signals: DataFrame) -> DataFrame:
     )
 
 
-def listing_history(listings: DataFrame) -> DataFrame:
+def listing_history(listings: DataFrame, lag_strategy: str = "auto") -> DataFrame:
     """Every snapshot with days on market and the change since the previous
-    snapshot of the same listing.  The lag is computed once and shared."""
-    w = ordered_window(["listing_id"], ["snapshot_date", "listing_snapshot_id"])
-    prev = listings.where(F.col("listing_id").isNotNull()).withColumn("__prev_rent", F.lag("rent").over(w))
+    snapshot of the same listing.  The lag is computed once and shared; a
+    listing with an outsized history is range-split instead of windowed."""
+    prev = with_lags(
+        listings.where(F.col("listing_id").isNotNull()),
+        ["listing_id"],
+        ["snapshot_date", "listing_snapshot_id"],
+        [("rent", "__prev_rent")],
+        lag_strategy,
+    )
     return prev.select(
         "listing_snapshot_id",
         "listing_id",
@@ -109,10 +115,12 @@ def listing_history(listings: DataFrame) -> DataFrame:
     )
 
 
-def fct_listing_history(listings: DataFrame, current: DataFrame | None = None, full_refresh: bool = False) -> DataFrame:
+def fct_listing_history(
+    listings: DataFrame, current: DataFrame | None = None, full_refresh: bool = False, lag_strategy: str = "auto"
+) -> DataFrame:
     """Incremental fact: windows over the full input first, then the
     high-water-mark filter and an upsert on the snapshot id."""
-    return incremental(listing_history(listings), current, "listing_snapshot_id", "snapshot_date", full_refresh)
+    return incremental(listing_history(listings, lag_strategy), current, "listing_snapshot_id", "snapshot_date", full_refresh)
 
 
 def volatility_band(c: str = "six_month_rent_volatility"):

@@ -14,10 +14,11 @@ from hearth.plans import bindings, intermediate, marts, staging
 
 
 class Pipeline:
-    def __init__(self, spark: SparkSession, sf_dir: str, median_strategy: str = "auto"):
+    def __init__(self, spark: SparkSession, sf_dir: str, median_strategy: str = "auto", lag_strategy: str = "auto"):
         self.spark = spark
         self.sf_dir = sf_dir
         self.median_strategy = median_strategy
+        self.lag_strategy = lag_strategy
 
     def table(self, name: str) -> DataFrame:
         return bindings.table(self.spark, self.sf_dir, name)
@@ -76,7 +77,7 @@ class Pipeline:
 
     @cached_property
     def fct_listing_history(self) -> DataFrame:
-        return marts.fct_listing_history(self.stg_listing_snapshots)
+        return marts.fct_listing_history(self.stg_listing_snapshots, lag_strategy=self.lag_strategy)
 
     @cached_property
     def fct_rent_trends(self) -> DataFrame:
