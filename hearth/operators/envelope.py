@@ -32,19 +32,15 @@ class SourceSpec:
 
 
 def payload_from_columns(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
-    """map<string,string> of the row: every column as text (nested values as JSON text)."""
-    cols = list(columns) if columns is not None else df.columns
-    values = []
+    """map<string,string> of the row: every column as text (nested values as
+    JSON text), keys in sorted order so the content hash needs no sort."""
+    cols = sorted(columns if columns is not None else df.columns)
+    kv = []
     for name in cols:
         dtype = df.schema[name].dataType
         c = F.col(f"`{name}`")
-        if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
-            values.append(F.to_json(c))
-        else:
-            values.append(c.cast("string"))
-    kv = []
-    for n, v in zip(cols, values):
-        kv += [F.lit(n), v]
+        value = F.to_json(c) if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)) else c.cast("string")
+        kv += [F.lit(name), value]
     return F.create_map(*kv)
 
 
@@ -70,17 +66,28 @@ def source_row_id(payload: Column, keys: Sequence[str], fallback: Column | None)
     return F.when(all_empty, fallback).otherwise(joined)
 
 
-def record_hash(name: Column, dataset_type: Column, url: Column, row_id: Column, payload: Column) -> Column:
+def sorted_map(payload: Column) -> Column:
+    """The same map with its entries in key order."""
+    return F.map_from_entries(F.array_sort(F.map_entries(payload)))
+
+
+def record_hash(
+    name: Column, dataset_type: Column, url: Column, row_id: Column, payload: Column, payload_sorted: bool = False
+) -> Column:
     """SHA-256 hex of the canonical JSON of {name, type, url, row id, payload}.
 
-    The payload is rendered as its entries sorted by key, so the hash does not
-    depend on key order.  Run id and timestamps are not part of it: the same
+    Canonical JSON: object keys in sorted order at both levels, no whitespace,
+    NULLs written out (for ASCII text this is byte-for-byte what a compact,
+    key-sorted ``json.dumps`` of the same record gives).  The hash therefore
+    does not depend on payload key order.  Pass ``payload_sorted=True`` when
+    the map was built from keys in sorted order (``payload_from_columns`` does)
+    to skip the per-row sort.  Run id and timestamps are not hashed: the same
     logical row landed by a later run keeps its hash.
     """
     doc = F.struct(
         name.alias("dataset_name"),
         dataset_type.alias("dataset_type"),
-        F.array_sort(F.map_entries(payload)).alias("payload"),
+        (payload if payload_sorted else sorted_map(payload)).alias("payload"),
         row_id.alias("source_row_id"),
         url.alias("source_url"),
     )
@@ -95,9 +102,13 @@ def to_raw_records(
     original_key: str | Column | None = None,
     payload: Column | None = None,
     ordinal: bool = True,
+    payload_sorted: bool | None = None,
 ) -> DataFrame:
     """Wrap every row of ``df`` in the raw-record envelope.
 
+    ``payload_sorted``: the given ``payload`` map was built with its keys in
+    sorted order (default: true for the payload built here from the columns).
+
     ``ordinal`` controls the ``name:row_number`` fallback key used when every
     key part of a row is empty (or the spec has no key).  It costs one extra
     scan of the input (see ``with_dense_index``); pass ``False`` only when every
@@ -108,6 +119,8 @@ def to_raw_records(
     if need_ordinal:
         base = with_dense_index(base, "__ordinal")
     p = payload if payload is not None else payload_from_columns(df)
+    if payload_sorted is None:
+        payload_sorted = payload is None
     name, dtype, url = F.lit(spec.name), F.lit(spec.dataset_type), F.lit(spec.url)
     fallback = F.concat(F.lit(spec.name + ":"), F.col("__ordinal").cast("string")) if need_ordinal else None
     ts = F.lit(ingested_at).cast("timestamp") if isinstance(ingested_at, str) else ingested_at.cast("timestamp")
@@ -121,7 +134,7 @@ def to_raw_records(
         dtype.alias("dataset_type"),
         url.alias("source_url"),
         F.col("source_row_id"),
-        record_hash(name, dtype, url, F.col("source_row_id"), F.col("payload")).alias("record_hash"),
+        record_hash(name, dtype, url, F.col("source_row_id"), F.col("payload"), payload_sorted).alias("record_hash"),
         F.col("__ts").alias("extracted_at"),
         F.col("__ts").alias("ingested_at"),
         F.col("__run").cast("string").alias("run_id"),

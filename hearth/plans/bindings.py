@@ -73,9 +73,10 @@ def _payload(entries: dict[str, Column]) -> Column:
     # create_map (not map_from_arrays): Catalyst folds payload['key'] on a
     # literal-keyed map into the value expression, so readers that only pick
     # fields never build the map.
+    # Keys in sorted order: the content hash can skip its per-row sort.
     kv = []
-    for k, v in entries.items():
-        kv += [F.lit(k), v.cast("string")]
+    for k in sorted(entries):
+        kv += [F.lit(k), entries[k].cast("string")]
     return F.create_map(*kv)
 
 
@@ -126,7 +127,7 @@ def listings_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 def listings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = listings_source(spark, sf_dir)
     # listing_id and snapshot_date are always present: no ordinal fallback needed.
-    return to_raw_records(src, LISTINGS, F.col("run_id"), F.col("ingested_at"), payload=F.col("payload"), ordinal=False)
+    return to_raw_records(src, LISTINGS, F.col("run_id"), F.col("ingested_at"), payload=F.col("payload"), ordinal=False, payload_sorted=True)
 
 
 def _wide_payload(monthly: DataFrame, region: str, value: str) -> DataFrame:
@@ -157,7 +158,7 @@ def rent_wide_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("c_nationkey", _text(F.col("month")).alias("month_key"), _money_text(F.col("price")).alias("price"))
     )
     wide = _wide_payload(monthly, "c_nationkey", "price")
-    return to_raw_records(wide, RENT, "run-wide", WIDE_INGESTED_AT, payload=F.col("payload"), ordinal=False)
+    return to_raw_records(wide, RENT, "run-wide", WIDE_INGESTED_AT, payload=F.col("payload"), ordinal=False, payload_sorted=False)
 
 
 def inventory_wide_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,7 +172,7 @@ def inventory_wide_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("s_nationkey", _text(F.col("month")).alias("month_key"), _text(F.col("n")).alias("n"))
     )
     wide = _wide_payload(monthly, "s_nationkey", "n")
-    return to_raw_records(wide, INVENTORY, "run-wide", WIDE_INGESTED_AT, payload=F.col("payload"), ordinal=False)
+    return to_raw_records(wide, INVENTORY, "run-wide", WIDE_INGESTED_AT, payload=F.col("payload"), ordinal=False, payload_sorted=False)
 
 
 def stations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,7 +200,7 @@ def stations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             }
         ).alias("payload")
     )
-    return to_raw_records(src, STATIONS, "run-stations", STATIONS_INGESTED_AT, payload=F.col("payload"), ordinal=False)
+    return to_raw_records(src, STATIONS, "run-stations", STATIONS_INGESTED_AT, payload=F.col("payload"), ordinal=False, payload_sorted=True)
 
 
 def housing_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,7 +235,7 @@ def housing_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             }
         ).alias("payload")
     )
-    return to_raw_records(src, HOUSING, "run-housing", HOUSING_INGESTED_AT, payload=F.col("payload"), ordinal=False)
+    return to_raw_records(src, HOUSING, "run-housing", HOUSING_INGESTED_AT, payload=F.col("payload"), ordinal=False, payload_sorted=True)
 
 
 def permits_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,7 +274,7 @@ def permits_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship.cast("timestamp").alias("ingested_at"),
         _run_of_year(ship).alias("run_id"),
     )
-    return to_raw_records(src, PERMITS, F.col("run_id"), F.col("ingested_at"), payload=F.col("payload"), ordinal=False)
+    return to_raw_records(src, PERMITS, F.col("run_id"), F.col("ingested_at"), payload=F.col("payload"), ordinal=False, payload_sorted=True)
 
 
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,7 +105,7 @@ def key_part(k: str) -> str:
 def record_hash_sql(name: str, dtype: str, url: str, rid: str, pay: str = "payload") -> str:
     return (
         f"sha256(to_json({{'dataset_name': {name}, 'dataset_type': {dtype}, "
-        f"'payload': list_sort(map_entries({pay})), 'source_row_id': {rid}, 'source_url': {url}}}))"
+        f"'payload': map_from_entries(list_sort(map_entries({pay}))), 'source_row_id': {rid}, 'source_url': {url}}}))"
     )
 
 

@@ -145,7 +145,7 @@ def _events_hash(spark, d):
     p = payload_from_columns(e)
     return e.select(
         "event_id",
-        record_hash(F.lit("events"), F.lit("event"), F.lit("file://events.jsonl"), F.col("event_id").cast("string"), p).alias(
+        record_hash(F.lit("events"), F.lit("event"), F.lit("file://events.jsonl"), F.col("event_id").cast("string"), p, True).alias(
             "record_hash"
         ),
     )

@@ -34,3 +34,17 @@ def test_dense_index_is_dense_over_partitions(spark):
     idx = with_dense_index(df, "i").collect()
     assert sorted(r["i"] for r in idx) == list(range(1, 1001))
     assert all(r["i"] == r["id"] + 1 for r in idx)
+
+
+def test_hash_is_sha256_of_compact_sorted_json(spark):
+    import hashlib
+    import json
+
+    record = {"dataset_name": "n", "dataset_type": "t", "source_url": "u", "source_row_id": "rp-1|2026-04-30",
+              "payload": {"rent": "3000", "listing_id": "rp-1", "note": None, "snapshot_date": "2026-04-30"}}
+    want = hashlib.sha256(json.dumps(record, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+    df = spark.createDataFrame([(record["payload"],)], "p map<string,string>")
+    args = [F.lit("n"), F.lit("t"), F.lit("u"), F.lit("rp-1|2026-04-30")]
+    general = df.select(record_hash(*args, F.col("p"))).first()[0]
+    fast = df.select(record_hash(*args, F.map_from_entries(F.array_sort(F.map_entries("p"))), True)).first()[0]
+    assert general == fast == want
