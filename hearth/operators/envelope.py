@@ -162,3 +162,15 @@ def dataset_slice(raw: DataFrame, name: str) -> DataFrame:
 def conform_raw(df: DataFrame) -> DataFrame:
     """Project any raw-shaped frame onto ``RAW_SCHEMA`` column order and types."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields])
+
+
+def latest_versions(raw: DataFrame, order=(("ingested_at", "desc"), "record_hash")) -> DataFrame:
+    """One version per (dataset_name, source_row_id): the newest by ``order``.
+
+    A wide feed that gains a month column gets a new content hash, so an
+    insert-only raw table keeps both versions of that row; staging on all of
+    them repeats ids.  This keeps the latest version only (planned as a
+    partial WindowGroupLimit, so a hot key shrinks before the shuffle)."""
+    from hearth.operators.windows import latest_by
+
+    return latest_by(raw, ["dataset_name", "source_row_id"], list(order))

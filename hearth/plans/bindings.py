@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.operators.envelope import SourceSpec, to_raw_records, union_raw
-from hearth.operators.joins import maybe_broadcast
 
 # Fixed values of the feeds (names, types and business keys of the six sources).
 LISTINGS = SourceSpec("listing_snapshots", "listings", "file://listing_snapshots.csv", ("listing_id", "snapshot_date"))
@@ -93,7 +92,9 @@ def listings_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     date the snapshot day, the customer's nation the postal code."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
-    n = maybe_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"))
+    # nation is a scanned file: Spark sizes it from file statistics and
+    # broadcasts it on that proven size; no hint or extra job needed.
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     j = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     day = F.col("o_orderdate").cast("date")
     return j.select(
@@ -178,7 +179,7 @@ def inventory_wide_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One station complex per supplier, borough from the supplier's region."""
     s = table(spark, sf_dir, "supplier")
-    n = maybe_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"))
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     j = s.join(n, s.s_nationkey == n.n_nationkey)
     k = F.col("s_suppkey")
     src = j.select(

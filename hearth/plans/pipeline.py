@@ -6,19 +6,41 @@ back to the parquet scans; nothing runs until an action.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from hearth.plans import bindings, intermediate, marts, staging
+from hearth.session import ensure_checkpoint_dir
+
+# Models read more than once by the scorecard: worth materializing there.
+SHARED_MODELS = ("stg_listing_snapshots", "int_neighborhood_development_signals")
 
 
 class Pipeline:
-    def __init__(self, spark: SparkSession, sf_dir: str, median_strategy: str = "auto", lag_strategy: str = "auto"):
+    def __init__(
+        self,
+        spark: SparkSession,
+        sf_dir: str,
+        median_strategy: str = "auto",
+        lag_strategy: str = "auto",
+        materialize: Iterable[str] = (),
+    ):
+        """``materialize``: model names computed once and checkpointed (to the
+        shared ``spark.checkpoint.dir``) when first used, for graphs that read
+        them several times; everything else stays a lazy plan."""
         self.spark = spark
         self.sf_dir = sf_dir
         self.median_strategy = median_strategy
         self.lag_strategy = lag_strategy
+        self.materialize = frozenset(materialize)
+
+    def _keep(self, name: str, df: DataFrame) -> DataFrame:
+        if name not in self.materialize:
+            return df
+        ensure_checkpoint_dir(self.spark)
+        return df.checkpoint(eager=True)
 
     def table(self, name: str) -> DataFrame:
         return bindings.table(self.spark, self.sf_dir, name)
@@ -39,7 +61,7 @@ class Pipeline:
 
     @cached_property
     def stg_listing_snapshots(self) -> DataFrame:
-        return staging.stg_listing_snapshots(bindings.listings_raw(self.spark, self.sf_dir))
+        return self._keep("stg_listing_snapshots", staging.stg_listing_snapshots(bindings.listings_raw(self.spark, self.sf_dir)))
 
     @cached_property
     def stg_permits(self) -> DataFrame:
@@ -60,7 +82,10 @@ class Pipeline:
 
     @cached_property
     def int_neighborhood_development_signals(self) -> DataFrame:
-        return intermediate.int_neighborhood_development_signals(self.stg_neighborhood_housing, self.stg_permits)
+        return self._keep(
+            "int_neighborhood_development_signals",
+            intermediate.int_neighborhood_development_signals(self.stg_neighborhood_housing, self.stg_permits),
+        )
 
     @cached_property
     def int_transit_access_by_borough(self) -> DataFrame:

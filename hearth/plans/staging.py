@@ -19,16 +19,21 @@ from hearth.functions import (
     try_decimal,
     try_number,
 )
-from hearth.operators.envelope import dataset_slice
+from hearth.operators.envelope import dataset_slice, latest_versions
 
 # Station borough codes and their names.
 STATION_BOROUGHS = {"M": "Manhattan", "Q": "Queens", "Bk": "Brooklyn", "Bx": "Bronx", "SI": "Staten Island"}
 
 
-def _wide_series(raw: DataFrame, dataset: str, month_col: str, value_col: str, cast) -> DataFrame:
+def _slice(raw: DataFrame, dataset: str, latest_version: bool) -> DataFrame:
+    src = dataset_slice(raw, dataset)
+    return latest_versions(src) if latest_version else src
+
+
+def _wide_series(raw: DataFrame, dataset: str, month_col: str, value_col: str, cast, latest_version: bool = False) -> DataFrame:
     """Unpivot a wide monthly feed: one row per (region, date key).  Non-date
     keys are dropped from the map before the explode, so they never become rows."""
-    src = dataset_slice(raw, dataset)
+    src = _slice(raw, dataset, latest_version)
     p = F.col("payload")
     exploded = src.select(
         field(p, "RegionID").alias("region_id"),
@@ -53,19 +58,21 @@ def _wide_series(raw: DataFrame, dataset: str, month_col: str, value_col: str, c
     ).where(F.col(value_col).isNotNull())
 
 
-def stg_rent_prices(raw: DataFrame) -> DataFrame:
-    rows = _wide_series(raw, "zillow_zori_zip", "rent_month", "zori_rent", lambda c: try_decimal(c, 12, 2))
+def stg_rent_prices(raw: DataFrame, latest_version: bool = False) -> DataFrame:
+    """``latest_version`` (all staging models): stage only the newest version
+    of each source row instead of every landed version."""
+    rows = _wide_series(raw, "zillow_zori_zip", "rent_month", "zori_rent", lambda c: try_decimal(c, 12, 2), latest_version)
     return rows.select(surrogate_key("region_id", "rent_month").alias("rent_price_id"), *rows.columns)
 
 
-def stg_inventory(raw: DataFrame) -> DataFrame:
-    rows = _wide_series(raw, "zillow_inventory_zip", "inventory_month", "active_inventory", try_number)
+def stg_inventory(raw: DataFrame, latest_version: bool = False) -> DataFrame:
+    rows = _wide_series(raw, "zillow_inventory_zip", "inventory_month", "active_inventory", try_number, latest_version)
     return rows.select(surrogate_key("region_id", "inventory_month").alias("inventory_id"), *rows.columns)
 
 
-def stg_listing_snapshots(raw: DataFrame) -> DataFrame:
+def stg_listing_snapshots(raw: DataFrame, latest_version: bool = False) -> DataFrame:
     p = F.col("payload")
-    src = dataset_slice(raw, "listing_snapshots").where(has_field(p, "listing_id"))
+    src = _slice(raw, "listing_snapshots", latest_version).where(has_field(p, "listing_id"))
     return src.select(
         surrogate_key(F.col("source_row_id"), F.coalesce(F.col("record_hash"), F.lit(""))).alias("listing_snapshot_id"),
         field(p, "listing_id").alias("listing_id"),
@@ -89,9 +96,9 @@ def stg_listing_snapshots(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_permits(raw: DataFrame) -> DataFrame:
+def stg_permits(raw: DataFrame, latest_version: bool = False) -> DataFrame:
     p = F.col("payload")
-    src = dataset_slice(raw, "nyc_dob_approved_permits").where(has_field(p, "job_filing_number"))
+    src = _slice(raw, "nyc_dob_approved_permits", latest_version).where(has_field(p, "job_filing_number"))
     key_parts = [F.coalesce(field(p, k), F.lit("")) for k in ("job_filing_number", "work_permit", "sequence_number")]
     return src.select(
         surrogate_key(*key_parts).alias("permit_id"),
@@ -120,9 +127,9 @@ def stg_permits(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_neighborhood_housing(raw: DataFrame) -> DataFrame:
+def stg_neighborhood_housing(raw: DataFrame, latest_version: bool = False) -> DataFrame:
     p = F.col("payload")
-    src = dataset_slice(raw, "nyc_housing_units_by_building").where(has_field(p, "project_id"))
+    src = _slice(raw, "nyc_housing_units_by_building", latest_version).where(has_field(p, "project_id"))
     return src.select(
         surrogate_key(
             F.coalesce(field(p, "project_id"), F.lit("")), F.coalesce(field(p, "building_id"), F.lit(""))
@@ -152,9 +159,9 @@ def stg_neighborhood_housing(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_transit_access(raw: DataFrame) -> DataFrame:
+def stg_transit_access(raw: DataFrame, latest_version: bool = False) -> DataFrame:
     p = F.col("payload")
-    src = dataset_slice(raw, "mta_subway_stations").where(has_field(p, "Complex ID"))
+    src = _slice(raw, "mta_subway_stations", latest_version).where(has_field(p, "Complex ID"))
     return src.select(
         field(p, "Complex ID").alias("station_complex_id"),
         parse_bool(field(p, "Is Complex")).alias("is_complex"),

@@ -48,3 +48,19 @@ def test_hash_is_sha256_of_compact_sorted_json(spark):
     general = df.select(record_hash(*args, F.col("p"))).first()[0]
     fast = df.select(record_hash(*args, F.map_from_entries(F.array_sort(F.map_entries("p"))), True)).first()[0]
     assert general == fast == want
+
+
+def test_latest_version_staging(spark):
+    from hearth.plans.staging import stg_rent_prices
+
+    spec = SourceSpec("zillow_zori_zip", "rent_prices", "u", ("RegionID",))
+    old = spark.createDataFrame([({"RegionID": "1", "RegionName": "10025", "2026-01-01": "3000"},)], "p map<string,string>")
+    new = spark.createDataFrame(
+        [({"RegionID": "1", "RegionName": "10025", "2026-01-01": "3000", "2026-02-01": "3100"},)], "p map<string,string>"
+    )
+    raw = to_raw_records(old, spec, "r1", "2026-02-01 00:00:00", payload=F.col("p")).unionByName(
+        to_raw_records(new, spec, "r2", "2026-03-01 00:00:00", payload=F.col("p"))
+    )
+    assert stg_rent_prices(raw).count() == 3  # every landed version: January twice
+    latest = stg_rent_prices(raw, latest_version=True)
+    assert sorted(str(r["rent_month"]) for r in latest.collect()) == ["2026-01-01", "2026-02-01"]
