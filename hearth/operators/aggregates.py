@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hearth.operators.joins import join_null_safe
+from hearth.session import ensure_checkpoint_dir
 
 # Per-group distinct values up to which the built-in exact percentile (one
 # in-memory value->count map per group) is trusted.  Above it the rank
@@ -101,7 +102,10 @@ def _median_ranked(counts: DataFrame, keys: Sequence[str], alias: str, partition
     ordered = counts.repartitionByRange(n_parts, *keys, "__v").sortWithinPartitions(*keys, "__v")
     tagged = ordered.withColumn("__pid", F.spark_partition_id())
     schema = T.StructType(tagged.schema.fields + [T.StructField("__end", T.LongType(), False)])
-    local = tagged.mapInPandas(_running_end, schema)
+    # Three branches read this (offsets, ranks, group sizes); checkpoint it once
+    # so the input is not scanned and aggregated three times.
+    ensure_checkpoint_dir(spark)
+    local = tagged.mapInPandas(_running_end, schema).checkpoint(eager=True)
 
     totals = local.groupBy("__pid").agg(F.sum("__c").alias("__tot"))
     offsets = totals.select(

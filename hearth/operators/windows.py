@@ -93,6 +93,11 @@ def _lag_ranked(
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [F.col(k).asc_nulls_last() for k in keys] + [_order(o) for o in order]
     ranked = df.repartitionByRange(n_parts, *sort_cols).withColumn("__pid", F.spark_partition_id())
+    # Read twice (per-piece lags, partition boundaries): checkpoint once.
+    from hearth.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    ranked = ranked.checkpoint(eager=True)
     w = Window.partitionBy("__pid", *keys).orderBy(*[_order(o) for o in order])
     local = ranked.select(
         "*", F.row_number().over(w).alias("__pos"), *[F.lag(src, 1).over(w).alias(f"__lag_{out}") for src, out in lags]
