@@ -71,8 +71,17 @@ def _value_counts(df: DataFrame, keys: Sequence[str], value: Column | str) -> Da
     )
 
 
-def _median_builtin(counts: DataFrame, keys: Sequence[str], alias: str) -> DataFrame:
-    return counts.groupBy(*keys).agg(F.percentile(F.col("__v"), 0.5, F.col("__c")).alias(alias))
+def widest_group(df: DataFrame, keys: Sequence[str], value: Column | str) -> int:
+    """Largest number of distinct values in any group (HyperLogLog estimate:
+    one partial-aggregated pass, enough to choose a strategy)."""
+    widest = df.groupBy(*keys).agg(F.approx_count_distinct(_c(value)).alias("w")).agg(F.max("w")).first()[0]
+    return int(widest or 0)
+
+
+def _median_builtin(df: DataFrame, keys: Sequence[str], value: Column | str, alias: str) -> DataFrame:
+    # Spark's exact percentile keeps one value->count map per group (with
+    # map-side partial aggregation): memory grows with distinct values, not rows.
+    return df.groupBy(*keys).agg(F.median(_c(value).cast("double")).alias(alias))
 
 
 def _median_ranked(counts: DataFrame, keys: Sequence[str], alias: str, partitions: int | None) -> DataFrame:
@@ -156,14 +165,12 @@ def grouped_median(
     values of the group), ``ranked`` (rank selection, memory independent of
     group size) or ``auto`` (measure the largest group's distinct values first).
     """
-    counts = _value_counts(df, keys, value)
     if strategy == "auto":
-        widest = counts.groupBy(*keys).count().agg(F.max("count")).first()[0]
-        strategy = "builtin" if widest is None or widest <= max_distinct else "ranked"
+        strategy = "builtin" if widest_group(df, keys, value) <= max_distinct else "ranked"
     if strategy == "builtin":
-        return _median_builtin(counts, keys, alias)
+        return _median_builtin(df, keys, value, alias)
     if strategy == "ranked":
-        return _median_ranked(counts, keys, alias, partitions)
+        return _median_ranked(_value_counts(df, keys, value), keys, alias, partitions)
     raise ValueError(f"unknown median strategy {strategy!r}")
 
 
@@ -173,13 +180,23 @@ def aggregate_with_median(
     aggs: Sequence[Column],
     medians: Sequence[tuple[Column | str, str]],
     strategy: str = "auto",
+    max_distinct: int = MEDIAN_BUILTIN_MAX_DISTINCT,
 ) -> DataFrame:
-    """``groupBy(keys).agg(*aggs)`` plus exact medians, joined back on the
-    (NULL-safe) group key so every group is kept."""
-    base = df.groupBy(*keys).agg(*aggs)
-    if strategy == "inline":
+    """``groupBy(keys).agg(*aggs)`` plus exact medians.
+
+    While every group's distinct values fit the bound the medians are computed
+    in the same aggregation (one pass).  Otherwise they come from rank
+    selection and are joined back on the (NULL-safe) group key, so every group
+    is kept.  ``inline`` is an alias of ``builtin``.
+    """
+    if strategy == "auto":
+        widest = max(widest_group(df, keys, v) for v, _ in medians)
+        strategy = "builtin" if widest <= max_distinct else "ranked"
+    if strategy in ("builtin", "inline"):
         return df.groupBy(*keys).agg(*aggs, *[F.median(_c(v).cast("double")).alias(a) for v, a in medians])
-    out = base
+    if strategy != "ranked":
+        raise ValueError(f"unknown median strategy {strategy!r}")
+    out = df.groupBy(*keys).agg(*aggs)
     for value, alias in medians:
-        out = join_null_safe(out, grouped_median(df, keys, value, alias, strategy), keys, "left")
+        out = join_null_safe(out, grouped_median(df, keys, value, alias, "ranked"), keys, "left")
     return out
