@@ -35,10 +35,10 @@ from hearth.operators.joins import anti
 from hearth.operators.merge import incremental, insert_ignore, merge_insert, since_watermark
 from hearth.operators.ordinal import with_dense_index
 from hearth.operators.relational import distinct_rows, project, where_in, where_present
-from hearth.plans import bindings, oracle
+from hearth.plans import bindings, intermediate, marts, oracle
 from hearth.plans.oracle import compose, fragment, q
 from hearth.plans.pipeline import Pipeline
-from hearth.plans.registry import register, register_fragment, render_sql
+from hearth.plans.registry import register, register_fragment
 from hearth.plans.staging import STATION_BOROUGHS
 from hearth.schemas import ENVELOPE_KEYS
 
@@ -365,7 +365,7 @@ register_fragment(
 register_fragment(
     "join_full_outer",
     "postal_code s, state_name s, signal_month t, zori_rent d, active_inventory d",
-    lambda spark, d: (lambda p: __import__("hearth.plans.intermediate", fromlist=["x"]).zip_month_joined(p.stg_rent_prices, p.stg_inventory))(P(spark, d)),
+    lambda spark, d: (lambda p: intermediate.zip_month_joined(p.stg_rent_prices, p.stg_inventory))(P(spark, d)),
     "zip_month_joined",
 )
 register_fragment(
@@ -421,7 +421,7 @@ register(
 register_fragment(
     "agg_sum_default",
     "borough s, postal_code s, neighborhood_code s, housing_projects i, affordable_rental_units d, total_housing_units d",
-    lambda spark, d: __import__("hearth.plans.intermediate", fromlist=["x"]).housing_by_area(P(spark, d).stg_neighborhood_housing),
+    lambda spark, d: intermediate.housing_by_area(P(spark, d).stg_neighborhood_housing),
     "housing_by_area",
 )
 register_fragment(
@@ -433,13 +433,13 @@ register_fragment(
 register_fragment(
     "agg_avg_median",
     "borough s, snapshot_date t, avg_listing_rent r, median_listing_rent r, listing_count i",
-    lambda spark, d: __import__("hearth.plans.marts", fromlist=["x"]).listing_borough_rents(P(spark, d).stg_listing_snapshots, "ranked"),
+    lambda spark, d: marts.listing_borough_rents(P(spark, d).stg_listing_snapshots, "ranked"),
     "listing_borough_rents",
 )
 register_fragment(
     "agg_any_value",
     "postal_code s, neighborhood_code s, borough s, housing_projects i, affordable_rental_units d, permit_count i",
-    lambda spark, d: __import__("hearth.plans.marts", fromlist=["x"]).development_by_zip(P(spark, d).int_neighborhood_development_signals),
+    lambda spark, d: marts.development_by_zip(P(spark, d).int_neighborhood_development_signals),
     "development_by_zip",
 )
 register(
@@ -498,7 +498,7 @@ register_fragment(
 register_fragment(
     "window_qualify_latest",
     "postal_code s, signal_month t, zori_rent d, rent_volatility_band s",
-    lambda spark, d: __import__("hearth.plans.marts", fromlist=["x"]).latest_rent(P(spark, d).fct_rent_trends),
+    lambda spark, d: marts.latest_rent(P(spark, d).fct_rent_trends),
     "latest_rent",
 )
 register_fragment(
@@ -837,4 +837,3 @@ SELECT 'create_raw_table', 'not_applicable', ''
     ),
 )
 
-__all__ = ["render_sql"]
