@@ -15,10 +15,13 @@ from hearth.functions.scalar import (
     try_double,
     try_number,
     try_timestamp,
+    utc_instant,
+    utc_literal,
+    utc_text,
 )
 
 __all__ = [
     "any_band", "band", "date_text", "days_between", "decode", "field", "has_field", "keys_matching",
     "money", "parse_bool", "safe_ratio", "split_literal", "surrogate_key", "try_date", "try_decimal",
-    "try_double", "try_number", "try_timestamp",
+    "try_double", "try_number", "try_timestamp", "utc_instant", "utc_literal", "utc_text",
 ]

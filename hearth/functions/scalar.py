@@ -45,9 +45,35 @@ def try_number(c: ColumnOrName) -> Column:
     return _col(c).try_cast("decimal(38,0)")
 
 
-def try_timestamp(c: ColumnOrName) -> Column:
-    """ISO-8601 text (offset allowed) -> timestamp; NULL when unparseable."""
-    return F.try_to_timestamp(_col(c))
+OFFSET_SUFFIX = r"(Z|[+-]\d{2}(:?\d{2})?)$"
+
+
+def try_timestamp(c: ColumnOrName, assume_utc: bool = False) -> Column:
+    """ISO-8601 text (offset allowed) -> timestamp; NULL when unparseable.
+
+    Text without an offset is read in the session time zone, or as UTC with
+    ``assume_utc`` (results then do not depend on the session)."""
+    s = _col(c)
+    if assume_utc:
+        s = F.when(s.rlike(OFFSET_SUFFIX), s).otherwise(F.concat(s, F.lit("Z")))
+    return F.try_to_timestamp(s)
+
+
+def utc_instant(c: ColumnOrName) -> Column:
+    """A zone-less timestamp (or ISO text without offset) read as a UTC wall clock."""
+    col = _col(c)
+    text = F.date_format(col.cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return F.try_to_timestamp(F.concat(text, F.lit("Z")))
+
+
+def utc_literal(text: str) -> Column:
+    """ISO text without offset, as a UTC instant (not in the session zone)."""
+    return F.try_to_timestamp(F.lit(text.replace("T", " ") + "Z"))
+
+
+def utc_text(c: ColumnOrName) -> Column:
+    """An instant rendered as UTC wall-clock text (``yyyy-MM-dd HH:mm:ss[.ffffff]``)."""
+    return F.to_utc_timestamp(_col(c), F.current_timezone()).cast("timestamp_ntz").cast("string")
 
 
 def try_double(c: ColumnOrName) -> Column:

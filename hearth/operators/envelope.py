@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hearth.functions.scalar import utc_literal
 from hearth.operators.ordinal import with_dense_index
 from hearth.schemas import RAW_SCHEMA
 
@@ -123,7 +124,8 @@ def to_raw_records(
         payload_sorted = payload is None
     name, dtype, url = F.lit(spec.name), F.lit(spec.dataset_type), F.lit(spec.url)
     fallback = F.concat(F.lit(spec.name + ":"), F.col("__ordinal").cast("string")) if need_ordinal else None
-    ts = F.lit(ingested_at).cast("timestamp") if isinstance(ingested_at, str) else ingested_at.cast("timestamp")
+    # text without an offset is a UTC wall clock, whatever the session zone
+    ts = utc_literal(ingested_at) if isinstance(ingested_at, str) else ingested_at.cast("timestamp")
     run = F.lit(run_id) if isinstance(run_id, str) else run_id
     okey = (F.lit(original_key) if isinstance(original_key, str) else original_key) if original_key is not None else None
     staged = base.select(p.alias("payload"), *([F.col("__ordinal")] if need_ordinal else []), *([okey.alias("__okey")] if okey is not None else []), run.alias("__run"), ts.alias("__ts"))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hearth.functions.scalar import utc_literal
 from hearth.operators.aggregates import count_when
 from hearth.session import ensure_checkpoint_dir
 
@@ -66,8 +67,9 @@ def unparseable(raw: DataFrame, dataset: str, name: str, type_: str = "double",
 def freshness(
     raw: DataFrame, as_of: _dt.datetime | str, loaded_col: str = "loaded_at", warn_hours: float = 36, error_hours: float = 72
 ) -> DataFrame:
-    """One row: newest load time, its age in hours at ``as_of`` and pass/warn/error."""
-    as_of_c = F.lit(as_of).cast("timestamp")
+    """One row: newest load time, its age in hours at ``as_of`` and pass/warn/error.
+    ``as_of`` as text without offset is a UTC wall clock."""
+    as_of_c = utc_literal(as_of) if isinstance(as_of, str) else F.lit(as_of).cast("timestamp")
     latest = raw.agg(F.max(loaded_col).alias("max_loaded_at"))
     age = (F.unix_micros(as_of_c) - F.unix_micros(F.col("max_loaded_at").cast("timestamp"))) / F.lit(3_600_000_000.0)
     return latest.select(

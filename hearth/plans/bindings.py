@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearth.functions.scalar import utc_instant
 from hearth.operators.envelope import SourceSpec, to_raw_records, union_raw
 
 # Fixed values of the feeds (names, types and business keys of the six sources).
@@ -133,7 +134,7 @@ def listings_source(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "longitude": F.concat(F.lit("-73.9"), _text(F.col("c_nationkey"))),
             }
         ).alias("payload"),
-        F.col("o_orderdate").alias("ingested_at"),
+        utc_instant(F.col("o_orderdate")).alias("ingested_at"),
         _run_of_year(F.col("o_orderdate")).alias("run_id"),
     )
 
@@ -289,7 +290,7 @@ def permits_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "longitude": F.concat(F.lit("-74.0"), _text(F.col("l_suppkey") % 1000)),
             }
         ).alias("payload"),
-        ship.cast("timestamp").alias("ingested_at"),
+        utc_instant(ship.cast("timestamp_ntz")).alias("ingested_at"),
         _run_of_year(ship).alias("run_id"),
     )
     return to_raw_records(src, PERMITS, F.col("run_id"), F.col("ingested_at"), payload=F.col("payload"), ordinal=False, payload_sorted=True)

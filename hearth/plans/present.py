@@ -3,7 +3,8 @@
 Results are compared against DuckDB, whose value types differ from Spark's
 in ways that say nothing about correctness (decimal widths, date objects).
 ``checkable`` renders every column in a form both engines share: decimals as
-double, dates and timestamps as ISO text, arrays and maps as JSON text.  The
+double, dates and timestamps as ISO text (instants in UTC, so the session
+time zone does not matter), arrays and maps as JSON text.  The
 oracle SQL applies the same rendering.
 """
 
@@ -13,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hearth.functions.scalar import utc_text
+
 
 KEEP_NULLS = {"ignoreNullFields": "false"}
 
@@ -24,7 +27,9 @@ def checkable(df: DataFrame) -> DataFrame:
         t = f.dataType
         if isinstance(t, T.DecimalType):
             c = c.cast("double")
-        elif isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        elif isinstance(t, T.TimestampType):
+            c = utc_text(c)
+        elif isinstance(t, (T.DateType, T.TimestampNTZType)):
             c = c.cast("string")
         elif isinstance(t, T.MapType):
             c = F.to_json(F.array_sort(F.map_entries(c)), KEEP_NULLS)

@@ -612,7 +612,7 @@ def _timestamp_texts(spark, d):
         .when(m == 1, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
         .otherwise(F.lit("yesterday"))
     )
-    return e.select("event_id", txt.alias("txt")).select("event_id", "txt", try_timestamp("txt").alias("parsed"))
+    return e.select("event_id", txt.alias("txt")).select("event_id", "txt", try_timestamp("txt", assume_utc=True).alias("parsed"))
 
 
 register(

@@ -79,3 +79,21 @@ def test_band_ratio_days(spark):
     assert one(spark, safe_ratio(F.lit(1.0), F.col("x")), 0.0, "x double") is None
     d = spark.createDataFrame([(dt.date(2026, 3, 18), dt.date(2026, 4, 30))], "a date, b date")
     assert d.select(days_between("a", "b")).first()[0] == 43
+
+
+def test_utc_helpers_ignore_session_zone(spark):
+    from hearth.functions import utc_instant, utc_literal, utc_text
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.sql("select timestamp_ntz'2001-11-04 00:00:00' n, '2024-01-01 10:00:00' s, '2024-01-01T02:00:07+02:00' o")
+        r = df.select(
+            utc_text(utc_instant("n")).alias("a"),
+            utc_text(try_timestamp("s", assume_utc=True)).alias("b"),
+            utc_text(try_timestamp("o", assume_utc=True)).alias("c"),
+            utc_text(utc_literal("2001-09-01 00:00:00")).alias("d"),
+        ).first()
+        assert tuple(r) == ("2001-11-04 00:00:00", "2024-01-01 10:00:00", "2024-01-01 00:00:07", "2001-09-01 00:00:00")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
