@@ -40,16 +40,22 @@ def _candidates(target: DataFrame, batch: DataFrame, prune_on: str | None) -> Da
     return target.where(F.col(prune_on).isin([v[0] for v in values]))
 
 
+def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], prune_on: str | None = "dataset_name") -> DataFrame:
+    """Batch rows whose key is absent from the target (the rows a merge inserts).
+    Only the key columns of the target are shuffled, and only from the
+    partitions the batch touches."""
+    existing = _candidates(target, batch, prune_on if prune_on in keys else None)
+    return batch.join(existing.select(*keys), list(keys), "left_anti")
+
+
 def merge_insert(
     target: DataFrame, batch: DataFrame, keys: Sequence[str], prune_on: str | None = "dataset_name"
 ) -> DataFrame:
-    """Insert batch rows whose key is absent from the target; matched rows are
-    untouched.  Duplicates inside the batch are all inserted (the source of a
-    MERGE is not de-duplicated).  Only the key columns of the target are
-    shuffled, and only from the partitions the batch touches."""
-    existing = _candidates(target, batch, prune_on if prune_on in keys else None)
-    new_rows = batch.join(existing.select(*keys), list(keys), "left_anti")
-    return target.unionByName(new_rows.select(*target.columns))
+    """The table after an insert-if-absent merge: matched rows untouched, new
+    keys inserted.  Duplicates inside the batch are all inserted (the source of
+    a MERGE is not de-duplicated).  To store the result, append only
+    ``new_rows`` (``sources.sinks.append_new``) rather than rewriting the table."""
+    return target.unionByName(new_rows(target, batch, keys, prune_on).select(*target.columns))
 
 
 def insert_ignore(
@@ -62,8 +68,12 @@ def insert_ignore(
     """INSERT ... ON CONFLICT DO NOTHING: like ``merge_insert`` but duplicates
     inside the batch also collapse, the first under ``order`` winning (give a
     unique tie-break for a reproducible choice)."""
-    first = latest_by(batch, keys, order) if order else batch.dropDuplicates(list(keys))
-    return merge_insert(target, first, keys, prune_on)
+    return merge_insert(target, first_per_key(batch, keys, order), keys, prune_on)
+
+
+def first_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[OrderSpec] | None = None) -> DataFrame:
+    """One row per key: the first under ``order`` (any one without an order)."""
+    return latest_by(batch, keys, order) if order else batch.dropDuplicates(list(keys))
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str | Sequence[str], check_unique: bool = True) -> DataFrame:

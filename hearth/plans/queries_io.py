@@ -16,7 +16,7 @@ from hearth.plans.registry import register, register_fragment
 from hearth.session import scratch_path
 from hearth.sources.catalog import register_raw_table
 from hearth.sources.files import read_csv_rows, read_json_rows, read_normalized
-from hearth.sources.sinks import EXTRACTS, append_audit, extract, read_current, write_normalized
+from hearth.sources.sinks import EXTRACTS, append_audit, extract, upsert_partitions, write_normalized
 from hearth.streaming.ingest import ingest_available, landed_stream, stream_insert_ignore
 
 
@@ -193,7 +193,7 @@ def _stream_ingest(spark, d):
     write_normalized(housing.unionByName(stations), landing)  # stations again: matched, so not re-inserted
     ingest_available(landed_stream(spark, landing), target, ckpt)
     ingest_available(landed_stream(spark, landing), target, ckpt)  # nothing new: no change
-    return read_current(spark, target)
+    return spark.read.parquet(target)
 
 
 register_fragment("stream_file_ingest", KEY_COLS, _stream_ingest, "small_raw")
@@ -208,7 +208,7 @@ def _stream_dedupe(spark, d):
     stream_insert_ignore(landed_stream(spark, landing), target, ckpt, order=["ingested_at", "record_hash"])
     write_normalized(stations, landing)  # and again in a later one
     stream_insert_ignore(landed_stream(spark, landing), target, ckpt, order=["ingested_at", "record_hash"])
-    return read_current(spark, target)
+    return spark.read.parquet(target)
 
 
 register_fragment("stream_dedupe", KEY_COLS, _stream_dedupe, "stations_raw")
@@ -236,3 +236,23 @@ for _key, _dataset in EXTRACT_KEYS.items():
     _model, _cols = EXTRACTS[_dataset]
     _spec = ", ".join(f"{c} {'r' if c in _ROUNDED else _KIND[k]}" for c, k in _cols)
     register_fragment(_key, _spec, _extract_query(_dataset), _model)
+
+
+# ---------------------------------------------------------------------------
+# incremental fact stored as a partitioned table: only recent partitions rewritten
+
+HISTORY_COLS = "listing_snapshot_id s, listing_id s, snapshot_date t, rent d, rent_change_amount d, rent_change_pct f, days_on_market i"
+
+
+def _upsert_table(spark, d):
+    from hearth.plans.queries_ops import OLD_CUTOFF
+
+    root = _fresh(spark, "fct") + "/fct_listing_history"
+    history = Pipeline(spark, d).fct_listing_history.withColumn("snapshot_month", F.trunc("snapshot_date", "month"))
+    old = history.where(F.col("snapshot_date") < F.lit(OLD_CUTOFF).cast("date"))
+    upsert_partitions(old, root, "listing_snapshot_id", "snapshot_date", "snapshot_month")
+    upsert_partitions(history, root, "listing_snapshot_id", "snapshot_date", "snapshot_month")
+    return spark.read.parquet(root)
+
+
+register_fragment("merge_upsert_table", HISTORY_COLS, _upsert_table, "history_upserted")

@@ -14,9 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.operators.merge import insert_ignore, merge_insert
+from hearth.operators.merge import first_per_key
 from hearth.schemas import ENVELOPE_KEYS, LANDED_SCHEMA
-from hearth.sources.sinks import read_current, write_version
+from hearth.sources.sinks import append_new
 
 
 def landed_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -33,16 +33,10 @@ def landed_stream(spark: SparkSession, root: str, max_files_per_trigger: int | N
     )
 
 
-def _merge_batch(target_root: str, keys: Sequence[str], dedupe_batch: bool, order):
+def _merge_batch(target_root: str, keys: Sequence[str], dedupe_batch: bool, order, partition_by):
     def run(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        current = read_current(spark, target_root)
-        if current is None:
-            first = insert_ignore(batch.limit(0), batch, keys, order) if dedupe_batch else batch
-            write_version(first, target_root)
-            return
-        merged = insert_ignore(current, batch, keys, order) if dedupe_batch else merge_insert(current, batch, keys)
-        write_version(merged, target_root)
+        rows = first_per_key(batch, keys, order) if dedupe_batch else batch
+        append_new(rows, target_root, keys, partition_by)
 
     return run
 
@@ -54,11 +48,14 @@ def ingest_available(
     keys: Sequence[str] = ENVELOPE_KEYS,
     dedupe_batch: bool = False,
     order=None,
+    partition_by: Sequence[str] = ("dataset_name",),
 ) -> None:
-    """Process every file available now, merge into the versioned target, stop.
-    A rerun with the same checkpoint and no new files changes nothing."""
+    """Process every file available now, append the new keys to the target
+    table, stop.  Each micro-batch writes only its new rows (the table is never
+    rewritten); a replayed micro-batch appends nothing.  A rerun with the same
+    checkpoint and no new files changes nothing."""
     q = (
-        stream.writeStream.foreachBatch(_merge_batch(target_root, keys, dedupe_batch, order))
+        stream.writeStream.foreachBatch(_merge_batch(target_root, keys, dedupe_batch, order, partition_by))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
