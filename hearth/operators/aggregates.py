@@ -42,9 +42,17 @@ def any_stable(c: Column | str) -> Column:
     return F.min(_c(c))
 
 
-def mean(c: Column | str) -> Column:
-    """Average in double precision (decimal averages round differently across engines)."""
-    return F.avg(_c(c).cast("double"))
+def mean(c: Column | str, scale: int | None = None) -> Column:
+    """Average as a double.
+
+    With ``scale`` (the decimal scale of a money column) the sum is taken
+    exactly in integer units (cents for scale 2) and divided once, so the
+    result is the correctly rounded quotient and does not depend on the order
+    of summation: identical on every engine and every partitioning."""
+    if scale is None:
+        return F.avg(_c(c).cast("double"))
+    units = (_c(c) * F.lit(10**scale)).cast("long")
+    return F.sum(units).cast("double") / F.count(_c(c)).cast("double") / F.lit(float(10**scale))
 
 
 def rollup_sum(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:

@@ -197,7 +197,7 @@ def inventory_daily(history: DataFrame, median_strategy: str = "auto") -> DataFr
             F.count_distinct("listing_id").alias("listing_count"),
             count_when(F.col("listing_status") == "active").alias("active_listing_count"),
             count_when(F.col("listing_status") == "leased").alias("leased_listing_count"),
-            mean("rent").alias("avg_listing_rent"),
+            mean("rent", scale=2).alias("avg_listing_rent"),
             mean("days_on_market").alias("avg_days_on_market"),
             count_when(F.col("rent_change_amount") != 0).alias("listings_with_price_changes"),
         ],
@@ -231,7 +231,7 @@ def listing_borough_rents(listings: DataFrame, median_strategy: str = "auto") ->
     return aggregate_with_median(
         listings,
         ["borough", "snapshot_date"],
-        [mean("rent").alias("avg_listing_rent"), F.count_distinct("listing_id").alias("listing_count")],
+        [mean("rent", scale=2).alias("avg_listing_rent"), F.count_distinct("listing_id").alias("listing_count")],
         [("rent", "median_listing_rent")],
         median_strategy,
     )

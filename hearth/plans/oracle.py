@@ -594,7 +594,7 @@ SELECT postal_code, neighborhood, borough, snapshot_date,
        count(DISTINCT listing_id) AS listing_count,
        count(*) FILTER (WHERE listing_status = 'active') AS active_listing_count,
        count(*) FILTER (WHERE listing_status = 'leased') AS leased_listing_count,
-       avg(cast(rent AS DOUBLE)) AS avg_listing_rent,
+       cast(sum(cast(rent * 100 AS BIGINT)) AS DOUBLE) / cast(count(rent) AS DOUBLE) / 100.0 AS avg_listing_rent,
        median(cast(rent AS DOUBLE)) AS median_listing_rent,
        avg(cast(days_on_market AS DOUBLE)) AS avg_days_on_market,
        count(*) FILTER (WHERE rent_change_amount <> 0) AS listings_with_price_changes
@@ -617,7 +617,7 @@ FROM inventory_daily
 fragment(
     "listing_borough_rents",
     """
-SELECT borough, snapshot_date, avg(cast(rent AS DOUBLE)) AS avg_listing_rent,
+SELECT borough, snapshot_date, cast(sum(cast(rent * 100 AS BIGINT)) AS DOUBLE) / cast(count(rent) AS DOUBLE) / 100.0 AS avg_listing_rent,
        median(cast(rent AS DOUBLE)) AS median_listing_rent, count(DISTINCT listing_id) AS listing_count
 FROM stg_listing_snapshots GROUP BY 1, 2
 """,

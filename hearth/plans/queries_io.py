@@ -217,7 +217,7 @@ register_fragment("stream_dedupe", KEY_COLS, _stream_dedupe, "stations_raw")
 # published extracts
 
 _KIND = {"STRING": "s", "DECIMAL": "f", "INTEGER": "i", "DATETIME": "t"}
-_ROUNDED = {"six_month_rent_volatility", "avg_days_on_market", "avg_listing_rent", "median_listing_rent", "rent_per_station_complex"}
+_ROUNDED = {"six_month_rent_volatility", "median_listing_rent"}
 EXTRACT_KEYS = {
     "extract_scorecard": "neighborhood_scorecard",
     "extract_rent_trends": "rent_trends",

@@ -382,7 +382,7 @@ register_fragment(
 )
 register_fragment(
     "join_left_broadcast",
-    "borough s, snapshot_date t, listing_count i, station_complex_count i, rent_per_station_complex r",
+    "borough s, snapshot_date t, listing_count i, station_complex_count i, rent_per_station_complex f",
     lambda spark, d: P(spark, d).mart_transit_price_effect,
     "mart_transit_price_effect",
 )
@@ -432,7 +432,7 @@ register_fragment(
 )
 register_fragment(
     "agg_avg_median",
-    "borough s, snapshot_date t, avg_listing_rent r, median_listing_rent r, listing_count i",
+    "borough s, snapshot_date t, avg_listing_rent f, median_listing_rent r, listing_count i",
     lambda spark, d: marts.listing_borough_rents(P(spark, d).stg_listing_snapshots, "ranked"),
     "listing_borough_rents",
 )
@@ -755,10 +755,10 @@ register(
 AS_OF = "2001-09-05 12:00:00"
 register(
     "check_freshness",
-    "max_loaded_at t, age_hours r, freshness_state s",
+    "max_loaded_at t, age_hours f, freshness_state s",
     lambda spark, d: quality.freshness(P(spark, d).raw, AS_OF, loaded_col="ingested_at"),
     compose(
-        "SELECT cast(m AS VARCHAR) AS max_loaded_at, round(epoch_us(TIMESTAMP '" + AS_OF + "' - m) / 3600000000.0, 6) AS age_hours, "
+        "SELECT cast(m AS VARCHAR) AS max_loaded_at, epoch_us(TIMESTAMP '" + AS_OF + "' - m) / 3600000000.0 AS age_hours, "
         "CASE WHEN m IS NULL THEN 'error' WHEN epoch_us(TIMESTAMP '" + AS_OF + "' - m) / 3600000000.0 > 72 THEN 'error' "
         "WHEN epoch_us(TIMESTAMP '" + AS_OF + "' - m) / 3600000000.0 > 36 THEN 'warn' ELSE 'pass' END AS freshness_state "
         "FROM (SELECT max(ingested_at) AS m FROM raw_records)",

@@ -102,9 +102,9 @@ MODEL_COLUMNS = {
     "fct_rent_trends": "zip_month_signal_id s, postal_code s, state_name s, signal_month t, zori_rent d, active_inventory d, rent_mom_delta d, rent_yoy_pct f, inventory_mom_delta d, six_month_rent_volatility r, rent_volatility_band s",
     "mart_affordability": "affordability_id s, postal_code s, signal_month t, zori_rent d, annual_rent d, income_needed_at_30_pct f, rent_yoy_pct f, rent_volatility_band s",
     "mart_development_activity": "development_activity_id s, borough s, postal_code s, neighborhood_code s, housing_projects i, affordable_rental_units d, total_housing_units d, permit_count i, estimated_development_cost d, latest_permit_issued_date t, development_activity_band s",
-    "mart_inventory_churn": "inventory_churn_id s, postal_code s, neighborhood s, borough s, snapshot_date t, listing_count i, active_listing_count i, leased_listing_count i, avg_listing_rent r, median_listing_rent r, avg_days_on_market r, listings_with_price_changes i, listing_count_delta i",
-    "mart_transit_price_effect": "transit_price_effect_id s, borough s, snapshot_date t, avg_listing_rent r, median_listing_rent r, listing_count i, station_complex_count i, station_count d, ada_station_complex_count i, cbd_station_complex_count i, rent_per_station_complex r",
-    "mart_neighborhood_scorecard": "neighborhood_scorecard_id s, neighborhood_id s, postal_code s, neighborhood s, borough s, latest_rent_month t, zori_rent d, rent_yoy_pct f, six_month_rent_volatility r, rent_volatility_band s, active_inventory d, listing_count i, active_listing_count i, leased_listing_count i, avg_days_on_market r, housing_projects i, affordable_rental_units d, permit_count i, estimated_development_cost d, development_activity_band s, recruiter_demo_signal_score i",
+    "mart_inventory_churn": "inventory_churn_id s, postal_code s, neighborhood s, borough s, snapshot_date t, listing_count i, active_listing_count i, leased_listing_count i, avg_listing_rent f, median_listing_rent r, avg_days_on_market f, listings_with_price_changes i, listing_count_delta i",
+    "mart_transit_price_effect": "transit_price_effect_id s, borough s, snapshot_date t, avg_listing_rent f, median_listing_rent r, listing_count i, station_complex_count i, station_count d, ada_station_complex_count i, cbd_station_complex_count i, rent_per_station_complex f",
+    "mart_neighborhood_scorecard": "neighborhood_scorecard_id s, neighborhood_id s, postal_code s, neighborhood s, borough s, latest_rent_month t, zori_rent d, rent_yoy_pct f, six_month_rent_volatility r, rent_volatility_band s, active_inventory d, listing_count i, active_listing_count i, leased_listing_count i, avg_days_on_market f, housing_projects i, affordable_rental_units d, permit_count i, estimated_development_cost d, development_activity_band s, recruiter_demo_signal_score i",
 }
 
 
