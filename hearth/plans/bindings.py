@@ -63,8 +63,12 @@ def spread(df: DataFrame) -> DataFrame:
     (column-pruned) rows are spread round-robin; a large input already has
     more partitions than cores and is left alone, so this costs nothing at
     scale."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. a remote session): leave it
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def _case(c: Column, mapping: dict, default=None) -> Column:

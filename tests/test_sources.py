@@ -69,3 +69,15 @@ def test_versions_and_audit(spark):
     append_audit(spark.range(7), "stage-a", root + "/audit")
     append_audit(spark.range(2), "stage-a", root + "/audit")
     assert sorted(r["rows_loaded"] for r in spark.read.parquet(root + "/audit").collect()) == [2, 7]
+
+
+def test_materialize_view_and_table(spark):
+    from hearth.sources.sinks import materialize
+
+    root = _dir()
+    view = materialize(spark.range(4), "staging", "stg_demo", root)
+    assert spark.table("stg_demo").count() == 4 and view.count() == 4
+    table = materialize(spark.range(6), "marts", "mart_demo", root)
+    assert table.count() == 6 and spark.table("mart_demo").count() == 6
+    again = materialize(spark.range(2), "marts", "mart_demo", root)  # new version, old one untouched
+    assert again.count() == 2
