@@ -1,7 +1,9 @@
 """The model graph over the bound test tables, built lazily.
 
-``Pipeline(spark, sf_dir).fct_rent_trends`` is a DataFrame whose plan reaches
-back to the parquet scans; nothing runs until an action.
+``ModelGraph(spark, sf_dir).fct_rent_trends`` is a DataFrame whose plan reaches
+back to the parquet scans.  Building it runs only small sizing jobs (the
+``auto`` median/lag strategies measure the widest group, the lookup proves its
+dimension small); the model itself runs at the caller's action.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from hearth.session import ensure_checkpoint_dir
 SHARED_MODELS = ("stg_listing_snapshots", "int_neighborhood_development_signals")
 
 
-class Pipeline:
+class ModelGraph:
     def __init__(
         self,
         spark: SparkSession,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from hearth.plans import bindings
 from hearth.plans.oracle import compose, fragment
-from hearth.plans.pipeline import Pipeline
+from hearth.plans.graph import ModelGraph
 from hearth.plans.registry import register, register_fragment
 from hearth.session import scratch_path
 from hearth.sources.catalog import register_raw_table
@@ -229,7 +229,7 @@ EXTRACT_KEYS = {
 
 def _extract_query(dataset: str):
     model, cols = EXTRACTS[dataset]
-    return lambda spark, d: extract(getattr(Pipeline(spark, d), model), cols)
+    return lambda spark, d: extract(getattr(ModelGraph(spark, d), model), cols)
 
 
 for _key, _dataset in EXTRACT_KEYS.items():
@@ -248,7 +248,7 @@ def _upsert_table(spark, d):
     from hearth.plans.queries_ops import OLD_CUTOFF
 
     root = _fresh(spark, "fct") + "/fct_listing_history"
-    history = Pipeline(spark, d).fct_listing_history.withColumn("snapshot_month", F.trunc("snapshot_date", "month"))
+    history = ModelGraph(spark, d).fct_listing_history.withColumn("snapshot_month", F.trunc("snapshot_date", "month"))
     old = history.where(F.col("snapshot_date") < F.lit(OLD_CUTOFF).cast("date"))
     upsert_partitions(old, root, "listing_snapshot_id", "snapshot_date", "snapshot_month")
     upsert_partitions(history, root, "listing_snapshot_id", "snapshot_date", "snapshot_month")

@@ -37,12 +37,12 @@ from hearth.operators.ordinal import with_dense_index
 from hearth.operators.relational import distinct_rows, project, where_in, where_present
 from hearth.plans import bindings, intermediate, marts, oracle
 from hearth.plans.oracle import compose, fragment, q
-from hearth.plans.pipeline import Pipeline
+from hearth.plans.graph import ModelGraph
 from hearth.plans.registry import register, register_fragment
 from hearth.plans.staging import STATION_BOROUGHS
 from hearth.schemas import ENVELOPE_KEYS
 
-P = Pipeline
+P = ModelGraph
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -235,7 +235,7 @@ register_fragment(
 OLD_CUTOFF = "1998-06-01"
 
 
-def _history_old(p: Pipeline) -> DataFrame:
+def _history_old(p: ModelGraph) -> DataFrame:
     return p.fct_listing_history.where(F.col("snapshot_date") < F.lit(OLD_CUTOFF).cast("date"))
 
 

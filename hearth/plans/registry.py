@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.plans import oracle
-from hearth.plans.pipeline import Pipeline
+from hearth.plans.graph import ModelGraph
 from hearth.plans.present import checkable
 
 SparkQuery = Callable[[SparkSession, str], DataFrame]
@@ -109,7 +109,7 @@ MODEL_COLUMNS = {
 
 
 def _model(name: str) -> SparkQuery:
-    return lambda spark, sf_dir: getattr(Pipeline(spark, sf_dir), name)
+    return lambda spark, sf_dir: getattr(ModelGraph(spark, sf_dir), name)
 
 
 for _name, _cols in MODEL_COLUMNS.items():
