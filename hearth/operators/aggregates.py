@@ -115,8 +115,10 @@ def _median_ranked(counts: DataFrame, keys: Sequence[str], alias: str, partition
             yield pdf
 
     spark = counts.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = counts.repartitionByRange(n_parts, *keys, "__v").sortWithinPartitions(*keys, "__v")
+    # Without an explicit count AQE may coalesce the range partitions; it only
+    # merges adjacent ranges in order, so per-partition prefix sums stay valid.
+    ranged = counts.repartitionByRange(partitions, *keys, "__v") if partitions else counts.repartitionByRange(*keys, "__v")
+    ordered = ranged.sortWithinPartitions(*keys, "__v")
     tagged = ordered.withColumn("__pid", F.spark_partition_id())
     schema = T.StructType(tagged.schema.fields + [T.StructField("__end", T.LongType(), False)])
     # Three branches read this (offsets, ranks, group sizes); checkpoint it once

@@ -90,9 +90,10 @@ def _lag_ranked(
     its size is bounded by the partition count.
     """
     spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [F.col(k).asc_nulls_last() for k in keys] + [_order(o) for o in order]
-    ranked = df.repartitionByRange(n_parts, *sort_cols).withColumn("__pid", F.spark_partition_id())
+    # AQE may coalesce adjacent ranges when no count is given; order is kept.
+    ranged = df.repartitionByRange(partitions, *sort_cols) if partitions else df.repartitionByRange(*sort_cols)
+    ranked = ranged.withColumn("__pid", F.spark_partition_id())
     # Read twice (per-piece lags, partition boundaries): checkpoint once.
     from hearth.session import ensure_checkpoint_dir
 

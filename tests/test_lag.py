@@ -19,3 +19,11 @@ def test_ranked_lag_equals_window_with_hot_key(spark, parts):
     w = Window.partitionBy("k").orderBy(F.col("d").asc_nulls_last(), F.col("id").asc_nulls_last())
     plain = df.withColumn("prev_v", F.lag("v").over(w))
     assert sorted(map(tuple, ranked.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def test_ranked_lag_with_spark_chosen_partitions(spark):
+    df = spark.createDataFrame([("hot" if i % 2 else f"k{i % 7}", i // 3, i, float(i)) for i in range(500)], "k string, d int, id int, v double")
+    ranked = with_lags(df, ["k"], ["d", "id"], [("v", "prev_v")], strategy="ranked")
+    w = Window.partitionBy("k").orderBy("d", "id")
+    plain = df.withColumn("prev_v", F.lag("v").over(w))
+    assert sorted(map(tuple, ranked.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)

@@ -26,3 +26,11 @@ def test_median_auto_picks_builtin_for_small_groups(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 2.0)], "g string, v double")
     got = {r["g"]: r["m"] for r in grouped_median(df, ["g"], "v", "m").collect()}
     assert got == {"a": 2.0, "b": 2.0}
+
+
+def test_ranked_median_with_spark_chosen_partitions(spark):
+    rows = [("hot" if i % 3 else f"g{i % 5}", float(i % 37)) for i in range(900)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r["g"]: r["m"] for r in grouped_median(df, ["g"], "v", "m", "ranked").collect()}
+    want = pd.DataFrame(rows, columns=["g", "v"]).groupby("g")["v"].median().to_dict()
+    assert got == pytest.approx(want)
