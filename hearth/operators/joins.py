@@ -14,7 +14,10 @@ BROADCAST_MAX_ROWS = 100_000
 
 
 def row_count_at_most(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows.  Reads at most ``limit + 1`` rows."""
+    """True when ``df`` has at most ``limit`` rows.
+
+    One job that stops after ``limit + 1`` rows of output (a dimension that is
+    itself an aggregate is still computed in full for it)."""
     return df.limit(limit + 1).count() <= limit
 
 
