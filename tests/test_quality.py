@@ -66,3 +66,9 @@ def test_freshness_states(spark):
     df = raw(spark, good_rows())
     state = lambda h: quality.freshness(df, dt.datetime(2026, 5, 1) + dt.timedelta(hours=h), "ingested_at").first()["freshness_state"]
     assert (state(1), state(40), state(80)) == ("pass", "warn", "error")
+
+
+def test_missing_datasets_lists_absent_names(spark):
+    rows = [r for r in good_rows() if r[0] not in ("zillow_zori_zip", "listing_snapshots")]
+    got = sorted(r[0] for r in quality.missing_datasets(spark, raw(spark, rows), REQUIRED_DATASETS).collect())
+    assert got == ["listing_snapshots", "zillow_zori_zip"]

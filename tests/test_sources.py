@@ -81,3 +81,11 @@ def test_materialize_view_and_table(spark):
     assert table.count() == 6 and spark.table("mart_demo").count() == 6
     again = materialize(spark.range(2), "marts", "mart_demo", root)  # new version, old one untouched
     assert again.count() == 2
+
+
+def test_csv_without_multiline_splits(spark):
+    d = _dir()
+    with open(os.path.join(d, "b.csv"), "w", encoding="utf-8") as fh:
+        fh.write("id,v\n" + "".join(f"{i},x{i}\n" for i in range(50)))
+    rows = read_csv_rows(spark, d, multiline=False)
+    assert rows.count() == 50 and set(rows.columns) == {"id", "v"}
