@@ -104,11 +104,14 @@ def to_raw_records(
     payload: Column | None = None,
     ordinal: bool = True,
     payload_sorted: bool | None = None,
+    ordinal_scope: str = "input",
 ) -> DataFrame:
     """Wrap every row of ``df`` in the raw-record envelope.
 
     ``payload_sorted``: the given ``payload`` map was built with its keys in
     sorted order (default: true for the payload built here from the columns).
+    ``ordinal_scope``: ``input`` numbers rows across the whole input; ``file``
+    restarts at 1 in every source file (``df`` must then be a file scan).
 
     ``ordinal`` controls the ``name:row_number`` fallback key used when every
     key part of a row is empty (or the spec has no key).  It costs one extra
@@ -118,7 +121,8 @@ def to_raw_records(
     base = df
     need_ordinal = ordinal or not spec.primary_key
     if need_ordinal:
-        base = with_dense_index(base, "__ordinal")
+        within = F.col("_metadata.file_path") if ordinal_scope == "file" else None
+        base = with_dense_index(base, "__ordinal", within=within)
     p = payload if payload is not None else payload_from_columns(df)
     if payload_sorted is None:
         payload_sorted = payload is None

@@ -64,3 +64,21 @@ def test_latest_version_staging(spark):
     assert stg_rent_prices(raw).count() == 3  # every landed version: January twice
     latest = stg_rent_prices(raw, latest_version=True)
     assert sorted(str(r["rent_month"]) for r in latest.collect()) == ["2026-01-01", "2026-02-01"]
+
+
+def test_ordinal_restarts_per_file(spark):
+    import os
+    import tempfile
+
+    from hearth.sources.files import read_csv_rows
+
+    d = tempfile.mkdtemp(prefix="hearth-ord-")
+    for name, rows in (("a.csv", ["", "k1", ""]), ("b.csv", ["", "", "k2", ""])):
+        with open(os.path.join(d, name), "w") as fh:
+            fh.write("id,v\n" + "".join(f"{r},x\n" for r in rows))
+    spec = SourceSpec("feed", "t", "u", ("id",))
+    raw = to_raw_records(read_csv_rows(spark, d), spec, "r", "2026-01-01 00:00:00", ordinal_scope="file")
+    ids = sorted(r["source_row_id"] for r in raw.collect())
+    assert ids == sorted(["feed:1", "k1", "feed:3", "feed:1", "feed:2", "k2", "feed:4"])
+    whole = to_raw_records(read_csv_rows(spark, d), spec, "r", "2026-01-01 00:00:00")
+    assert len({r["source_row_id"] for r in whole.collect()}) == 7  # one numbering over both files
