@@ -8,13 +8,14 @@ dimension small); the model itself runs at the caller's action.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from hearth.plans import bindings, intermediate, marts, staging
-from hearth.session import ensure_checkpoint_dir
+from hearth.session import scratch_path
 
 # Models read more than once by the scorecard: worth materializing there.
 SHARED_MODELS = ("stg_listing_snapshots", "int_neighborhood_development_signals")
@@ -39,10 +40,14 @@ class ModelGraph:
         self.materialize = frozenset(materialize)
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a shared model once as parquet under the checkpoint folder and
+        read it back (columnar and compressed, with file statistics for the
+        readers, unlike an RDD checkpoint)."""
         if name not in self.materialize:
             return df
-        ensure_checkpoint_dir(self.spark)
-        return df.checkpoint(eager=True)
+        path = scratch_path(self.spark, f"model-{name}-{uuid.uuid4().hex}")
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
 
     def table(self, name: str) -> DataFrame:
         return bindings.table(self.spark, self.sf_dir, name)

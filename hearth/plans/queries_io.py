@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from hearth.plans import bindings
 from hearth.plans.oracle import compose, fragment
-from hearth.plans.graph import ModelGraph
+from hearth.plans.graph import SHARED_MODELS, ModelGraph
 from hearth.plans.registry import register, register_fragment
 from hearth.session import scratch_path
 from hearth.sources.catalog import register_raw_table
@@ -229,7 +229,8 @@ EXTRACT_KEYS = {
 
 def _extract_query(dataset: str):
     model, cols = EXTRACTS[dataset]
-    return lambda spark, d: extract(getattr(ModelGraph(spark, d), model), cols)
+    shared = SHARED_MODELS if model == "mart_neighborhood_scorecard" else ()
+    return lambda spark, d: extract(getattr(ModelGraph(spark, d, materialize=shared), model), cols)
 
 
 for _key, _dataset in EXTRACT_KEYS.items():

@@ -37,7 +37,7 @@ from hearth.operators.ordinal import with_dense_index
 from hearth.operators.relational import distinct_rows, project, where_in, where_present
 from hearth.plans import bindings, intermediate, marts, oracle
 from hearth.plans.oracle import compose, fragment, q
-from hearth.plans.graph import ModelGraph
+from hearth.plans.graph import SHARED_MODELS, ModelGraph
 from hearth.plans.registry import register, register_fragment
 from hearth.plans.staging import STATION_BOROUGHS
 from hearth.schemas import ENVELOPE_KEYS
@@ -389,7 +389,7 @@ register_fragment(
 register_fragment(
     "join_left_chain",
     "neighborhood_scorecard_id s, postal_code s, latest_rent_month t, listing_count i, estimated_development_cost d, development_activity_band s",
-    lambda spark, d: P(spark, d).mart_neighborhood_scorecard,
+    lambda spark, d: P(spark, d, materialize=SHARED_MODELS).mart_neighborhood_scorecard,
     "mart_neighborhood_scorecard",
 )
 
@@ -720,7 +720,7 @@ register_fragment(
 register_fragment(
     "fn_signal_score",
     "neighborhood_scorecard_id s, rent_volatility_band s, permit_count i, recruiter_demo_signal_score i",
-    lambda spark, d: P(spark, d).mart_neighborhood_scorecard,
+    lambda spark, d: P(spark, d, materialize=SHARED_MODELS).mart_neighborhood_scorecard,
     "mart_neighborhood_scorecard",
 )
 register_fragment(

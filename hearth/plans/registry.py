@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.plans import oracle
-from hearth.plans.graph import ModelGraph
+from hearth.plans.graph import SHARED_MODELS, ModelGraph
 from hearth.plans.present import checkable
 
 SparkQuery = Callable[[SparkSession, str], DataFrame]
@@ -108,8 +108,13 @@ MODEL_COLUMNS = {
 }
 
 
+# Graphs that read the listing staging and the development signals from
+# several branches write them once (parquet under the checkpoint folder).
+MATERIALIZED = {"mart_neighborhood_scorecard": SHARED_MODELS}
+
+
 def _model(name: str) -> SparkQuery:
-    return lambda spark, sf_dir: getattr(ModelGraph(spark, sf_dir), name)
+    return lambda spark, sf_dir: getattr(ModelGraph(spark, sf_dir, materialize=MATERIALIZED.get(name, ())), name)
 
 
 for _name, _cols in MODEL_COLUMNS.items():
