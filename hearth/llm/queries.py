@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hearth.llm import multiset_hash
+from hearth.llm import multiset_hash, prefix_bpe
 from hearth.llm.common import id_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +27,9 @@ def query(name: str, sql: str | None = None):
 @query("op9_document_fingerprints", multiset_hash.SQL)
 def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset_hash.edited_documents(id_text(table(spark, sf_dir, "documents")))
+
+
+@query("op5_byte_bpe")
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return prefix_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
