@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hearth.llm import multiset_hash, prefix_bpe
+from hearth.llm import multiset_hash, piece_count, prefix_bpe
 from hearth.llm.common import id_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +33,8 @@ def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return prefix_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op4_token_counts")
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
