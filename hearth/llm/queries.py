@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hearth.llm import multiset_hash, piece_count, prefix_bpe
+from hearth.llm import multiset_hash, piece_count, prefix_bpe, secret_ledger
 from hearth.llm.common import id_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,9 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_token_counts")
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op6_secret_scan", secret_ledger.SQL)
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = id_text(table(spark, sf_dir, "documents"))
+    return secret_ledger.document_findings(docs, secret_ledger.empty_ledger(spark), secret_ledger.empty_findings(spark))
