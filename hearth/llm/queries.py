@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hearth.llm import multiset_hash, piece_count, prefix_bpe, secret_ledger
+from hearth.llm import chat_masks, multiset_hash, piece_count, prefix_bpe, secret_ledger
 from hearth.llm.common import id_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,14 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = id_text(table(spark, sf_dir, "documents"))
     return secret_ledger.document_findings(docs, secret_ledger.empty_ledger(spark), secret_ledger.empty_findings(spark))
+
+
+#: A conversation whose turns look like a chat template.
+PROBE = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+@query("op7_chat_format")
+def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame(PROBE, "conv_id long, turn long, role string, text string")
+    return chat_masks.format_digests(turns.unionByName(probe), public_tokenizers.path("byte_bpe_50k.json"))
