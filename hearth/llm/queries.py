@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hearth.llm import chat_masks, multiset_hash, piece_count, prefix_bpe, secret_ledger
+from hearth.llm import chat_masks, containment, multiset_hash, piece_count, prefix_bpe, secret_ledger
 from hearth.llm.common import id_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,8 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame(PROBE, "conv_id long, turn long, role string, text string")
     return chat_masks.format_digests(turns.unionByName(probe), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op10_benchmark_decontamination", containment.SQL)
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return containment.contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
