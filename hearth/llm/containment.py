@@ -107,11 +107,11 @@ _LOWERED = r"translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdef
 def sql_shingles(table: str, key: str) -> str:
     """Rows ``key s`` of the distinct shingles of a table, as text."""
     return rf"""SELECT DISTINCT {key}, CASE WHEN n < 5 THEN all_words ELSE concat_ws(' ', w, w1, w2, w3, w4) END AS s FROM (
-      SELECT {key}, w, at, count(*) OVER r AS n, string_agg(w, ' ') FILTER (WHERE at < 5) OVER r AS all_words,
+      SELECT {key}, w, pos, count(*) OVER r AS n, string_agg(w, ' ') FILTER (WHERE pos < 5) OVER r AS all_words,
              lead(w, 1) OVER o AS w1, lead(w, 2) OVER o AS w2, lead(w, 3) OVER o AS w3, lead(w, 4) OVER o AS w4
-      FROM (SELECT {key}, rid, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS at FROM (
+      FROM (SELECT {key}, rid, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS pos FROM (
               SELECT {key}, row_number() OVER () AS rid, regexp_extract_all({_LOWERED}, '[^\x20\x09-\x0D]+') AS ws FROM {table}))
-      WINDOW o AS (PARTITION BY rid ORDER BY at), r AS (PARTITION BY rid ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+      WINDOW o AS (PARTITION BY rid ORDER BY pos), r AS (PARTITION BY rid ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
       WHERE w4 IS NOT NULL OR n < 5"""
 
 
