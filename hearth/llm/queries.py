@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hearth.llm import chat_masks, containment, multiset_hash, piece_count, prefix_bpe, secret_ledger
+from hearth.llm import chat_masks, containment, group_join, multiset_hash, piece_count, prefix_bpe, secret_ledger
 from hearth.llm.common import id_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,8 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_benchmark_decontamination", containment.SQL)
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return containment.contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_ngram_jaccard_join")
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_join.jaccard_components(table(spark, sf_dir, "documents"))
