@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hearth.llm import chat_masks, containment, group_join, multiset_hash, piece_count, prefix_bpe, secret_ledger
+from hearth.llm import chat_masks, containment, group_join, link_trust, multiset_hash, piece_count, prefix_bpe, secret_ledger, toxicity
 from hearth.llm.common import id_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,14 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_ngram_jaccard_join")
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op3_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op2_url_filters", link_trust.SQL)
+def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_trust.judge(table(spark, sf_dir, "pages"))
