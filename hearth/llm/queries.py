@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hearth.llm import chat_masks, containment, group_join, link_trust, multiset_hash, piece_count, prefix_bpe, secret_ledger, toxicity
+from hearth.llm import chat_masks, containment, group_join, link_trust, multiset_hash, piece_count, prefix_bpe, repeat_removal, secret_ledger, toxicity
 from hearth.llm.common import id_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,9 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_url_filters", link_trust.SQL)
 def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_trust.judge(table(spark, sf_dir, "pages"))
+
+
+@query("op1_suffix_array_dedup")
+def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeat_removal.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
