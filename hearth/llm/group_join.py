@@ -34,7 +34,6 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,22 +49,9 @@ SHINGLE = 5
 THRESHOLD = 80
 #: Frequent shingles that the order puts last, at most (8 bytes each), and how often one task must see a shingle to report it.
 FREQUENT, REPORTED = 1 << 17, 4
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_LOWER = {c: c + 32 for c in range(65, 91)}
 _MULTIPLIER = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)
-
-
-class _WordHashes(dict):
-    """64-bit hashes of words, made when asked for; emptied at a fixed size."""
-
-    def __missing__(self, word: str) -> int:
-        h = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-        if len(self) < 500_000:
-            self[word] = h
-        return h
-
-
-_HASHES = _WordHashes()
+#: Bytes as they count: A-Z lower-cased, separators 0, others one more than they are (UTF-8 keeps words apart by these bytes alone).
+_BYTE = np.array([0 if c == 0x20 or 9 <= c <= 13 else (c + 32 if 65 <= c <= 90 else c) + 1 for c in range(256)], dtype=np.uint64)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -73,18 +59,51 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def shingle_set(text: str) -> np.ndarray:
-    """Sorted distinct hashes (int64) of the text's shingles."""
-    words = _WORD.findall(text.translate(_LOWER) if not text.isascii() else text.lower())
-    if not words:
-        return np.zeros(0, dtype=np.int64)
-    h = np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
-    n = max(1, len(h) - SHINGLE + 1)
+def _powers(n: int, known: list[np.ndarray] = []) -> np.ndarray:  # noqa: B006
+    """Powers of the word hash's base modulo 2**64; kept between calls."""
+    if not known or len(known[0]) < n:
+        known[:] = [np.cumprod(np.r_[np.uint64(1), np.full(max(n, 1 << 10), _MULTIPLIER[0], dtype=np.uint64)], dtype=np.uint64)]
+    return known[0]
+
+
+def shingle_sets(texts: list[str]) -> list[np.ndarray]:
+    """Sorted distinct hashes (int64) of each text's shingles: words, then windows of words, all in whole arrays."""
+    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+    c = _BYTE[np.frombuffer(b" ".join(raw) + b" ", dtype=np.uint8)]
+    text_end = np.cumsum([len(r) + 1 for r in raw])
+    inside = c > 0
+    first = np.flatnonzero(inside & np.r_[True, ~inside[:-1]])
+    if not len(first):
+        return [np.zeros(0, dtype=np.int64) for _ in texts]
+    after = np.flatnonzero(~inside & np.r_[False, inside[:-1]])
+    at = np.flatnonzero(inside)
+    size = after - first
+    ends = np.cumsum(size)
+    place = np.arange(len(at)) - np.repeat(ends - size, size)
+    with np.errstate(over="ignore"):
+        word = _mixed(np.add.reduceat(c[at] * _powers(int(size.max()))[place], ends - size) + size.astype(np.uint64))
+        owner = np.searchsorted(text_end, first, side="right")
+        n_words = np.bincount(owner, minlength=len(texts))
+        window = _rolled(word, SHINGLE)
+    start = np.cumsum(n_words) - n_words
+    out = []
+    for s, n in zip(start.tolist(), n_words.tolist()):
+        if n >= SHINGLE:
+            h = window[s : s + n - SHINGLE + 1]
+        else:
+            h = _rolled(word[s : s + n], n) if n else word[:0]
+        out.append(np.unique(h.view(np.int64)))
+    return out
+
+
+def _rolled(word: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all runs of k words."""
+    n = max(0, len(word) - k + 1)
     with np.errstate(over="ignore"):
-        s = np.full(n, min(len(h), SHINGLE), dtype=np.uint64)
-        for k in range(min(SHINGLE, len(h))):
-            s = _mixed(s + h[k : k + n] * np.uint64(_MULTIPLIER[k]))
-    return np.unique(s.view(np.int64))
+        s = np.full(n, k, dtype=np.uint64)
+        for i in range(k):
+            s = _mixed(s + word[i : i + n] * np.uint64(_MULTIPLIER[i]))
+    return s
 
 
 def _prefix_length(n: np.ndarray | int, t: int) -> np.ndarray | int:
@@ -96,7 +115,7 @@ def _frequent(docs: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows_of(batches, 16 << 20):
-            every = [shingle_set(t) for t in b.column("text").to_pylist()]
+            every = shingle_sets(b.column("text").to_pylist())
             h, c = np.unique(np.concatenate(every), return_counts=True) if every else (np.zeros(0, np.int64), np.zeros(0, np.int64))
             often = c >= REPORTED
             yield pa.RecordBatch.from_arrays([pa.array(h[often]), pa.array(c[often].astype(np.int64))], ["hash", "c"])
@@ -128,7 +147,7 @@ def _with_prefix(docs: DataFrame, frequent: np.ndarray, t: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows_of(batches):
-            cols = list(zip(*(one(shingle_set(x)) for x in b.column("text").to_pylist())))
+            cols = list(zip(*map(one, shingle_sets(b.column("text").to_pylist()))))
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column("doc_id"), pa.array(cols[0], type=pa.int64()), pa.array(cols[1], type=pa.int64()), pa.array(cols[2], type=pa.int32()),
@@ -146,15 +165,16 @@ def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows_of(batches):
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([shingle_set(x).tobytes() for x in b.column("text").to_pylist()], type=pa.binary())], ["node", "bytes"]
+                [b.column("doc_id"), pa.array([x.tobytes() for x in shingle_sets(b.column("text").to_pylist())], type=pa.binary())], ["node", "bytes"]
             )
 
     wanted = docs.join(nodes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
     return wanted.select("doc_id", "text").mapInArrow(run, "node long, bytes binary")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, t: int) -> DataFrame:
-    """The pairs ``a b`` whose whole sets reach the threshold."""
+def _linked(pairs: DataFrame, docs: DataFrame, t: int) -> DataFrame:
+    """The pairs ``a b`` whose whole sets reach the threshold.  Sets are made from the texts of the pairs' documents alone."""
+    sets = checkpoint(_sets_of(docs, pairs.select(F.col("a").alias("node")).union(pairs.select("b"))), pairs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows_of(batches, 16 << 20):
@@ -175,26 +195,21 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, id_col: str
     spark = docs.sparkSession
     ship(spark)
     docs = id_text(docs, id_col, text_col)
-    rows = checkpoint(_with_prefix(docs, _frequent(docs), threshold), spark)
-
-    classes = rows.where("n > 0").groupBy("k1", "k2").agg(
-        F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("prefix").alias("prefix"),
+    marked = _with_prefix(docs, _frequent(docs), threshold).withColumn("group", F.xxhash64("n", "prefix"))
+    rows = checkpoint(marked.select("doc_id", "n", "k1", "k2", "group"), spark)
+    members = checkpoint(rows.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.first("group").alias("group")), spark)
+    groups = marked.where("n > 0").groupBy("group").agg(
+        F.min("doc_id").alias("hub"), F.first("n").alias("n"), F.first("prefix").alias("prefix"),
         F.first("last_rank").alias("last_rank"), F.first("last_hash").alias("last_hash"),
     )
-    members = checkpoint(
-        classes.select("node", "k1", "k2", "n", "prefix", "last_rank", "last_hash", F.xxhash64("n", "prefix").alias("group")), spark
-    )
-    groups = members.groupBy("group").agg(
-        F.min("node").alias("hub"), F.first("n").alias("n"), F.first("prefix").alias("prefix"),
-        F.first("last_rank").alias("last_rank"), F.first("last_hash").alias("last_hash"),
-    )
-    by_token = Window.partitionBy("token")
-    posted = groups.select("group", F.explode_outer("prefix").alias("token")).withColumn("c", F.count(F.lit(1)).over(by_token)).where("c > 1").select("token", "group")
-    shared = posted.groupBy("group").agg(F.count(F.lit(1)).alias("shared"))
-    facts = groups.join(shared, "group").select(
-        "group", "hub", "n", "last_rank", "last_hash", (F.col("n") - F.size("prefix") + F.col("shared")).alias("most")
+    # a list's rows are small: token, hub; what else is known of a hub is joined to the few rows of lists that are shared
+    posted = groups.select("hub", F.explode_outer("prefix").alias("token")).withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("c > 1").select("token", "hub")
+    posted = checkpoint(posted, spark)
+    shared = posted.groupBy("hub").agg(F.count(F.lit(1)).alias("shared"))
+    facts = groups.select("group", "hub", "n", F.size("prefix").alias("p"), "last_rank", "last_hash").join(shared, "hub").select(
+        "group", "hub", "n", "last_rank", "last_hash", (F.col("n") - F.col("p") + F.col("shared")).alias("most")
     )  # most: shingles that the group's sets can share with a set whose prefix ends later
-    lists = checkpoint(posted.join(facts, "group"), spark)
+    lists = checkpoint(posted.join(facts, "hub"), spark)
 
     def possible(a: str, b: str):
         x, y = (F.col(f"{s}.n") for s in (a, b))
@@ -208,14 +223,11 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, id_col: str
     centre = l.groupBy("token").agg(F.min(entry).alias("centre"))
     spokes = l.join(centre, "token").select(F.struct("hub", "n", "last_rank", "last_hash", "most").alias("p"), F.col("centre").alias("q"))
     spokes = spokes.where((F.col("p.hub") != F.col("q.hub")) & possible("p", "q")).select(F.col("p.hub").alias("a"), F.col("q.hub").alias("b"))
-    inner = members.join(groups.select("group", "hub"), "group").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    crowd = members.groupBy("group").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    inner = members.join(crowd, "group").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     first = checkpoint(spokes.union(inner).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), spark)
-
+    links = checkpoint(_linked(first, docs, threshold), spark)
     member_of = members.select("group", "node")
-    crowded = member_of.join(member_of.groupBy("group").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "group").select("node")
-    nodes = lists.select(F.col("hub").alias("node")).union(lists.select("group").distinct().join(member_of, "group").select("node")).union(crowded)
-    sets = checkpoint(_sets_of(docs, nodes), spark)
-    links = checkpoint(_linked(first, sets, threshold), spark)
 
     # a doc_id with several texts is one node: it ties their classes together
     several = rows.where("n > 0").join(members.select("k1", "k2", "node"), ["k1", "k2"]).groupBy("doc_id").agg(
@@ -235,7 +247,7 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, id_col: str
         .join(first, ["a", "b"], "left_anti")
     )
     # groups without a list of their own: members not linked with the first may be linked with each other
-    loose = member_of.join(crowded.distinct(), "node").join(label.withColumnRenamed("component", "_c"), "node", "left").withColumn("c", F.coalesce("_c", "node"))
+    loose = member_of.join(crowd.select("group"), "group").join(label.withColumnRenamed("component", "_c"), "node", "left").withColumn("c", F.coalesce("_c", "node"))
     loose_top = loose.groupBy("group", "c").agg(F.count(F.lit(1)).alias("m")).groupBy("group").agg(F.max(F.struct("m", "c"))["c"].alias("top"))
     loose = loose.join(loose_top, "group")
     inside = (
@@ -243,7 +255,7 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, id_col: str
         .select(F.least("s.node", "o.node").alias("a"), F.greatest("s.node", "o.node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     )
     rest = checkpoint(rest.union(inside).distinct(), spark)
-    more = _linked(rest, sets, threshold)
+    more = _linked(rest, docs, threshold)
     label = components(links.union(more).union(several))
 
     of_class = members.select("k1", "k2", "node").join(label, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
@@ -253,7 +265,8 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, id_col: str
 
 
 def keep_one(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` (all columns) without those that another document of their component stands for.
-    Equal rows of the document that stays are kept once each as they came."""
-    found = jaccard_components(docs, threshold).where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti")
+    """The rows of ``docs`` (all columns) without those that another document of their component stands for;
+    of rows that repeat a doc_id and its text one stays."""
+    found = jaccard_components(docs, threshold).where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_hearth_id")).distinct()
+    kept = docs.join(found, docs["doc_id"] == found["_hearth_id"], "left_anti")
+    return kept.dropDuplicates(["doc_id", "text"])

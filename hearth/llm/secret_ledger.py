@@ -132,6 +132,18 @@ def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(text)
 
 
+def redact_documents(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
+    """The rows of ``docs`` (all columns) with their secrets marked; ``n_chars``, if there, follows the new text.
+    A null text stays null."""
+    f = scan_increment(docs.select("text")).where(F.size("spans") > 0).select(F.col("blob").alias("_hearth_blob"), F.col("spans").alias("_hearth_spans"))
+    none = F.expr(f"cast(array() as array<{SPAN}>)")
+    found = docs.join(f, blob_of(docs["text"]) == f["_hearth_blob"], "left").withColumn("_hearth_spans", F.coalesce("_hearth_spans", none))
+    new = found.withColumn("text", F.when(F.col("text").isNotNull(), redact(F.col("text"), F.col("_hearth_spans"), mark)))
+    if "n_chars" in docs.columns:
+        new = new.withColumn("n_chars", F.when(F.size("_hearth_spans") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return new.select(*docs.columns)
+
+
 def _sql_kind(rank: int, kind: str, pattern: str, group: int, least: int) -> str:
     quoted = pattern.replace("'", "''")
     return f"""k{rank} AS (
