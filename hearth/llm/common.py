@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import threading
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -68,3 +69,13 @@ def checkpoint(df: DataFrame, spark: SparkSession) -> DataFrame:
 
     ensure_checkpoint_dir(spark)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
+    """Cut the lineage by a Parquet table in the shared scratch folder: for larger intermediates, which it
+    compresses and of which later reads take only the columns they need."""
+    from hearth.session import scratch_path
+
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -3,7 +3,7 @@
 A byte is removed when a string of ``LENGTH`` bytes covers it that also starts
 anywhere else in the corpus.  The parse follows the text alone: a place is a
 trigger when the rolling hash of the ``PROBE`` bytes from it falls into one of
-``SPACING`` classes, so equal strings are cut at equal places wherever they
+``SPACINGS`` classes, so equal strings are cut at equal places wherever they
 stand, and no phrase is the start of another (each ends where a trigger begins).
 
 Every string of ``LENGTH`` bytes is told by its first trigger: the end of a
@@ -11,7 +11,7 @@ phrase before it and the parse after it.  Strings whose first trigger lies in
 the same block of ``BLOCK`` bytes of the same phrase end form a unit, with
 
 * ``k``: the hash of the bytes that all of its strings share, and
-* ``e``: a 128-bit hash of the bytes that they cover together.
+* ``e``: a 96-bit hash of the bytes that they cover together.
 
 Sorting units by (k, e) puts the corpus in the order that the dictionary's
 and the parse's suffix arrays would give as far as equality over ``LENGTH``
@@ -42,11 +42,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearth.llm.common import id_text, rows_of, ship
+from hearth.llm.common import id_text, rows_of, ship, stored
 
 LENGTH = 400
-#: Bytes that decide a trigger, bytes between triggers on average, and starts that a unit holds at most.
-PROBE, SPACING, BLOCK = 12, 64, 100
+#: Bytes that decide a trigger, bytes between triggers on average (by tier), and starts that a unit holds at most.
+PROBE, SPACINGS, BLOCK = 12, (96, 12), 100
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -89,29 +89,38 @@ class Hashes:
             return (self.sums[which][end] - self.sums[which][start]) * self.down[which][start]
 
 
-def triggers(h: Hashes, n: int) -> np.ndarray:
+def _first_triggers(h: Hashes, n: int, starts: np.ndarray, tier: int) -> np.ndarray:
+    """Bytes from each start to its first trigger of a tier (very many if there is none)."""
     at = np.arange(max(0, n - PROBE + 1))
     with np.errstate(over="ignore"):
-        return at[((h.of(at, at + PROBE, 0) * _MIX) >> np.uint64(40)) % np.uint64(SPACING) == 0]
+        part = (h.of(at, at + PROBE, 0) * _MIX) >> np.uint64(40 - 20 * tier)
+    q = at[part % np.uint64(SPACINGS[tier]) == 0]
+    return np.r_[q, 2 * n + LENGTH][np.searchsorted(q, starts)] - starts
 
 
 def units(data: np.ndarray) -> tuple[Hashes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, anchors, first and last starts of the units, and the starts of strings without a trigger."""
-    h, n = Hashes(data), len(data)
-    starts = np.arange(n - LENGTH + 1)
-    q = triggers(h, n)
-    at = np.searchsorted(q, starts)
-    reach = np.r_[q, n + LENGTH][at]
-    ahead = reach - starts  # bytes before the first trigger
-    bare = ahead > LENGTH - PROBE
-    with_trigger = starts[~bare]
-    anchor = (reach - ahead // BLOCK * BLOCK)[~bare]
-    if not len(with_trigger):
-        return h, anchor, anchor, anchor, starts[bare]
-    # starts run upward, so each anchor's starts are together
-    first = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (np.diff(with_trigger) != 1)])
-    last = np.r_[first[1:], len(anchor)] - 1
-    return h, anchor[first], with_trigger[first], with_trigger[last], starts[bare]
+    """Hashes, anchors, first and last starts of the units, and the starts of strings without a trigger.
+
+    Strings without a trigger of the first tier are told by the closer triggers of the second; which tier a
+    string belongs to and where its trigger is depend on its own bytes alone."""
+    h, left = Hashes(data), np.arange(len(data) - LENGTH + 1)
+    found = []
+    for tier in range(len(SPACINGS)):
+        ahead = _first_triggers(h, len(data), left, tier)
+        bare = ahead > LENGTH - PROBE
+        starts, anchor = left[~bare], (left + ahead % BLOCK)[~bare]
+        left = left[bare]
+        if len(starts):  # starts run upward, so each anchor's starts are together
+            first = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (np.diff(starts) != 1)])
+            last = np.r_[first[1:], len(anchor)] - 1
+            found.append((anchor[first], starts[first], starts[last], np.full(len(first), tier)))
+        if not len(left):
+            break
+    if not found:
+        z = np.zeros(0, dtype=np.int64)
+        return h, z, z, z, left
+    anchor, lo, hi, tier = (np.concatenate(x) for x in zip(*found))
+    return h, anchor, lo, hi, left
 
 
 def unit_keys(h: Hashes, anchor: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -125,8 +134,8 @@ def _bytes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
 
 
-_UNIT = "doc_id long, text_key long, kind int, k long, e1 long, e2 long, anchor int, lo int, hi int"
-_UNIT_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+_UNIT = "doc_id long, text_key int, kind int, k long, e1 long, e2 int, lo int, hi int"
+_UNIT_TYPES = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
 _UNIT_NAMES = [c.split()[0] for c in _UNIT.split(", ")]
 
 
@@ -140,18 +149,18 @@ def parse(docs: DataFrame) -> DataFrame:
             return None
         h, anchor, lo, hi, bare = units(data)
         k, e1, e2 = unit_keys(h, anchor, lo, hi)
-        parts = [np.array([np.zeros(len(k), np.int64), k, e1, e2, anchor, lo, hi])]
+        parts = [np.array([np.zeros(len(k), np.int64), k, e1, e2 >> 32, lo, hi])]
         if len(bare):
             b1, b2 = h.of(bare, bare + LENGTH, 0).view(np.int64), h.of(bare, bare + LENGTH, 1).view(np.int64)
             _, first, count = np.unique(np.stack([b1, b2]), axis=1, return_index=True, return_counts=True)
-            parts.append(np.array([np.full(len(first), 1), b1[first], b1[first], b2[first], bare[first], bare[first], bare[first]]))
+            parts.append(np.array([np.full(len(first), 1), b1[first], b1[first], b2[first] >> 32, bare[first], bare[first]]))
             if (count > 1).any():
                 _, back = np.unique(np.stack([b1, b2]), axis=1, return_inverse=True)
                 own = bare[(count > 1)[back.reshape(-1)]]
                 cut = np.flatnonzero(np.r_[True, np.diff(own) != 1])
                 lo2, hi2 = own[cut], own[np.r_[cut[1:], len(own)] - 1]
                 z = np.zeros(len(cut), np.int64)
-                parts.append(np.array([z + 2, lo2, z, z, lo2, lo2, hi2]))
+                parts.append(np.array([z + 2, lo2, z, z, lo2, hi2]))
         return np.concatenate(parts, axis=1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,14 +174,14 @@ def parse(docs: DataFrame) -> DataFrame:
                     found.append(r)
             if found:
                 cols = np.concatenate(found, axis=1)
-                arrays = [pa.array(ids, type=pa.int64()), pa.array(keys, type=pa.int64())]
+                arrays = [pa.array(ids, type=pa.int64()), pa.array(keys, type=pa.int32())]
                 arrays += [pa.array(c).cast(t) for c, t in zip(cols, _UNIT_TYPES[2:])]
                 yield pa.RecordBatch.from_arrays(arrays, _UNIT_NAMES)
 
     return docs.mapInArrow(run, _UNIT)
 
 
-_STRING = "doc_id long, text_key long, h1 long, h2 long, start int, wanted boolean"
+_STRING = "doc_id long, text_key int, h1 long, h2 int, start int, wanted boolean"
 
 
 def _strings(rows: DataFrame) -> DataFrame:
@@ -186,8 +195,8 @@ def _strings(rows: DataFrame) -> DataFrame:
                 wanted = np.concatenate([np.full(u["hi"] - u["lo"] + 1, u["wanted"]) for u in borders])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([i] * len(s), type=pa.int64()), pa.array([t] * len(s), type=pa.int64()),
-                        pa.array(h.of(s, s + LENGTH, 0).view(np.int64)), pa.array(h.of(s, s + LENGTH, 1).view(np.int64)),
+                        pa.array([i] * len(s), type=pa.int64()), pa.array([t] * len(s), type=pa.int32()),
+                        pa.array(h.of(s, s + LENGTH, 0).view(np.int64)), pa.array((h.of(s, s + LENGTH, 1).view(np.int64) >> 32).astype(np.int32)),
                         pa.array(s.astype(np.int32)), pa.array(wanted),
                     ],
                     ["doc_id", "text_key", "h1", "h2", "start", "wanted"],
@@ -201,7 +210,7 @@ def repeated_starts(texts: DataFrame) -> DataFrame:
     parsed = parse(texts)
     same_k, same_e = Window.partitionBy("kind", "k"), Window.partitionBy("kind", "k", "e1", "e2")
     ranked = Window.partitionBy("kind", "k", "e1", "e2").orderBy("doc_id", "text_key", "lo")
-    counted = (
+    counted = stored(
         parsed.repartition("k")
         .withColumn("n_k", F.count(F.lit(1)).over(same_k)).where("n_k > 1 or kind = 2")
         .withColumn("n_e", F.count(F.lit(1)).over(same_e))
@@ -212,7 +221,8 @@ def repeated_starts(texts: DataFrame) -> DataFrame:
             ((F.col("n_e") > 1) | (F.col("kind") == 2)).alias("whole"),
             (F.col("mixed") & (F.col("nth") == 1) & (F.col("kind") == 0)).alias("border"),
         )
-        .where("whole or border")
+        .where("whole or border"),
+        texts.sparkSession, "repeats",
     )
     whole = counted.where("whole").select("doc_id", "text_key", "lo", "hi")
     borders = counted.where("border").groupBy("doc_id", "text_key").agg(
@@ -241,7 +251,7 @@ def _kept(data: bytes, ranges: list) -> tuple[int, int, bytes]:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id n_bytes n_removed n_spans kept_sha256 kept`` of every row (``kept``: the remaining bytes)."""
     ship(docs.sparkSession)
-    texts = id_text(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text")).select(F.coalesce("doc_id", F.lit(-(1 << 62))).alias("doc_id"), "text_key", "text")
+    texts = id_text(docs, id_col, text_col).withColumn("text_key", F.hash("text")).select(F.coalesce("doc_id", F.lit(-(1 << 62))).alias("doc_id"), "text_key", "text")
     ranges = repeated_starts(texts).distinct().groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
     joined = texts.join(ranges, ["doc_id", "text_key"], "left").select("doc_id", "text", "ranges")
 
