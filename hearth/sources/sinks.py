@@ -38,27 +38,46 @@ def append_audit(buffer: DataFrame, stage: str, audit_path: str, status: str = "
     return row
 
 
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system that Spark reads; none if the folder is not there.  Other errors raise."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder))
+
+
+def _pointers(spark: SparkSession, table_root: str) -> list[str]:
+    """Pointers that were written to their end, oldest first."""
+    base = f"{table_root.rstrip('/')}/_pointers"
+    return [n for n in _children(spark, base) if n.isdigit() and "_SUCCESS" in _children(spark, f"{base}/{n}")]
+
+
 def write_version(df: DataFrame, table_root: str) -> str:
-    """Write ``df`` as a new version folder and point ``_current`` at it.
+    """Write ``df`` as a new version folder, then a new pointer to it.
 
-    Never overwrites a path that may be being read (a merge reads the current
+    Pointers are numbered and never replaced, and one counts only once it is
+    written to its end, so a reader sees the old version or the new one.  Never
+    overwrites a path that may be being read (a merge reads the current
     version while computing the next one)."""
     spark = df.sparkSession
-    version = f"{table_root.rstrip('/')}/v-{uuid.uuid4().hex}"
+    root = table_root.rstrip("/")
+    version = f"{root}/v-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(version)
-    spark.createDataFrame([(version,)], "path string").coalesce(1).write.mode("overwrite").text(
-        f"{table_root.rstrip('/')}/_current"
-    )
+    taken = [int(n) for n in _children(spark, f"{root}/_pointers") if n.isdigit()]
+    pointer = f"{root}/_pointers/{max(taken, default=0) + 1:012d}"
+    spark.createDataFrame([(version,)], "path string").coalesce(1).write.mode("errorifexists").text(pointer)
     return version
 
 
 def read_current(spark: SparkSession, table_root: str) -> DataFrame | None:
-    """The current version of a versioned table, or None if never written."""
-    try:
-        pointer = spark.read.text(f"{table_root.rstrip('/')}/_current").first()
-    except Exception:  # no pointer yet
+    """The current version of a versioned table, or None if never written.  A table that cannot be read raises."""
+    pointers = _pointers(spark, table_root)
+    if not pointers:
         return None
-    return spark.read.parquet(pointer[0]) if pointer else None
+    pointer = spark.read.text(f"{table_root.rstrip('/')}/_pointers/{pointers[-1]}").first()
+    return spark.read.parquet(pointer[0])
 
 
 def materialize(df: DataFrame, layer: str, name: str, root: str | None = None) -> DataFrame:
@@ -141,11 +160,9 @@ def publish(df: DataFrame, columns: Sequence[tuple[str, str]], path: str) -> Non
 
 
 def table_exists(spark: SparkSession, root: str) -> bool:
-    try:
-        spark.read.parquet(root).schema  # noqa: B018 - forces the listing
-        return True
-    except Exception:  # no files yet
-        return False
+    """Whether anything was written under ``root``.  Only a missing or empty folder is "no table"; a table that
+    cannot be read is one, and reading it raises."""
+    return any(not n.startswith(("_", ".")) for n in _children(spark, root))
 
 
 def append_new(
@@ -187,10 +204,11 @@ def upsert_partitions(
     checkpointed before the dynamic partition overwrite, so no file is
     overwritten while it is still being read.
 
-    Requires that a key always falls in the same partition (true for keys
-    derived from the period, as the fact ids here are).
+    A batch that repeats a key raises, and so does a key that the table holds in
+    another partition than the batch (the old row would stay beside the new one);
+    nothing is written then.
     """
-    from hearth.operators.merge import high_water_mark
+    from hearth.operators.merge import DuplicateKeyError, high_water_mark
     from hearth.session import ensure_checkpoint_dir
 
     spark = model_output.sparkSession
@@ -207,6 +225,13 @@ def upsert_partitions(
         first_part = batch.agg(F.min(part)).first()[0]
         if first_part is None:
             return
+    twice = batch.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).collect()
+    if twice:
+        raise DuplicateKeyError(f"batch repeats key {twice[0][0]}")
+    moved = current.select(key, F.col(part).alias("__old")).join(batch.select(key, F.col(part).alias("__new")), key)
+    moved = moved.where(~F.col("__old").eqNullSafe(F.col("__new"))).limit(1).collect()
+    if moved:
+        raise DuplicateKeyError(f"key {moved[0][0]} moves from partition {moved[0][1]} to {moved[0][2]}")
     affected = current.where(F.col(part) >= F.lit(first_part))
     kept = affected.join(batch.select(key), key, "left_anti")
     ensure_checkpoint_dir(spark)

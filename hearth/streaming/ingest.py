@@ -15,21 +15,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.operators.merge import first_per_key
-from hearth.schemas import ENVELOPE_KEYS, LANDED_SCHEMA
+from hearth.schemas import ENVELOPE_KEYS
+from hearth.sources.files import GOOD_LINES, LANDED_AND_REJECTS
 from hearth.sources.sinks import append_new
 
 
-def landed_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream of raw records from JSONL landed under ``root`` (hive layout)."""
-    reader = spark.readStream.schema(LANDED_SCHEMA).option("mode", "DROPMALFORMED")
+def landed_stream(
+    spark: SparkSession, root: str, max_files_per_trigger: int | None = None, file_pattern: str | None = None
+) -> DataFrame:
+    """Stream of raw records from JSONL landed under ``root`` (hive layout), read as ``read_normalized``
+    reads it: the same file name pattern, rejects and source file."""
+    reader = spark.readStream.schema(LANDED_AND_REJECTS).option("mode", "PERMISSIVE")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.json(root)
+    if file_pattern:
+        reader = reader.option("pathGlobFilter", file_pattern)
+    df = reader.json(root).where(GOOD_LINES)
     return df.select(
         "dataset_name", "dataset_type", "source_url", "source_row_id", "record_hash",
         F.try_to_timestamp(F.col("extracted_at")).alias("extracted_at"),
         F.try_to_timestamp(F.col("ingested_at")).alias("ingested_at"),
-        "run_id", "original_s3_key", "payload",
+        "run_id", F.coalesce(F.col("original_s3_key"), F.col("_metadata.file_path")).alias("original_s3_key"), "payload",
     )
 
 

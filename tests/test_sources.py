@@ -4,6 +4,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+import pytest
 from hearth.operators.envelope import SourceSpec, to_raw_records
 from hearth.sources.catalog import register_raw_table
 from hearth.sources.files import read_csv_rows, read_json_rows, read_normalized
@@ -89,3 +90,74 @@ def test_csv_without_multiline_splits(spark):
         fh.write("id,v\n" + "".join(f"{i},x{i}\n" for i in range(50)))
     rows = read_csv_rows(spark, d, multiline=False)
     assert rows.count() == 50 and set(rows.columns) == {"id", "v"}
+
+
+def test_csv_files_follow_their_own_headers(spark):
+    d = _dir()
+    with open(os.path.join(d, "a.csv"), "w") as fh:
+        fh.write("id,2026-01-01\n1,x\n")
+    with open(os.path.join(d, "b.csv"), "w") as fh:
+        fh.write("﻿id,2025-12-01,2026-01-01\n2,old,new\n3,,z\n")
+    rows = sorted((r["id"], r["2025-12-01"], r["2026-01-01"]) for r in read_csv_rows(spark, d).collect())
+    assert rows == [("1", None, "x"), ("2", "old", "new"), ("3", "", "z")]
+
+
+def test_malformed_json_document_raises_or_is_skipped(spark):
+    d = _dir()
+    with open(os.path.join(d, "good.json"), "w") as fh:
+        json.dump([{"id": 1}], fh)
+    with open(os.path.join(d, "cut.json"), "w") as fh:
+        fh.write('[{"id": 2}, {"id": ')
+    with pytest.raises(Exception):
+        read_json_rows(spark, d).collect()
+    assert [r["row"]["id"] for r in read_json_rows(spark, d, malformed="skip").collect()] == ["1"]
+
+
+def test_jsonl_count_does_not_depend_on_columns(spark):
+    d = _dir()
+    with open(os.path.join(d, "part-0.json"), "w") as fh:
+        fh.write('{"dataset_name": "a", "source_row_id": "1", "payload": {"k": "v"}}\n')
+        fh.write('{"dataset_name": "a", "source_row_id": "2", "payload": 5}\n')
+        fh.write('{"dataset_name": "a", "source_row_id": "3", "payl\n')
+    df = read_normalized(spark, d, as_of="2026-05-01 00:00:00")
+    assert df.count() == len(df.collect()) == df.select("source_row_id").distinct().count() == df.select("loaded_at").count() == 1
+
+
+def _damage(root):
+    for folder, _, names in os.walk(root):
+        for n in names:
+            if n.endswith(".parquet"):
+                with open(os.path.join(folder, n), "wb") as fh:
+                    fh.write(b"broken")
+
+
+def test_damaged_tables_raise_and_stay(spark):
+    from hearth.sources.sinks import append_new, upsert_partitions
+
+    df = spark.createDataFrame([("k1", "2024-01", "a"), ("k2", "2024-02", "a")], "id string, month string, dataset_name string")
+    for write in (lambda r, x: upsert_partitions(x, r, "id", "month"), lambda r, x: append_new(x, r, ["dataset_name", "id"])):
+        root = _dir() + "/t"
+        write(root, df)
+        _damage(root)
+        before = sorted(n for _, _, names in os.walk(root) for n in names)
+        with pytest.raises(Exception):
+            write(root, df.where("id = 'k2'"))
+        assert sorted(n for _, _, names in os.walk(root) for n in names) == before
+    root = _dir() + "/v"
+    version = write_version(df, root)
+    _damage(version)
+    with pytest.raises(Exception):
+        read_current(spark, root).collect()
+
+
+def test_upsert_refuses_repeated_and_moved_keys(spark):
+    from hearth.operators.merge import DuplicateKeyError
+    from hearth.sources.sinks import upsert_partitions
+
+    schema = "id string, month string, v int"
+    root = _dir() + "/t"
+    upsert_partitions(spark.createDataFrame([("k1", "2024-01", 1), ("k2", "2024-02", 1)], schema), root, "id", "month")
+    for batch in ([("k1", "2024-02", 2)], [("k3", "2024-03", 2), ("k3", "2024-03", 3)]):
+        with pytest.raises(DuplicateKeyError):
+            upsert_partitions(spark.createDataFrame(batch, schema), root, "id", "month")
+    assert spark.read.parquet(root).count() == 2
