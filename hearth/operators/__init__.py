@@ -6,7 +6,7 @@ from hearth.operators.aggregates import (
     count_when,
     flag_sum,
     grouped_median,
-    having,
+
     mean,
     rollup_sum,
     sum_default,
@@ -22,7 +22,7 @@ from hearth.operators.envelope import (
     to_raw_records,
     union_raw,
 )
-from hearth.operators.joins import anti, full_outer_coalesce, join_null_safe, lookup, lookup_all, maybe_broadcast
+from hearth.operators.joins import anti, full_outer_coalesce, join_null_safe, lookup
 from hearth.operators.merge import (
     first_per_key,
     high_water_mark,
@@ -35,13 +35,13 @@ from hearth.operators.merge import (
 )
 from hearth.operators.ordinal import with_dense_index
 from hearth.operators.relational import distinct_rows, project, where_in, where_present
-from hearth.operators.windows import lag_delta, lag_ratio, latest_by, rolling_stddev, with_lags
+from hearth.operators.windows import lag_ratio, latest_by, rolling_stddev, with_lags
 
 __all__ = [
     "SourceSpec", "aggregate_with_median", "anti", "any_stable", "count_when", "dataset_slice", "distinct_rows",
-    "first_per_key", "flag_sum", "full_outer_coalesce", "grouped_median", "having", "high_water_mark",
-    "incremental", "ingest_summary", "insert_ignore", "join_null_safe", "lag_delta", "lag_ratio", "latest_by",
-    "latest_versions", "lookup", "lookup_all", "maybe_broadcast", "mean", "merge_insert", "new_rows",
+    "first_per_key", "flag_sum", "full_outer_coalesce", "grouped_median", "high_water_mark",
+    "incremental", "ingest_summary", "insert_ignore", "join_null_safe", "lag_ratio", "latest_by",
+    "latest_versions", "lookup", "mean", "merge_insert", "new_rows",
     "payload_from_columns", "project", "record_hash", "rolling_stddev", "rollup_sum", "since_watermark",
     "source_row_id", "sum_default", "to_raw_records", "union_raw", "upsert", "where_in", "where_present",
     "with_dense_index", "with_lags",

@@ -11,12 +11,6 @@ from pyspark.sql import types as T
 from hearth.operators.joins import join_null_safe
 from hearth.session import ensure_checkpoint_dir
 
-# Per-group distinct values up to which the built-in exact percentile (one
-# in-memory value->count map per group) is trusted.  Above it the rank
-# selection below is used, whose memory does not depend on group size.
-MEDIAN_BUILTIN_MAX_DISTINCT = 2_000_000
-
-
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -60,10 +54,6 @@ def rollup_sum(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataF
     return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in cols])
 
 
-def having(df: DataFrame, pred: Column) -> DataFrame:
-    return df.where(pred)
-
-
 # ---------------------------------------------------------------------------
 # exact median
 
@@ -79,13 +69,6 @@ def _value_counts(df: DataFrame, keys: Sequence[str], value: Column | str) -> Da
     )
 
 
-def widest_group(df: DataFrame, keys: Sequence[str], value: Column | str) -> int:
-    """Largest number of distinct values in any group (HyperLogLog estimate:
-    one partial-aggregated pass, enough to choose a strategy)."""
-    widest = df.groupBy(*keys).agg(F.approx_count_distinct(_c(value)).alias("w")).agg(F.max("w")).first()[0]
-    return int(widest or 0)
-
-
 def _median_builtin(df: DataFrame, keys: Sequence[str], value: Column | str, alias: str) -> DataFrame:
     # Spark's exact percentile keeps one value->count map per group (with
     # map-side partial aggregation): memory grows with distinct values, not rows.
@@ -97,7 +80,8 @@ def _median_ranked(counts: DataFrame, keys: Sequence[str], alias: str, partition
     multiplicities, and pick the one or two middle ranks of every group.
 
     A hot group spreads over many range partitions; no task ever holds a whole
-    group.  The only single-task step works on one row per range partition.
+    group.  What is known of a (group, partition) pair is one row, and the
+    partition that holds a rank is found by a running sum over a group's pairs.
     """
     # Defined here so it is shipped to the Python workers by value: executors
     # need pandas, not this package.
@@ -121,39 +105,29 @@ def _median_ranked(counts: DataFrame, keys: Sequence[str], alias: str, partition
     ordered = ranged.sortWithinPartitions(*keys, "__v")
     tagged = ordered.withColumn("__pid", F.spark_partition_id())
     schema = T.StructType(tagged.schema.fields + [T.StructField("__end", T.LongType(), False)])
-    # Three branches read this (offsets, ranks, group sizes); checkpoint it once
-    # so the input is not scanned and aggregated three times.
+    # Two branches read this (pieces, values); checkpoint it once so the input
+    # is not scanned and aggregated twice.
     ensure_checkpoint_dir(spark)
     local = tagged.mapInPandas(_running_end, schema).checkpoint(eager=True)
 
-    totals = local.groupBy("__pid").agg(F.sum("__c").alias("__tot"))
-    offsets = totals.select(
-        "__pid",
-        "__tot",
-        F.coalesce(
-            F.sum("__tot").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("__off"),
+    # One row per (group, partition): its rows, and the running count before them.
+    pieces = local.groupBy(*keys, "__pid").agg(
+        F.sum("__c").alias("__m"), F.min(F.col("__end") - F.col("__c")).alias("__base")
     )
-    # offsets has one row per range partition: a proven bound, so it is broadcast.
-    ranked = local.join(F.broadcast(offsets.select("__pid", "__off")), "__pid").select(
-        *keys, "__v", "__pid", (F.col("__off") + F.col("__end")).alias("__hi"), (F.col("__off") + F.col("__end") - F.col("__c") + 1).alias("__lo")
+    earlier = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    placed = pieces.select(
+        *keys, "__pid", "__m", "__base",
+        F.coalesce(F.sum("__m").over(earlier), F.lit(0)).alias("__before"),
+        F.sum("__m").over(Window.partitionBy(*keys)).alias("__n"),
     )
-    stats = ranked.groupBy(*keys).agg(F.sum(F.col("__hi") - F.col("__lo") + 1).alias("__n"), F.min("__lo").alias("__first"))
-    targets = stats.select(
-        *keys,
-        F.explode(
-            F.array(
-                F.col("__first") + F.floor((F.col("__n") - 1) / 2).cast("long"),
-                F.col("__first") + F.floor(F.col("__n") / 2).cast("long"),
-            )
-        ).alias("__p"),
+    ranks = F.array(F.floor((F.col("__n") - 1) / 2).cast("long") + 1, F.floor(F.col("__n") / 2).cast("long") + 1)
+    located = (
+        placed.select(*keys, "__pid", "__m", "__base", "__before", F.explode(ranks).alias("__r"))
+        .where((F.col("__r") > F.col("__before")) & (F.col("__r") <= F.col("__before") + F.col("__m")))
+        .select(*keys, "__pid", (F.col("__r") - F.col("__before") + F.col("__base")).alias("__p"))
     )
-    located = targets.join(
-        F.broadcast(offsets.select(F.col("__pid").alias("__tpid"), "__off", "__tot")),
-        (F.col("__p") > F.col("__off")) & (F.col("__p") <= F.col("__off") + F.col("__tot")),
-    ).select(*keys, "__p", F.col("__tpid").alias("__pid"))
-    picked = join_null_safe(ranked, located, [*keys, "__pid"]).where(
-        (F.col("__p") >= F.col("__lo")) & (F.col("__p") <= F.col("__hi"))
+    picked = join_null_safe(local, located, [*keys, "__pid"]).where(
+        (F.col("__p") <= F.col("__end")) & (F.col("__p") > F.col("__end") - F.col("__c"))
     )
     return picked.groupBy(*keys).agg(F.avg("__v").alias(alias))
 
@@ -163,20 +137,19 @@ def grouped_median(
     keys: Sequence[str],
     value: Column | str,
     alias: str = "median",
-    strategy: str = "auto",
-    max_distinct: int = MEDIAN_BUILTIN_MAX_DISTINCT,
+    strategy: str = "ranked",
     partitions: int | None = None,
 ) -> DataFrame:
     """Exact median of ``value`` per group (mean of the two middle values for
     an even count), as a double.  Groups whose values are all NULL are absent;
     join the result back with a left join to keep them.
 
-    ``strategy``: ``builtin`` (exact percentile per group, memory = distinct
-    values of the group), ``ranked`` (rank selection, memory independent of
-    group size) or ``auto`` (measure the largest group's distinct values first).
+    ``strategy`` is the caller's: ``ranked`` (rank selection, memory independent
+    of group size) or ``builtin`` (exact percentile in the group's own
+    aggregation, memory = distinct values of the group; for values that the
+    caller knows to be few, such as prices on a grid).  The size of the data never
+    picks one.
     """
-    if strategy == "auto":
-        strategy = "builtin" if widest_group(df, keys, value) <= max_distinct else "ranked"
     if strategy == "builtin":
         return _median_builtin(df, keys, value, alias)
     if strategy == "ranked":
@@ -189,19 +162,14 @@ def aggregate_with_median(
     keys: Sequence[str],
     aggs: Sequence[Column],
     medians: Sequence[tuple[Column | str, str]],
-    strategy: str = "auto",
-    max_distinct: int = MEDIAN_BUILTIN_MAX_DISTINCT,
+    strategy: str = "ranked",
 ) -> DataFrame:
     """``groupBy(keys).agg(*aggs)`` plus exact medians.
 
-    While every group's distinct values fit the bound the medians are computed
-    in the same aggregation (one pass).  Otherwise they come from rank
-    selection and are joined back on the (NULL-safe) group key, so every group
-    is kept.  ``inline`` is an alias of ``builtin``.
+    ``ranked`` medians are joined back on the (NULL-safe) group key, so every
+    group is kept; ``builtin`` ones (alias ``inline``) are computed in the same
+    aggregation.  See ``grouped_median`` for the choice.
     """
-    if strategy == "auto":
-        widest = max(widest_group(df, keys, v) for v, _ in medians)
-        strategy = "builtin" if widest <= max_distinct else "ranked"
     if strategy in ("builtin", "inline"):
         return df.groupBy(*keys).agg(*aggs, *[F.median(_c(v).cast("double")).alias(a) for v, a in medians])
     if strategy != "ranked":

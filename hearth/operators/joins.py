@@ -1,4 +1,4 @@
-"""Join operators: coalescing full outer joins, size-checked lookups, anti joins."""
+"""Join operators: coalescing full outer joins, lookups, anti joins."""
 
 from __future__ import annotations
 
@@ -7,25 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it is proven to be at most this many rows;
-# past that the join stays a shuffle join (and AQE may still convert it at run
-# time from the measured shuffle size).
-BROADCAST_MAX_ROWS = 100_000
-
-
-def row_count_at_most(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows.
-
-    One job that stops after ``limit + 1`` rows of output (a dimension that is
-    itself an aggregate is still computed in full for it)."""
-    return df.limit(limit + 1).count() <= limit
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint behind a checked row bound; otherwise the frame unchanged."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
 def full_outer_coalesce(
     left: DataFrame,
     right: DataFrame,
@@ -57,20 +38,10 @@ def full_outer_coalesce(
     return l.join(r, cond, "full_outer")
 
 
-def lookup(
-    df: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left", max_rows: int = BROADCAST_MAX_ROWS
-) -> DataFrame:
-    """Join a dimension onto ``df``; the dimension is broadcast only after its
-    row count is checked against ``max_rows``."""
-    return df.join(maybe_broadcast(dim, max_rows), list(on), how)
-
-
-def lookup_all(df: DataFrame, dims: Sequence[DataFrame], on: Sequence[str], how: str = "left") -> DataFrame:
-    """Chain of left lookups on the same key (rows fan out where a dimension repeats the key)."""
-    out = df
-    for d in dims:
-        out = out.join(d, list(on), how)
-    return out
+def lookup(df: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join a dimension onto ``df``.  No hint: Spark broadcasts it when file statistics or the measured
+    shuffle size are under its threshold, and splits skewed keys of a shuffle join otherwise."""
+    return df.join(dim, list(on), how)
 
 
 def anti(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:

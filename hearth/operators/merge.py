@@ -8,7 +8,7 @@ it to a new folder and swaps a pointer, never overwriting a path being read.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,42 +20,33 @@ class DuplicateKeyError(ValueError):
     pass
 
 
-# At most this many distinct partition values are lifted from a batch into a
-# literal filter on the target; past it the target is read whole.
-PRUNE_MAX_VALUES = 1000
+def _candidates(target: DataFrame, only: Mapping[str, Sequence[object]] | None) -> DataFrame:
+    """The part of the target that can match the batch, as the caller knows it.
 
+    ``only`` names key columns and all values that the batch has there (the feeds of
+    a load, say).  On a partition column (``dataset_name`` on the landed
+    layout) the literal filter skips every other partition folder."""
+    for name, values in (only or {}).items():
+        target = target.where(F.col(name).isin(list(values)))
+    return target
 
-def _candidates(target: DataFrame, batch: DataFrame, prune_on: str | None) -> DataFrame:
-    """The part of the target that can match the batch.
 
-    ``prune_on`` names a key column that is also a partition column of the
-    target (``dataset_name`` on the landed layout).  The batch's distinct
-    values are checked to be few, then become a literal IN filter, so the scan
-    of a large target skips every other partition folder."""
-    if prune_on is None or prune_on not in target.columns or prune_on not in batch.columns:
-        return target
-    values = batch.select(prune_on).distinct().limit(PRUNE_MAX_VALUES + 1).collect()
-    if len(values) > PRUNE_MAX_VALUES or any(v[0] is None for v in values):
-        return target
-    return target.where(F.col(prune_on).isin([v[0] for v in values]))
-
-
-def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], prune_on: str | None = "dataset_name") -> DataFrame:
+def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], only: Mapping[str, Sequence[object]] | None = None) -> DataFrame:
     """Batch rows whose key is absent from the target (the rows a merge inserts).
-    Only the key columns of the target are shuffled, and only from the
-    partitions the batch touches."""
-    existing = _candidates(target, batch, prune_on if prune_on in keys else None)
+    Only the key columns of the target are shuffled; with ``only`` (values of key
+    columns that the caller knows the batch to be in) just those partitions are read."""
+    existing = _candidates(target, only)
     return batch.join(existing.select(*keys), list(keys), "left_anti")
 
 
 def merge_insert(
-    target: DataFrame, batch: DataFrame, keys: Sequence[str], prune_on: str | None = "dataset_name"
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], only: Mapping[str, Sequence[object]] | None = None
 ) -> DataFrame:
     """The table after an insert-if-absent merge: matched rows untouched, new
     keys inserted.  Duplicates inside the batch are all inserted (the source of
     a MERGE is not de-duplicated).  To store the result, append only
     ``new_rows`` (``sources.sinks.append_new``) rather than rewriting the table."""
-    return target.unionByName(new_rows(target, batch, keys, prune_on).select(*target.columns))
+    return target.unionByName(new_rows(target, batch, keys, only).select(*target.columns))
 
 
 def insert_ignore(
@@ -63,12 +54,12 @@ def insert_ignore(
     batch: DataFrame,
     keys: Sequence[str],
     order: Sequence[OrderSpec] | None = None,
-    prune_on: str | None = "dataset_name",
+    only: Mapping[str, Sequence[object]] | None = None,
 ) -> DataFrame:
     """INSERT ... ON CONFLICT DO NOTHING: like ``merge_insert`` but duplicates
     inside the batch also collapse, the first under ``order`` winning (give a
     unique tie-break for a reproducible choice)."""
-    return merge_insert(target, first_per_key(batch, keys, order), keys, prune_on)
+    return merge_insert(target, first_per_key(batch, keys, order), keys, only)
 
 
 def first_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[OrderSpec] | None = None) -> DataFrame:

@@ -49,9 +49,9 @@ def missing_datasets(spark: SparkSession, raw: DataFrame, names: Sequence[str])
     return wanted.join(present, "dataset_name", "left_anti")
 
 
-def duplicate_hashes(raw: DataFrame, limit: int | None = 100) -> DataFrame:
+def duplicate_hashes(raw: DataFrame, limit: int | None = None) -> DataFrame:
     """Hashes repeated within one run (a later run may legitimately repeat a
-    hash).  ``limit`` keeps the first violations in key order."""
+    hash).  ``limit`` keeps the first violations in key order (default: all)."""
     keys = ["dataset_name", "record_hash", "run_id"]
     dup = raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("duplicate_count")).where(F.col("duplicate_count") > 1)
     return dup.orderBy(*keys).limit(limit) if limit is not None else dup
@@ -142,17 +142,16 @@ def quality_report(
     """(check_name, state, detail) per requested check; unknown names are
     ``not_applicable``.
 
-    All checks derive from one aggregate of the raw table.  Each check prunes
-    that aggregate differently, so Catalyst would plan (and scan the raw table)
-    once per check; with ``materialize`` the aggregate is checkpointed once to
-    the shared checkpoint folder and every check reads it from there."""
+    Counts are one row per dataset, straight from the raw table; with
+    ``materialize`` those few rows are checkpointed once to the shared checkpoint
+    folder and every check reads them from there.  Repeated hashes are grouped
+    in a pass of their own, of which five examples are kept."""
     groups = hash_groups(raw, price_dataset, price_field)
+    invalid = (F.col("dataset_name") == price_dataset) & F.col("payload").getItem(price_field).try_cast("double").isNull()
+    per_dataset = raw.groupBy("dataset_name").agg(F.count(F.lit(1)).alias("record_count"), count_when(invalid).alias("invalid_price"))
     if materialize:
         ensure_checkpoint_dir(raw.sparkSession)
-        groups = groups.checkpoint(eager=True)
-    per_dataset = groups.groupBy("dataset_name").agg(
-        F.sum("n").alias("record_count"), F.sum("invalid_price").alias("invalid_price")
-    )
+        per_dataset = per_dataset.checkpoint(eager=True)
     parts: list[DataFrame] = []
     for check in checks:
         if check == RECORD_COUNTS:

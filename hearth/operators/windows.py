@@ -39,13 +39,6 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[OrderSpec], ra
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) == 1).drop(rank_col)
 
 
-def lag_delta(c: str, keys: Sequence[str], order: Sequence[OrderSpec], lag_col: Column | None = None) -> Column:
-    """``c - lag(c)`` within the key, in order.  Pass a precomputed ``lag_col``
-    to share one lag between several expressions."""
-    prev = lag_col if lag_col is not None else F.lag(c).over(ordered_window(keys, order))
-    return F.col(c) - prev
-
-
 def lag_ratio(
     c: str, keys: Sequence[str], order: Sequence[OrderSpec], n: int = 1, lag_col: Column | None = None
 ) -> Column:
@@ -65,11 +58,6 @@ def rolling_stddev(c: str, keys: Sequence[str], order: Sequence[OrderSpec], rows
 # ---------------------------------------------------------------------------
 # lag that survives hot keys
 
-# Rows per key up to which a plain window is used.  A window puts each key in
-# one task; past this bound the range-partitioned form below is used.
-LAG_WINDOW_MAX_ROWS = 1_000_000
-
-
 def _ascending_only(order: Sequence[OrderSpec]) -> bool:
     return all(isinstance(o, str) or o[1].lower() != "desc" for o in order)
 
@@ -126,23 +114,16 @@ def with_lags(
     keys: Sequence[str],
     order: Sequence[OrderSpec],
     lags: Sequence[tuple[str, str]],
-    strategy: str = "auto",
-    max_rows_per_key: int = LAG_WINDOW_MAX_ROWS,
+    strategy: str = "ranked",
     partitions: int | None = None,
 ) -> DataFrame:
     """Add ``lag(source, 1)`` columns, as ``(source, output)`` pairs.
 
-    ``window``: one window per key (fine while keys are bounded).  ``ranked``:
-    range-partitioned, no task ever holds a whole key (ascending orders only).
-    ``auto``: measure the largest key first (one aggregation) and pick.
+    ``strategy`` is the caller's: ``ranked`` is range-partitioned, no task ever
+    holds a whole key (ascending orders only); ``window`` is one window per key, for
+    keys that the caller knows to be bounded.  The size of the data never picks one.
     The order should end in a unique column so the predecessor is defined.
     """
-    if strategy == "auto":
-        if not _ascending_only(order):
-            strategy = "window"
-        else:
-            widest = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-            strategy = "window" if widest is None or widest <= max_rows_per_key else "ranked"
     if strategy == "window":
         w = ordered_window(keys, order)
         return df.select("*", *[F.lag(src, 1).over(w).alias(out) for src, out in lags])

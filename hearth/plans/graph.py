@@ -1,9 +1,10 @@
 """The model graph over the bound test tables, built lazily.
 
 ``ModelGraph(spark, sf_dir).fct_rent_trends`` is a DataFrame whose plan reaches
-back to the parquet scans.  Building it runs only small sizing jobs (the
-``auto`` median/lag strategies measure the widest group, the lookup proves its
-dimension small); the model itself runs at the caller's action.
+back to the parquet scans.  No job looks at sizes while it is built; the
+range-split lag and the shared models are written once (checkpoint, parquet)
+because later steps read them twice.  Medians of rents use the built-in
+percentile: its memory is bounded by the distinct prices, which are cents.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ class ModelGraph:
         self,
         spark: SparkSession,
         sf_dir: str,
-        median_strategy: str = "auto",
-        lag_strategy: str = "auto",
+        median_strategy: str = "builtin",
+        lag_strategy: str = "ranked",
         materialize: Iterable[str] = (),
     ):
         """``materialize``: model names computed once and checkpointed (to the

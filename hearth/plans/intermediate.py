@@ -31,7 +31,7 @@ def zip_month_joined(rent: DataFrame, inventory: DataFrame) -> DataFrame:
 def int_zip_month_market_signals(rent: DataFrame, inventory: DataFrame) -> DataFrame:
     keys, order = ["postal_code"], ["signal_month"]
     w = ordered_window(keys, order)
-    j = zip_month_joined(rent, inventory)
+    j = zip_month_joined(rent, inventory).where(F.col("postal_code").isNotNull() & F.col("signal_month").isNotNull())
     # one Window operator: all four expressions share partitioning and order
     return j.select(
         surrogate_key("postal_code", "signal_month").alias("zip_month_signal_id"),
@@ -44,7 +44,7 @@ def int_zip_month_market_signals(rent: DataFrame, inventory: DataFrame) -> DataF
         lag_ratio("zori_rent", keys, order, n=12).alias("rent_yoy_pct"),
         (F.col("active_inventory") - F.lag("active_inventory").over(w)).alias("inventory_mom_delta"),
         rolling_stddev("zori_rent", keys, order, rows=6).alias("six_month_rent_volatility"),
-    ).where(F.col("postal_code").isNotNull() & F.col("signal_month").isNotNull())
+    )
 
 
 def housing_by_area(housing: DataFrame) -> DataFrame:

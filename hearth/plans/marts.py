@@ -81,7 +81,7 @@ def dim_neighborhoods(listings: DataFrame, dev_signals: DataFrame) -> DataFrame:
     )
 
 
-def listing_history(listings: DataFrame, lag_strategy: str = "auto") -> DataFrame:
+def listing_history(listings: DataFrame, lag_strategy: str = "ranked") -> DataFrame:
     """Every snapshot with days on market and the change since the previous
     snapshot of the same listing.  The lag is computed once and shared; a
     listing with an outsized history is range-split instead of windowed."""
@@ -116,7 +116,7 @@ def listing_history(listings: DataFrame, lag_strategy: str = "auto") -> DataFram
 
 
 def fct_listing_history(
-    listings: DataFrame, current: DataFrame | None = None, full_refresh: bool = False, lag_strategy: str = "auto"
+    listings: DataFrame, current: DataFrame | None = None, full_refresh: bool = False, lag_strategy: str = "ranked"
 ) -> DataFrame:
     """Incremental fact: windows over the full input first, then the
     high-water-mark filter and an upsert on the snapshot id."""
@@ -188,7 +188,7 @@ def mart_development_activity(dev_signals: DataFrame) -> DataFrame:
     )
 
 
-def inventory_daily(history: DataFrame, median_strategy: str = "auto") -> DataFrame:
+def inventory_daily(history: DataFrame, median_strategy: str = "builtin") -> DataFrame:
     keys = ["postal_code", "neighborhood", "borough", "snapshot_date"]
     return aggregate_with_median(
         history,
@@ -206,7 +206,7 @@ def inventory_daily(history: DataFrame, median_strategy: str = "auto") -> DataFr
     )
 
 
-def mart_inventory_churn(history: DataFrame, median_strategy: str = "auto") -> DataFrame:
+def mart_inventory_churn(history: DataFrame, median_strategy: str = "builtin") -> DataFrame:
     daily = inventory_daily(history, median_strategy)
     # neighborhood and borough break ties between groups sharing (zip, day)
     w = ordered_window(["postal_code"], ["snapshot_date", "neighborhood", "borough"])
@@ -227,7 +227,7 @@ def mart_inventory_churn(history: DataFrame, median_strategy: str = "auto") -> D
     )
 
 
-def listing_borough_rents(listings: DataFrame, median_strategy: str = "auto") -> DataFrame:
+def listing_borough_rents(listings: DataFrame, median_strategy: str = "builtin") -> DataFrame:
     return aggregate_with_median(
         listings,
         ["borough", "snapshot_date"],
@@ -237,7 +237,7 @@ def listing_borough_rents(listings: DataFrame, median_strategy: str = "auto") ->
     )
 
 
-def mart_transit_price_effect(listings: DataFrame, transit_by_borough: DataFrame, median_strategy: str = "auto") -> DataFrame:
+def mart_transit_price_effect(listings: DataFrame, transit_by_borough: DataFrame, median_strategy: str = "builtin") -> DataFrame:
     rents = listing_borough_rents(listings, median_strategy)
     j = lookup(rents, transit_by_borough, ["borough"])
     return j.select(
@@ -258,7 +258,7 @@ def mart_transit_price_effect(listings: DataFrame, transit_by_borough: DataFrame
 
 
 def latest_rent(trends: DataFrame) -> DataFrame:
-    return latest_by(trends, ["postal_code"], [("signal_month", "desc")])
+    return latest_by(trends, ["postal_code"], [("signal_month", "desc"), "zip_month_signal_id", "zori_rent"])
 
 
 def latest_churn(churn: DataFrame) -> DataFrame:

@@ -170,19 +170,19 @@ def append_new(
     target_root: str,
     keys: Sequence[str],
     partition_by: Sequence[str] = ("dataset_name",),
-    prune_on: str | None = "dataset_name",
+    only: Mapping[str, Sequence[object]] | None = None,
 ) -> None:
     """Insert-only load: append the batch rows whose key is not in the table.
 
-    Only new files are written; the existing table is read (key columns, and
-    only the partitions the batch touches) but never rewritten.  A Spark append
+    Only new files are written; the existing table is read (key columns, and with
+    ``only`` just the partitions of the values it names) but never rewritten.  A Spark append
     commits atomically, and a replayed batch finds its rows present and appends
     nothing, so a retried load is exactly-once in effect.
     """
     from hearth.operators.merge import new_rows
 
     spark = batch.sparkSession
-    fresh = new_rows(spark.read.parquet(target_root), batch, keys, prune_on) if table_exists(spark, target_root) else batch
+    fresh = new_rows(spark.read.parquet(target_root), batch, keys, only) if table_exists(spark, target_root) else batch
     fresh.write.mode("append").partitionBy(*partition_by).parquet(target_root)
 
 

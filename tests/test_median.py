@@ -22,10 +22,11 @@ def test_median_matches_pandas_with_hot_group_and_null_keys(spark, strategy):
     assert got == pytest.approx(want)
 
 
-def test_median_auto_picks_builtin_for_small_groups(spark):
+def test_ranked_median_plans_no_nested_loop(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 2.0)], "g string, v double")
-    got = {r["g"]: r["m"] for r in grouped_median(df, ["g"], "v", "m").collect()}
-    assert got == {"a": 2.0, "b": 2.0}
+    median = grouped_median(df, ["g"], "v", "m")
+    assert "NestedLoop" not in median._jdf.queryExecution().executedPlan().toString()
+    assert {r["g"]: r["m"] for r in median.collect()} == {"a": 2.0, "b": 2.0}
 
 
 def test_ranked_median_with_spark_chosen_partitions(spark):
