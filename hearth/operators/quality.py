@@ -6,7 +6,7 @@ ever reaches the driver."""
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,6 +106,61 @@ def relationships(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> Data
     return child.where(F.col(fk).isNotNull()).join(parents, F.col(fk) == F.col("__pk"), "left_anti")
 
 
+#: Columns that every model promises to fill and to keep unique, and keys that must exist elsewhere
+#: (child column, parent model, parent column).  Fixed values.
+MODEL_TESTS: dict[str, dict[str, list]] = {
+    "stg_listing_snapshots": {"not_null": ["listing_snapshot_id", "listing_id", "snapshot_date", "rent"], "unique": ["listing_snapshot_id"]},
+    "stg_rent_prices": {"not_null": ["rent_price_id", "postal_code", "rent_month"], "unique": ["rent_price_id"]},
+    "stg_inventory": {"not_null": ["inventory_id", "postal_code"], "unique": ["inventory_id"]},
+    "stg_permits": {"not_null": ["permit_id", "postal_code"], "unique": ["permit_id"]},
+    "stg_neighborhood_housing": {"not_null": ["housing_building_id", "postal_code", "borough"], "unique": ["housing_building_id"]},
+    "stg_transit_access": {"not_null": ["station_complex_id"], "unique": ["station_complex_id"]},
+    "dim_listings": {"not_null": ["listing_id", "postal_code"], "unique": ["listing_id"]},
+    "dim_neighborhoods": {"not_null": ["neighborhood_id"], "unique": ["neighborhood_id"]},
+    "fct_listing_history": {
+        "not_null": ["listing_snapshot_id"], "unique": ["listing_snapshot_id"], "relationships": [("listing_id", "dim_listings", "listing_id")],
+    },
+    "fct_rent_trends": {"not_null": ["zip_month_signal_id", "postal_code"], "unique": ["zip_month_signal_id"]},
+    "mart_neighborhood_scorecard": {"not_null": ["neighborhood_scorecard_id"], "unique": ["neighborhood_scorecard_id"]},
+    "mart_affordability": {"not_null": ["affordability_id"], "unique": ["affordability_id"]},
+    "mart_inventory_churn": {"not_null": ["inventory_churn_id"], "unique": ["inventory_churn_id"]},
+    "mart_transit_price_effect": {"not_null": ["transit_price_effect_id"], "unique": ["transit_price_effect_id"]},
+    "mart_development_activity": {"not_null": ["development_activity_id"], "unique": ["development_activity_id"]},
+}
+
+
+def data_tests(models: Mapping[str, DataFrame], tests: Mapping[str, Mapping[str, list]] = MODEL_TESTS) -> DataFrame:
+    """(model, column_name, test, violations) for every declared test of the given models: rows without a
+    value, values that repeat, rows whose key has no parent.  0 violations: passed.
+
+    A model's NULL counts and repeats come from one aggregation by each unique
+    column, summed over its values; other NULL counts ride along."""
+    parts: list[DataFrame] = []
+
+    def row(model: str, column: str, test: str, df: DataFrame) -> DataFrame:
+        return df.select(F.lit(model).alias("model"), F.lit(column).alias("column_name"), F.lit(test).alias("test"), F.col("violations").cast("long"))
+
+    for name, declared in tests.items():
+        if name not in models:
+            continue
+        df, filled, single = models[name], list(declared.get("not_null", ())), list(declared.get("unique", ()))
+        by = single[0] if single else None
+        groups = df.groupBy(*([by] if by else [])).agg(F.count(F.lit(1)).alias("__n"), *[count_when(F.col(c).isNull()).alias(f"__null_{c}") for c in filled])
+        again = F.sum(F.when((F.col("__n") > 1) & F.col(by).isNotNull(), 1).otherwise(0)) if by else F.lit(0)
+        one = groups.agg(F.coalesce(again, F.lit(0)).alias("__again"), *[F.coalesce(F.sum(f"__null_{c}"), F.lit(0)).alias(f"__null_{c}") for c in filled])
+        cells = [(c, "not_null", f"__null_{c}") for c in filled] + ([(by, "unique", "__again")] if by else [])
+        stack = ", ".join(f"'{c}', '{t}', cast(`{v}` as bigint)" for c, t, v in cells)
+        parts.append(one.selectExpr(f"'{name}' as model", f"stack({len(cells)}, {stack}) as (column_name, test, violations)"))
+        for c in single[1:]:
+            parts.append(row(name, c, "unique", unique(df, c).agg(F.count(F.lit(1)).alias("violations"))))
+        for c, parent, pk in declared.get("relationships", ()):
+            parts.append(row(name, c, "relationships", relationships(df, c, models[parent], pk).agg(F.count(F.lit(1)).alias("violations"))))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 _REPORT = T.StructType(
     [T.StructField("check_name", T.StringType()), T.StructField("state", T.StringType()), T.StructField("detail", T.StringType())]
 )

@@ -802,6 +802,26 @@ register(
         "dim_listings",
     ),
 )
+
+
+def _data_tests_sql() -> str:
+    parts = []
+    for model, declared in quality.MODEL_TESTS.items():
+        for c in declared.get("not_null", ()):
+            parts.append(f"SELECT '{model}' AS model, '{c}' AS column_name, 'not_null' AS test, count(*) FILTER (WHERE {c} IS NULL) AS violations FROM {model}")
+        for c in declared.get("unique", ()):
+            parts.append(f"SELECT '{model}', '{c}', 'unique', count(*) FROM (SELECT {c} FROM {model} WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)")
+        for c, parent, pk in declared.get("relationships", ()):
+            parts.append(f"SELECT '{model}', '{c}', 'relationships', count(*) FROM {model} x WHERE {c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pk} = x.{c})")
+    return " UNION ALL ".join(parts)
+
+
+def _data_tests(spark, d):
+    p = P(spark, d)
+    return quality.data_tests({m: getattr(p, m) for m in quality.MODEL_TESTS})
+
+
+register("data_tests", "model s, column_name s, test s, violations i", _data_tests, compose(_data_tests_sql(), *quality.MODEL_TESTS))
 REPORT_CHECKS = (*quality.KNOWN_CHECKS, "create_raw_table")
 _DUP_EXAMPLES = (
     "SELECT count(*) AS n, array_to_string(list_sort(list(dataset_name || ':' || record_hash || ':' || run_id)), ', ') AS ex "
