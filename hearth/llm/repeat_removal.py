@@ -139,6 +139,29 @@ _UNIT_TYPES = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.in
 _UNIT_NAMES = [c.split()[0] for c in _UNIT.split(", ")]
 
 
+def _combined(row: np.ndarray, cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A slice's units before they are exchanged: of units alike one stays as kind 0, for the others of the corpus
+    to meet; that all of them repeat is known here, as ranges of kind 2 with adjoining ranges made one."""
+    kind, k, e1, e2, lo, hi = cols
+    unit = np.flatnonzero(kind == 0)
+    order = unit[np.lexsort((e2[unit], e1[unit], k[unit]))]
+    if len(order) < 2:
+        return row, cols
+    same = (k[order][1:] == k[order][:-1]) & (e1[order][1:] == e1[order][:-1]) & (e2[order][1:] == e2[order][:-1])
+    later = np.r_[False, same]
+    alike = order[later | np.r_[same, False]]
+    if not len(alike):
+        return row, cols
+    alike = alike[np.lexsort((lo[alike], row[alike]))]
+    r, a, z = row[alike], lo[alike], hi[alike]
+    first = np.flatnonzero(np.r_[True, (r[1:] != r[:-1]) | (a[1:] != z[:-1] + 1)])
+    last = np.r_[first[1:], len(alike)] - 1
+    known = np.array([np.full(len(first), 2), r[first] * 7919 + a[first], np.zeros(len(first)), np.zeros(len(first)), a[first], z[last]]).astype(np.int64)
+    keep = np.ones(len(kind), dtype=bool)
+    keep[order[later]] = False
+    return np.r_[row[keep], r[first]], np.concatenate([cols[:, keep], known], axis=1)
+
+
 def parse(docs: DataFrame) -> DataFrame:
     """Units of every text (kind 0), starts without a trigger (kind 1: ``e1 e2`` are the string's hashes), and
     starts that repeat within such a stretch of their own text (kind 2)."""
@@ -165,16 +188,17 @@ def parse(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows_of(batches):
-            ids, keys, found = [], [], []
-            for i, t, x in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text_key", "text"))):
+            ids, keys, found, row = [], [], [], []
+            for at, (i, t, x) in enumerate(zip(*(b.column(c).to_pylist() for c in ("doc_id", "text_key", "text")))):
                 r = rows(i, t, x)
                 if r is not None:
-                    ids += [i] * r.shape[1]
-                    keys += [t] * r.shape[1]
+                    ids.append(i)
+                    keys.append(t)
+                    row.append(np.full(r.shape[1], len(ids) - 1))
                     found.append(r)
             if found:
-                cols = np.concatenate(found, axis=1)
-                arrays = [pa.array(ids, type=pa.int64()), pa.array(keys, type=pa.int32())]
+                row, cols = _combined(np.concatenate(row), np.concatenate(found, axis=1))
+                arrays = [pa.array(np.array(ids, dtype=np.int64)[row]), pa.array(np.array(keys, dtype=np.int32)[row])]
                 arrays += [pa.array(c).cast(t) for c, t in zip(cols, _UNIT_TYPES[2:])]
                 yield pa.RecordBatch.from_arrays(arrays, _UNIT_NAMES)
 
