@@ -66,8 +66,22 @@ def _powers(n: int, known: list[np.ndarray] = []) -> np.ndarray:  # noqa: B006
     return known[0]
 
 
-def shingle_sets(texts: list[str]) -> list[np.ndarray]:
-    """Sorted distinct hashes (int64) of each text's shingles: words, then windows of words, all in whole arrays."""
+def shingle_sets(texts: list[str], at_once: int = 1 << 20) -> list[np.ndarray]:
+    """Sorted distinct hashes (int64) of each text's shingles; texts are worked on in whole arrays of about
+    ``at_once`` characters (or one longer text), which bounds the memory."""
+    out: list[np.ndarray] = []
+    part: list[str] = []
+    size = 0
+    for t in texts:
+        part.append(t)
+        size += len(t)
+        if size >= at_once:
+            out += _shingle_sets(part)
+            part, size = [], 0
+    return out + _shingle_sets(part) if part else out
+
+
+def _shingle_sets(texts: list[str]) -> list[np.ndarray]:
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     c = _BYTE[np.frombuffer(b" ".join(raw) + b" ", dtype=np.uint8)]
     text_end = np.cumsum([len(r) + 1 for r in raw])
@@ -114,7 +128,7 @@ def _frequent(docs: DataFrame) -> np.ndarray:
     """Hashes of the most frequent shingles by rising count, at most ``FREQUENT``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in rows_of(batches, 16 << 20):
+        for b in rows_of(batches, 8 << 20):
             every = shingle_sets(b.column("text").to_pylist())
             h, c = np.unique(np.concatenate(every), return_counts=True) if every else (np.zeros(0, np.int64), np.zeros(0, np.int64))
             often = c >= REPORTED
@@ -177,7 +191,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, t: int) -> DataFrame:
     sets = checkpoint(_sets_of(docs, pairs.select(F.col("a").alias("node")).union(pairs.select("b"))), pairs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in rows_of(batches, 16 << 20):
+        for b in rows_of(batches, 8 << 20):
             keep = []
             for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist()):
                 p, q = np.frombuffer(x, dtype=np.int64), np.frombuffer(y, dtype=np.int64)
