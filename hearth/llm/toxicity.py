@@ -10,7 +10,8 @@ one word.  Words are normed by the kernel with themselves (coinciding
 subsequences apart).
 
 Training takes a bounded, deterministic sample of labelled sentences' documents
-(``SAMPLE`` of each label, smallest hashes of doc_id first; only training folds).  A document is a bag of words of
+(``SAMPLE`` of each label, smallest hashes of doc_id first, while their texts fit
+``SAMPLE_CHARS``; only training folds).  A document is a bag of words of
 which a toxic one has at least one toxic: words of toxic documents that clean
 documents hold clearly less often open as positives, the others are
 negatives; Nyström features against ``LANDMARKS`` landmark words feed a linear
@@ -301,9 +302,18 @@ def fit(docs: DataFrame, labels: DataFrame) -> Machine:
     known = known.where(fold != HELD_OUT)
     order = F.xxhash64("doc_id")
     parts = [known.where(F.col("y") == y).orderBy(order, "doc_id").limit(SAMPLE) for y in (0, 1)]
-    rows = id_text(docs).join(F.broadcast(parts[0].union(parts[1])), "doc_id").select("y", "text", order.alias("o")).dropDuplicates(["o", "text", "y"]).orderBy("o", "text").toPandas()
-    total = rows["text"].str.len().cumsum()
-    rows = rows[total <= max(SAMPLE_CHARS, total.iloc[0] if len(total) else 0)]
+    picked = id_text(docs).join(F.broadcast(parts[0].union(parts[1])), "doc_id").withColumn("o", order)  # at most 2 * SAMPLE rows of labels
+    sizes = picked.select("o", "doc_id", F.xxhash64("text").alias("t"), F.length("text").alias("n")).distinct().orderBy("o", "t").toPandas()
+    room, chosen = SAMPLE_CHARS, []
+    for i, t, n in zip(sizes["doc_id"].tolist(), sizes["t"].tolist(), sizes["n"].tolist()):
+        if n <= room:
+            room -= n
+            chosen.append((i, t))
+    if not chosen:
+        return train([], [])
+    wanted = docs.sparkSession.createDataFrame(chosen, "doc_id long, t long")
+    rows = picked.withColumn("t", F.xxhash64("text")).join(F.broadcast(wanted), ["doc_id", "t"], "left_semi")
+    rows = rows.select("y", "text", "o").dropDuplicates(["o", "text", "y"]).orderBy("o", "text", "y").toPandas()
     return train(rows["text"].tolist(), rows["y"].tolist())
 
 
