@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearth.llm.common import checkpoint, id_text, rows_of, ship
+from hearth.llm.common import checkpoint, id_text, rows_of, ship, stored
 from hearth.llm.components import components
 
 SHINGLE = 5
@@ -49,6 +49,8 @@ SHINGLE = 5
 THRESHOLD = 80
 #: Frequent shingles that the order puts last, at most (8 bytes each), and how often one task must see a shingle to report it.
 FREQUENT, REPORTED = 1 << 17, 4
+#: Bits of the filter by which only the texts of paired documents are hashed again (2 MB; more only saves work).
+FILTER_BITS = 1 << 24
 _MULTIPLIER = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)
 #: Bytes as they count: A-Z lower-cased, separators 0, others one more than they are (UTF-8 keeps words apart by these bytes alone).
 _BYTE = np.array([0 if c == 0x20 or 9 <= c <= 13 else (c + 32 if 65 <= c <= 90 else c) + 1 for c in range(256)], dtype=np.uint64)
@@ -173,22 +175,36 @@ def _with_prefix(docs: DataFrame, frequent: np.ndarray, t: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n long, k1 long, k2 int, prefix array<long>, last_rank long, last_hash long")
 
 
+def _filter_of(nodes: DataFrame) -> np.ndarray:
+    """A bitmap of ``FILTER_BITS`` bits by the nodes' hashes: of fixed size, however many nodes there are."""
+    at = nodes.select((F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS)) + 1).alias("x"))
+    parts = at.groupBy(F.bitmap_bucket_number("x").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("x")).alias("bits")).collect()
+    out = np.zeros((FILTER_BITS // 32_768, 4_096), dtype=np.uint8)
+    for part in parts:
+        out[part["bucket"] - 1] = np.frombuffer(part["bits"], dtype=np.uint8)
+    return np.unpackbits(out.reshape(-1), bitorder="little").astype(bool)
+
+
 def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node bytes`` (sorted hashes, 8 bytes each) of the texts of ``nodes``."""
+    """``node bytes`` (sorted hashes, 8 bytes each) of the texts of ``nodes``, and of a few others that share a
+    place in the filter; joins drop those.  The filter spares the exchange of all texts."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(np.packbits(_filter_of(nodes)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(shared.value).astype(bool)
         for b in rows_of(batches):
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([x.tobytes() for x in shingle_sets(b.column("text").to_pylist())], type=pa.binary())], ["node", "bytes"]
-            )
+            b = b.filter(pa.array(bits[b.column("x").to_numpy()]))
+            sets = shingle_sets(b.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([x.tobytes() for x in sets], type=pa.binary())], ["node", "bytes"])
 
-    wanted = docs.join(nodes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    return wanted.select("doc_id", "text").mapInArrow(run, "node long, bytes binary")
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("x")
+    return docs.where("doc_id is not null").select("doc_id", "text", place).mapInArrow(run, "node long, bytes binary")
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, t: int) -> DataFrame:
     """The pairs ``a b`` whose whole sets reach the threshold.  Sets are made from the texts of the pairs' documents alone."""
-    sets = checkpoint(_sets_of(docs, pairs.select(F.col("a").alias("node")).union(pairs.select("b"))), pairs.sparkSession)
+    sets = stored(_sets_of(docs, pairs.select(F.col("a").alias("node")).union(pairs.select("b"))), pairs.sparkSession, "sets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows_of(batches, 8 << 20):
@@ -210,20 +226,20 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, id_col: str
     ship(spark)
     docs = id_text(docs, id_col, text_col)
     marked = _with_prefix(docs, _frequent(docs), threshold).withColumn("group", F.xxhash64("n", "prefix"))
-    rows = checkpoint(marked.select("doc_id", "n", "k1", "k2", "group"), spark)
+    rows = stored(marked.select("doc_id", "n", "k1", "k2", "group", F.size("prefix").alias("p"), "last_rank", "last_hash"), spark, "documents")
     members = checkpoint(rows.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.first("group").alias("group")), spark)
-    groups = marked.where("n > 0").groupBy("group").agg(
-        F.min("doc_id").alias("hub"), F.first("n").alias("n"), F.first("prefix").alias("prefix"),
-        F.first("last_rank").alias("last_rank"), F.first("last_hash").alias("last_hash"),
+    groups = rows.where("n > 0").groupBy("group").agg(
+        F.min("doc_id").alias("hub"), *[F.first(c).alias(c) for c in ("n", "p", "last_rank", "last_hash")]
     )
+    prefixes = marked.where("n > 0").groupBy("group").agg(F.min("doc_id").alias("hub"), F.first("prefix").alias("prefix"))
     # a list's rows are small: token, hub; what else is known of a hub is joined to the few rows of lists that are shared
-    posted = groups.select("hub", F.explode_outer("prefix").alias("token")).withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("c > 1").select("token", "hub")
-    posted = checkpoint(posted, spark)
+    posted = prefixes.select("hub", F.explode_outer("prefix").alias("token")).withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("c > 1").select("token", "hub")
+    posted = stored(posted, spark, "lists")
     shared = posted.groupBy("hub").agg(F.count(F.lit(1)).alias("shared"))
-    facts = groups.select("group", "hub", "n", F.size("prefix").alias("p"), "last_rank", "last_hash").join(shared, "hub").select(
+    facts = groups.join(shared, "hub").select(
         "group", "hub", "n", "last_rank", "last_hash", (F.col("n") - F.col("p") + F.col("shared")).alias("most")
     )  # most: shingles that the group's sets can share with a set whose prefix ends later
-    lists = checkpoint(posted.join(facts, "hub"), spark)
+    lists = stored(posted.join(facts, "hub"), spark, "lists")
 
     def possible(a: str, b: str):
         x, y = (F.col(f"{s}.n") for s in (a, b))
@@ -253,7 +269,7 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, id_col: str
     everyone = lists.join(member_of, "group").join(label.withColumnRenamed("component", "_c"), "node", "left").withColumn("c", F.coalesce("_c", "node")).drop("_c")
     sizes = everyone.groupBy("token", "c").agg(F.count(F.lit(1)).alias("m"))
     largest = sizes.groupBy("token").agg(F.max(F.struct("m", "c")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("token", F.col("top.c").alias("top"))
-    mixed = checkpoint(everyone.join(largest, "token"), spark)
+    mixed = stored(everyone.join(largest, "token"), spark, "mixed")
     rest = (
         mixed.where("c <> top").alias("s").join(mixed.alias("o"), F.col("s.token") == F.col("o.token"))
         .where((F.col("s.c") != F.col("o.c")) & possible("s", "o"))
