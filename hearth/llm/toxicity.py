@@ -194,7 +194,8 @@ def _kernel(a: list[dict[int, float]], b: list[dict[int, float]]) -> np.ndarray:
 
 def train(texts: list[str], labels: list[int]) -> Machine:
     """A machine from documents and their labels (1: toxic)."""
-    bags = [_bag(t) for t in texts]
+    one: dict[str, str] = {}  # each word's string is kept once, however many bags hold it
+    bags = [tuple(sorted(one.setdefault(w, w) for w in _bag(t))) for t in texts]  # sorted: the same machine in every run
     toxic = [b for b, y in zip(bags, labels) if y]
     clean = [b for b, y in zip(bags, labels) if not y]
     empty = Machine(np.zeros(CLASSES**3, dtype=np.float32), 0.0, 0.0)
@@ -239,7 +240,7 @@ def train(texts: list[str], labels: list[int]) -> Machine:
     numbers = [np.fromiter(map(number.__getitem__, sorted(bag)), dtype=np.int64, count=len(bag)) for bag in bags]
     y_doc = np.array(labels)
     known: dict[str, dict[int, float]] = {}
-    machine = empty
+    machine, fewest = empty, len(texts) + 1
     for _ in range(ROUNDS):
         new = [w for w in positives + negatives if w not in known]
         known.update(zip(new, _kernel(_features(new), mark) @ root))
@@ -251,8 +252,9 @@ def train(texts: list[str], labels: list[int]) -> Machine:
         table = table_of(w)
         margin = word_margins(laid, table) + b
         best = np.array([margin[i].max() if len(i) else -10.0 for i in numbers])
-        cut, scale = _cut(best, y_doc)
-        machine = Machine(table, b - cut, scale)
+        cut, scale, errors = _cut(best, y_doc)
+        if errors <= fewest:  # the round with the fewest errors on the sample stays
+            machine, fewest = Machine(table, b - cut, scale), errors
         # next round: new witnesses, and the clean words that come near the cut
         found = [vocabulary[i[margin[i].argmax()]] for i, t, m in zip(numbers, y_doc, best) if t and m > cut]
         positives = list(dict.fromkeys(firm + found))[:2_500]
@@ -279,8 +281,8 @@ def _squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float =
     return w[:-1], float(w[-1])
 
 
-def _cut(best: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Cut with the fewest errors (both labels weigh as they are; the middle of equal cuts), and a scale of the margins."""
+def _cut(best: np.ndarray, labels: np.ndarray) -> tuple[float, float, int]:
+    """Cut with the fewest errors (both labels weigh as they are; the middle of equal cuts), a scale of the margins, and those errors."""
     order = np.argsort(best)
     b, y = best[order], labels[order]
     errors = np.r_[0, np.cumsum(y)] + ((1 - y).sum() - np.r_[0, np.cumsum(1 - y)])
@@ -288,7 +290,7 @@ def _cut(best: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     mids = np.r_[b[0] - 1, (b[1:] + b[:-1]) / 2, b[-1] + 1]
     widths = np.r_[0, np.diff(b), 0]
     at = low[np.argmax(widths[low])]
-    return float(mids[at]), 6.0
+    return float(mids[at]), 6.0, int(errors.min())
 
 
 def held_out(id_text_: str) -> bool:
