@@ -28,7 +28,8 @@ Defined cases: null, empty or blank texts have no shingle, link with nothing
 and are their own component; fewer than five words are one shingle; rows that
 repeat a doc_id are one node with the links of each of its texts and keep a row
 each; ties go to the smaller doc_id; an empty table gives no rows; other
-columns are ignored.
+columns are ignored.  ``keep_one`` judges rows by their text instead: there a
+shared doc_id links nothing, and rows without a doc_id count like others.
 """
 
 from __future__ import annotations
@@ -141,8 +142,15 @@ def _frequent(docs: DataFrame) -> np.ndarray:
     return top["hash"].to_numpy(dtype=np.int64)[::-1].copy()
 
 
+def _digest(s: np.ndarray) -> tuple[int, int]:
+    """A set's 96 bits."""
+    d = hashlib.blake2b(s.tobytes(), digest_size=12).digest()
+    return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
+
+
 def _with_prefix(docs: DataFrame, frequent: np.ndarray, t: int) -> DataFrame:
-    """``doc_id n k1 k2 prefix last_rank last_hash`` of every row."""
+    """``doc_id n k1 k2 prefix last_rank last_hash`` of every row, and ``text_hash`` if ``docs`` has it."""
+    extra = [c for c in docs.columns if c == "text_hash"]
     order = np.argsort(frequent)
     hot, hot_rank = frequent[order], (order + 1).astype(np.int64)
     shared = docs.sparkSession.sparkContext.broadcast((hot, hot_rank))
@@ -150,8 +158,7 @@ def _with_prefix(docs: DataFrame, frequent: np.ndarray, t: int) -> DataFrame:
     def one(s: np.ndarray) -> tuple:
         hot, hot_rank = shared.value
         n = len(s)
-        d = hashlib.blake2b(s.tobytes(), digest_size=12).digest()
-        k1, k2 = int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
+        k1, k2 = _digest(s)
         if not n:
             return n, k1, k2, [], 0, 0
         rank = np.zeros(n, dtype=np.int64)
@@ -168,11 +175,13 @@ def _with_prefix(docs: DataFrame, frequent: np.ndarray, t: int) -> DataFrame:
                 [
                     b.column("doc_id"), pa.array(cols[0], type=pa.int64()), pa.array(cols[1], type=pa.int64()), pa.array(cols[2], type=pa.int32()),
                     pa.array(cols[3], type=pa.list_(pa.int64())), pa.array(cols[4], type=pa.int64()), pa.array(cols[5], type=pa.int64()),
+                    *[b.column(c) for c in extra],
                 ],
-                ["doc_id", "n", "k1", "k2", "prefix", "last_rank", "last_hash"],
+                ["doc_id", "n", "k1", "k2", "prefix", "last_rank", "last_hash", *extra],
             )
 
-    return docs.mapInArrow(run, "doc_id long, n long, k1 long, k2 int, prefix array<long>, last_rank long, last_hash long")
+    schema = "doc_id long, n long, k1 long, k2 int, prefix array<long>, last_rank long, last_hash long"
+    return docs.mapInArrow(run, ", ".join([schema, *[f"{c} binary" for c in extra]]))
 
 
 def _filter_of(nodes: DataFrame) -> np.ndarray:
@@ -186,8 +195,8 @@ def _filter_of(nodes: DataFrame) -> np.ndarray:
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node bytes`` (sorted hashes, 8 bytes each) of the texts of ``nodes``, and of a few others that share a
-    place in the filter; joins drop those.  The filter spares the exchange of all texts."""
+    """``node k1 k2 bytes`` (doc_id, the set's digest, its sorted hashes of 8 bytes each) of the texts of ``nodes``, and
+    of a few others that share a place in the filter; joins drop those.  The filter spares the exchange of all texts."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(np.packbits(_filter_of(nodes)))
 
@@ -196,15 +205,42 @@ def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         for b in rows_of(batches):
             b = b.filter(pa.array(bits[b.column("x").to_numpy()]))
             sets = shingle_sets(b.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([x.tobytes() for x in sets], type=pa.binary())], ["node", "bytes"])
+            keys = [_digest(x) for x in sets]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    b.column("doc_id"), pa.array([k for k, _ in keys], type=pa.int64()), pa.array([k for _, k in keys], type=pa.int32()),
+                    pa.array([x.tobytes() for x in sets], type=pa.binary()),
+                ],
+                ["node", "k1", "k2", "bytes"],
+            )
 
     place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("x")
-    return docs.where("doc_id is not null").select("doc_id", "text", place).mapInArrow(run, "node long, bytes binary")
+    return docs.select("doc_id", "text", place).mapInArrow(run, "node long, k1 long, k2 int, bytes binary")
+
+
+def _with_sets(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """``a b x y``: pairs of doc_ids with the sets of all their texts."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    sets = stored(_sets_of(docs.where("doc_id is not null"), nodes).select("node", "bytes"), pairs.sparkSession, "sets")
+    return pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+
+
+def _with_class_sets(pairs: DataFrame, docs: DataFrame, members: DataFrame) -> DataFrame:
+    """``a b x y``: pairs of classes with the set of each, made from the text of its first row."""
+    side = lambda s: members.select(F.col("node").alias(s), F.struct("first", "k1", "k2").alias(f"{s}_key"))
+    keyed = stored(pairs.join(side("a"), "a").join(side("b"), "b"), pairs.sparkSession, "pairs")
+    nodes = keyed.select(F.col("a_key.first").alias("node")).union(keyed.select("b_key.first"))
+    sets = stored(_sets_of(docs, nodes), pairs.sparkSession, "sets")
+    # rows without a doc_id can be the first of a class together
+    sets = sets.where("node is not null").union(sets.where("node is null").dropDuplicates(["k1", "k2"]))
+    key = F.struct(F.col("node").alias("first"), "k1", "k2")
+    return keyed.join(sets.select(key.alias("a_key"), F.col("bytes").alias("x")), "a_key").join(
+        sets.select(key.alias("b_key"), F.col("bytes").alias("y")), "b_key"
+    )
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, t: int) -> DataFrame:
+def _linked(with_sets: DataFrame, t: int) -> DataFrame:
     """The pairs ``a b`` whose whole sets reach the threshold.  Sets are made from the texts of the pairs' documents alone."""
-    sets = stored(_sets_of(docs, pairs.select(F.col("a").alias("node")).union(pairs.select("b"))), pairs.sparkSession, "sets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows_of(batches, 8 << 20):
@@ -216,22 +252,31 @@ def _linked(pairs: DataFrame, docs: DataFrame, t: int) -> DataFrame:
             m = pa.array(keep, type=pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column("a").filter(m), b.column("b").filter(m)], ["a", "b"])
 
-    with_sets = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     return with_sets.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id n_shingles component_id`` of every row; component: the smallest doc_id reachable by links."""
+def _classes(docs: DataFrame, threshold: int, tied: bool) -> tuple[DataFrame, DataFrame]:
+    """``doc_id n k1 k2`` (and ``text_hash``) of every row, and ``k1 k2 component`` of every class of equal sets.
+    ``tied``: a class goes by its smallest doc_id, and a doc_id ties the classes of its texts; else each class has a number of its own."""
     spark = docs.sparkSession
     ship(spark)
-    docs = id_text(docs, id_col, text_col)
     marked = _with_prefix(docs, _frequent(docs), threshold).withColumn("group", F.xxhash64("n", "prefix"))
-    rows = stored(marked.select("doc_id", "n", "k1", "k2", "group", F.size("prefix").alias("p"), "last_rank", "last_hash"), spark, "documents")
-    members = checkpoint(rows.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.first("group").alias("group")), spark)
-    groups = rows.where("n > 0").groupBy("group").agg(
-        F.min("doc_id").alias("hub"), *[F.first(c).alias(c) for c in ("n", "p", "last_rank", "last_hash")]
-    )
-    prefixes = marked.where("n > 0").groupBy("group").agg(F.min("doc_id").alias("hub"), F.first("prefix").alias("prefix"))
+    rows = stored(marked.withColumn("p", F.size("prefix")).drop("prefix"), spark, "documents")
+    members = rows.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("first"), F.first("group").alias("group"))
+    members = checkpoint(members.withColumn("node", F.col("first") if tied else F.monotonically_increasing_id()), spark)
+
+    def by_group(df: DataFrame, *names: str) -> DataFrame:
+        """``hub`` (the smallest node) and what all rows of a group share."""
+        by, shared_cols = df.where("n > 0").groupBy("group"), [F.first(c).alias(c) for c in names]
+        if tied:
+            return by.agg(F.min("doc_id").alias("hub"), *shared_cols)
+        return by.agg(*shared_cols).join(members.groupBy("group").agg(F.min("node").alias("hub")), "group")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return _linked(_with_sets(pairs, docs) if tied else _with_class_sets(pairs, docs, members), threshold)
+
+    groups = by_group(rows, "n", "p", "last_rank", "last_hash")
+    prefixes = by_group(marked, "prefix")
     # a list's rows are small: token, hub; what else is known of a hub is joined to the few rows of lists that are shared
     posted = prefixes.select("hub", F.explode_outer("prefix").alias("token")).withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("c > 1").select("token", "hub")
     posted = stored(posted, spark, "lists")
@@ -256,11 +301,11 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, id_col: str
     crowd = members.groupBy("group").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("m")).where("m > 1")
     inner = members.join(crowd, "group").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     first = checkpoint(spokes.union(inner).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), spark)
-    links = checkpoint(_linked(first, docs, threshold), spark)
+    links = checkpoint(linked(first), spark)
     member_of = members.select("group", "node")
 
     # a doc_id with several texts is one node: it ties their classes together
-    several = rows.where("n > 0").join(members.select("k1", "k2", "node"), ["k1", "k2"]).groupBy("doc_id").agg(
+    several = links.limit(0) if not tied else rows.where("n > 0").join(members.select("k1", "k2", "node"), ["k1", "k2"]).groupBy("doc_id").agg(
         F.collect_set("node").alias("nodes")
     ).where(F.size("nodes") > 1).select(F.col("doc_id").alias("a"), F.explode("nodes").alias("b"))
 
@@ -285,18 +330,29 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, id_col: str
         .select(F.least("s.node", "o.node").alias("a"), F.greatest("s.node", "o.node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     )
     rest = checkpoint(rest.union(inside).distinct(), spark)
-    more = _linked(rest, docs, threshold)
+    more = linked(rest)
     label = components(links.union(more).union(several))
+    return rows, members.select("k1", "k2", "node").join(label, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
 
-    of_class = members.select("k1", "k2", "node").join(label, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
+
+def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id n_shingles component_id`` of every row; component: the smallest doc_id reachable by links."""
+    rows, of_class = _classes(id_text(docs, id_col, text_col), threshold, tied=True)
     return rows.select("doc_id", "n", "k1", "k2").join(of_class, ["k1", "k2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce(F.when(F.col("n") > 0, F.col("component")), F.col("doc_id")).alias("component_id")
     )
 
 
 def keep_one(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` (all columns) without those that another document of their component stands for;
-    of rows that repeat a doc_id and its text one stays."""
-    found = jaccard_components(docs, threshold).where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_hearth_id")).distinct()
-    kept = docs.join(found, docs["doc_id"] == found["_hearth_id"], "left_anti")
-    return kept.dropDuplicates(["doc_id", "text"])
+    """The rows of ``docs`` (all columns) without those that another text of their component stands for: of a
+    component the row with the smallest doc_id stays.  Components are of texts, so a row goes only if a text linked
+    with its own stays, whatever other texts its doc_id has; of rows that repeat a doc_id and its text one stays."""
+    text_hash = F.unhex(F.md5(F.col("text").cast("string")))
+    rows, component = _classes(id_text(docs).withColumn("text_hash", text_hash), threshold, tied=False)
+    rows = rows.where("n > 0").withColumn("row", F.struct("doc_id", "text_hash"))
+    of_class = rows.groupBy("k1", "k2").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "row")).alias("first")).join(component, ["k1", "k2"])
+    stays = of_class.groupBy("component").agg(F.min("first")["row"].alias("stays"))
+    stands = of_class.join(stays, "component").select("k1", "k2", "stays")
+    found = rows.join(stands, ["k1", "k2"]).where("row <> stays").select(F.col("row").alias("_hearth_row")).distinct()
+    marked = docs.withColumn("_hearth_row", F.struct(F.col("doc_id").cast("long").alias("doc_id"), text_hash.alias("text_hash")))
+    return marked.join(found, "_hearth_row", "left_anti").dropDuplicates(["_hearth_row"]).drop("_hearth_row")

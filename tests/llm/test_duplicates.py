@@ -87,6 +87,18 @@ def test_keep_one_keeps_clean_documents(docs_of):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for c in expect.values()})
 
 
+def test_keep_one_keeps_other_texts_of_a_doc_id(docs_of):
+    rng = random.Random(8)
+    a, b, c, d = (" ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") + str(rng.randrange(50)) for _ in range(60)) for _ in range(4))
+    near = b + " end"
+    rows = [(1, a), (2, a), (2, b), (3, near), (2, c), (2, c), (4, d), (4, d + " end"), (4, d.upper()), (None, near + " more"), (None, a + " x"), (None, "alone without an id"), (5, None), (5, "")]
+    rows += [(10, a + " one"), (10, d + " two"), (6, c + " three")]
+    kept = sorted(((r.doc_id, r.text) for r in group_join.keep_one(docs_of(rows)).collect()), key=str)
+    stays = [t for i, t in kept if i == 4]
+    assert len(stays) == 1 and stays[0] in (d, d + " end", d.upper())
+    assert kept == sorted([(1, a), (2, b), (2, c), (4, stays[0]), (None, "alone without an id"), (5, None), (5, "")], key=str)
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     got = {r.node: r.component for r in components(links).collect()}
