@@ -5,8 +5,11 @@ three characters: a subsequence that spans m characters counts ``DECAY ** m``,
 up to ``SPAN`` characters, so ``i.d.i.o.t`` or ``idxiot`` still shares most of
 the weight of ``idiot``.  A word starts and ends with a mark, case and accents
 count as they are seen (lower case), digits and signs that stand for letters
-are read as those.  Single characters in a row (``i d i o t``) are also read as
-one word.  Words are normed by the kernel with themselves (coinciding
+are read as those.  Letters that signs keep apart are also read as one word
+without the signs: single letters in a row across any signs and spaces
+(``i d i o t``, ``i - d - i - o - t``), and what any signs cut within a word
+(``i|d|i|o|t``, ``id(iot``, ``i--d--i--o--t``), in stretches of ``JOINED``
+letters that overlap by half, so no length is left out.  Words are normed by the kernel with themselves (coinciding
 subsequences apart).
 
 Training takes a bounded, deterministic sample of labelled sentences' documents
@@ -33,6 +36,7 @@ columns are never read.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -56,6 +60,18 @@ FOLDS, HELD_OUT = 5, 0
 #: Characters are told apart in this many classes; signs in words keep classes of their own.
 CLASSES = 64
 _LIKE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "!"})
+#: Letters of a joined word; longer ones are read in stretches.
+JOINED = 40
+#: Letters kept apart by signs: single ones also across spaces, and within a word short pieces alone and all pieces.
+_APART = [
+    re.compile(p)
+    for p in (
+        r"(?<![^\W_])[^\W_](?:[\W_]++[^\W_](?![^\W_])){2,}+",
+        r"(?<![^\W_])[^\W_]{1,3}(?:(?:_|[^\w\s])++[^\W_]{1,3}(?![^\W_]))++",
+        r"(?<![^\W_])[^\W_]++(?:(?:_|[^\w\s])++[^\W_]++)++",
+    )
+]
+_SIGNS = re.compile(r"[\W_]+")
 _GAPS = [(g, h) for g in range(1, SPAN) for h in range(1, SPAN) if g + h < SPAN]
 
 
@@ -80,24 +96,21 @@ def _classes() -> np.ndarray:
 _CLASS = _classes()
 
 
+def joined(lowered: str) -> list[str]:
+    """Words that signs keep apart, without the signs; each once."""
+    out: dict[str, None] = {}
+    for apart in _APART:
+        for found in apart.findall(lowered):
+            w = _SIGNS.sub("", found)
+            for at in range(0, max(len(w) - JOINED // 2, 1), JOINED // 2):
+                out[w[at : at + JOINED]] = None
+    return list(out)
+
+
 def codes(text: str) -> np.ndarray:
-    """Character classes of a text with one word end on both sides; runs of single characters come once more, joined."""
-    lowered = text.lower()
-    extra = ""
-    words = lowered.split()
-    at = 0
-    while at < len(words):  # single characters in a row, and words cut by dots
-        end = at
-        while end < len(words) and len(words[end].strip(".,-_*")) == 1:
-            end += 1
-        if end - at >= 3:
-            extra += " " + "".join(w.strip(".,-_*") for w in words[at:end])
-        at = max(end, at + 1)
-    if "." in lowered:
-        for w in words:
-            if w.count(".") >= 2 and len(w) <= 40:
-                extra += " " + w.replace(".", "")
-    lowered = f" {lowered}{extra} ".translate(_LIKE)
+    """Character classes of a text with one word end on both sides; words that signs keep apart come once more, joined."""
+    lowered = text.lower().translate(_LIKE)
+    lowered = f" {' '.join([lowered, *joined(lowered)])} "
     c = np.frombuffer(lowered.encode("utf-32-le", "surrogatepass"), dtype="<u4")
     return np.where(c < len(_CLASS), _CLASS[np.minimum(c, len(_CLASS) - 1)], 1 + c % (CLASSES - 1)).astype(np.int64)
 

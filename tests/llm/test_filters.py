@@ -66,6 +66,23 @@ def test_toxicity_held_out(spark):
     assert sum(machine.score(plain.replace("thin", w)) >= 0.5 for w in hidden) >= 5
 
 
+def test_toxicity_cut_insults(spark):
+    folder = "/root/testdata/sf0.1"
+    rows = duckdb.connect().execute(
+        f"SELECT d.doc_id, text, toxic FROM '{folder}/documents.parquet' d JOIN '{folder}/labels.parquet' l USING (doc_id) WHERE toxic IS NOT NULL ORDER BY 1"
+    ).fetchall()
+    train = [r for r in rows if not toxicity.held_out(str(r[0]))]
+    train = [r for r in train if r[2]] + [r for r in train if not r[2]][:1200]
+    machine = toxicity.train([r[1] for r in train], [r[2] for r in train])
+    plain = "the region of thin heather was on the north."
+    cut = ["idiot", "IDIOT", "m0ron", "sc-um", "patheticc", "i d i o t", "i.d.i.o.t", *(s.join("idiot") for s in ",;:?\"()[]{}|"), "id(iot", "i--d--i--o--t", "i - d - i - o - t"]
+    missed = [w for w in cut if machine.score(plain.replace("thin", w)) < 0.5]
+    long = "".join(plain.split())  # text without spaces
+    missed += [w for w in ("i.d.i.o.t", "i--d--i--o--t") if machine.score(f"{long}{long}{w}.{long}") < 0.5]
+    assert missed == []
+    assert machine.score(plain) < 0.5 and machine.score(long + long + long) < 0.5
+
+
 def test_toxicity_odd_rows(spark, docs_of, odd_rows):
     labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(1, 10)] + [(3, None), (None, 1)], "doc_id long, toxic int")
     docs = docs_of(odd_rows)
