@@ -99,8 +99,9 @@ _CLASS = _classes()
 def joined(lowered: str) -> list[str]:
     """Words that signs keep apart, without the signs; each once."""
     out: dict[str, None] = {}
-    for apart in _APART:
-        for found in apart.findall(lowered):
+    cut = " ".join(w for w in lowered.split() if not w.isalnum())  # only these can hold a sign
+    for apart, where in zip(_APART, (lowered, cut, cut)):
+        for found in apart.findall(where):
             w = _SIGNS.sub("", found)
             for at in range(0, max(len(w) - JOINED // 2, 1), JOINED // 2):
                 out[w[at : at + JOINED]] = None
