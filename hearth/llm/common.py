@@ -9,6 +9,7 @@ import uuid
 import zipfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +64,41 @@ def rows_of(batches: Iterator[pa.RecordBatch], most_bytes: int = 4 << 20) -> Ite
             yield b.slice(at, step)
 
 
+def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows that agree on ``keys`` (no nulls), one table a group, of batches that are sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last: tuple = ()
+    for b in batches:
+        if not b.num_rows:
+            continue
+        cols = [b.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        cut = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in cols])) + 1
+        edges = [0, *cut.tolist(), b.num_rows]
+        for s, e in zip(edges[:-1], edges[1:]):
+            this = tuple(c[s] for c in cols)
+            if held and this != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(b.slice(s, e - s))
+            last = this
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def key_filter(nodes: DataFrame) -> np.ndarray:
+    """A packed bitmap by the hashes of ``node``: of fixed size (2 MB), however many nodes there are.  It only spares work:
+    bit ``pmod(xxhash64(key), key_filter.bits)`` is set for each node, and for others that share its place."""
+    at = nodes.select((F.pmod(F.xxhash64("node"), F.lit(key_filter.bits)) + 1).alias("x"))
+    parts = at.groupBy(F.bitmap_bucket_number("x").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("x")).alias("bits")).collect()
+    out = np.zeros((key_filter.bits // 32_768, 4_096), dtype=np.uint8)
+    for part in parts:
+        out[part["bucket"] - 1] = np.frombuffer(part["bits"], dtype=np.uint8)
+    return np.packbits(np.unpackbits(out.reshape(-1), bitorder="little"))
+
+
+key_filter.bits = 1 << 24
+
+
 def checkpoint(df: DataFrame, spark: SparkSession) -> DataFrame:
     """Cut the lineage in the shared folder of ``spark.checkpoint.dir`` (see ``hearth.session``)."""
     from hearth.session import ensure_checkpoint_dir

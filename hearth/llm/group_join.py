@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearth.llm.common import checkpoint, id_text, rows_of, ship, stored
+from hearth.llm.common import checkpoint, id_text, key_filter, rows_of, ship, stored
 from hearth.llm.components import components
 
 SHINGLE = 5
@@ -50,8 +50,6 @@ SHINGLE = 5
 THRESHOLD = 80
 #: Frequent shingles that the order puts last, at most (8 bytes each), and how often one task must see a shingle to report it.
 FREQUENT, REPORTED = 1 << 17, 4
-#: Bits of the filter by which only the texts of paired documents are hashed again (2 MB; more only saves work).
-FILTER_BITS = 1 << 24
 _MULTIPLIER = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)
 #: Bytes as they count: A-Z lower-cased, separators 0, others one more than they are (UTF-8 keeps words apart by these bytes alone).
 _BYTE = np.array([0 if c == 0x20 or 9 <= c <= 13 else (c + 32 if 65 <= c <= 90 else c) + 1 for c in range(256)], dtype=np.uint64)
@@ -69,8 +67,8 @@ def _powers(n: int, known: list[np.ndarray] = []) -> np.ndarray:  # noqa: B006
     return known[0]
 
 
-def shingle_sets(texts: list[str], at_once: int = 1 << 20) -> list[np.ndarray]:
-    """Sorted distinct hashes (int64) of each text's shingles; texts are worked on in whole arrays of about
+def shingle_sets(texts: list[str], at_once: int = 1 << 20, width: int = SHINGLE) -> list[np.ndarray]:
+    """Sorted distinct hashes (int64) of each text's shingles of ``width`` words; texts are worked on in whole arrays of about
     ``at_once`` characters (or one longer text), which bounds the memory."""
     out: list[np.ndarray] = []
     part: list[str] = []
@@ -79,12 +77,12 @@ def shingle_sets(texts: list[str], at_once: int = 1 << 20) -> list[np.ndarray]:
         part.append(t)
         size += len(t)
         if size >= at_once:
-            out += _shingle_sets(part)
+            out += _shingle_sets(part, width)
             part, size = [], 0
-    return out + _shingle_sets(part) if part else out
+    return out + _shingle_sets(part, width) if part else out
 
 
-def _shingle_sets(texts: list[str]) -> list[np.ndarray]:
+def _shingle_sets(texts: list[str], width: int) -> list[np.ndarray]:
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     c = _BYTE[np.frombuffer(b" ".join(raw) + b" ", dtype=np.uint8)]
     text_end = np.cumsum([len(r) + 1 for r in raw])
@@ -101,12 +99,12 @@ def _shingle_sets(texts: list[str]) -> list[np.ndarray]:
         word = _mixed(np.add.reduceat(c[at] * _powers(int(size.max()))[place], ends - size) + size.astype(np.uint64))
         owner = np.searchsorted(text_end, first, side="right")
         n_words = np.bincount(owner, minlength=len(texts))
-        window = _rolled(word, SHINGLE)
+        window = _rolled(word, width)
     start = np.cumsum(n_words) - n_words
     out = []
     for s, n in zip(start.tolist(), n_words.tolist()):
-        if n >= SHINGLE:
-            h = window[s : s + n - SHINGLE + 1]
+        if n >= width:
+            h = window[s : s + n - width + 1]
         else:
             h = _rolled(word[s : s + n], n) if n else word[:0]
         out.append(np.unique(h.view(np.int64)))
@@ -184,21 +182,11 @@ def _with_prefix(docs: DataFrame, frequent: np.ndarray, t: int) -> DataFrame:
     return docs.mapInArrow(run, ", ".join([schema, *[f"{c} binary" for c in extra]]))
 
 
-def _filter_of(nodes: DataFrame) -> np.ndarray:
-    """A bitmap of ``FILTER_BITS`` bits by the nodes' hashes: of fixed size, however many nodes there are."""
-    at = nodes.select((F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS)) + 1).alias("x"))
-    parts = at.groupBy(F.bitmap_bucket_number("x").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("x")).alias("bits")).collect()
-    out = np.zeros((FILTER_BITS // 32_768, 4_096), dtype=np.uint8)
-    for part in parts:
-        out[part["bucket"] - 1] = np.frombuffer(part["bits"], dtype=np.uint8)
-    return np.unpackbits(out.reshape(-1), bitorder="little").astype(bool)
-
-
 def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node k1 k2 bytes`` (doc_id, the set's digest, its sorted hashes of 8 bytes each) of the texts of ``nodes``, and
     of a few others that share a place in the filter; joins drop those.  The filter spares the exchange of all texts."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(np.packbits(_filter_of(nodes)))
+    shared = spark.sparkContext.broadcast(key_filter(nodes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(shared.value).astype(bool)
@@ -214,7 +202,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 ["node", "k1", "k2", "bytes"],
             )
 
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("x")
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(key_filter.bits)).alias("x")
     return docs.select("doc_id", "text", place).mapInArrow(run, "node long, k1 long, k2 int, bytes binary")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hearth.llm import chat_masks, containment, group_join, link_trust, multiset_hash, piece_count, prefix_bpe, repeat_removal, secret_ledger, toxicity
+from hearth.llm import chat_masks, circulant_minhash, containment, group_join, link_trust, multiset_hash, piece_count, prefix_bpe, repeat_removal, secret_ledger, toxicity
 from hearth.llm.common import id_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,8 @@ def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeat_removal.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op13_minhash_near_dedup")
+def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return circulant_minhash.near_duplicates(table(spark, sf_dir, "documents"))
