@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hearth.llm import chat_masks, circulant_minhash, containment, group_join, link_trust, multiset_hash, piece_count, prefix_bpe, repeat_removal, secret_ledger, toxicity
+from hearth.llm import (
+    chat_masks, circulant_minhash, containment, glr_repair, group_join, link_trust, multiset_hash, piece_count, prefix_bpe, repeat_removal,
+    secret_ledger, toxicity, trie_frontier,
+)
 from hearth.llm.common import id_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,8 +45,7 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_secret_scan", secret_ledger.SQL)
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = id_text(table(spark, sf_dir, "documents"))
-    return secret_ledger.document_findings(docs, secret_ledger.empty_ledger(spark), secret_ledger.empty_findings(spark))
+    return secret_ledger.document_findings(id_text(table(spark, sf_dir, "documents")))
 
 
 #: A conversation whose turns look like a chat template.
@@ -84,6 +86,16 @@ def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@query("op11_spelling_variants", trie_frontier.SQL)
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_frontier.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query("op12_conversation_repair")
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return glr_repair.repair_digests(table(spark, sf_dir, "conversations"))
+
+
 @query("op13_minhash_near_dedup")
 def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return circulant_minhash.near_duplicates(table(spark, sf_dir, "documents"))
