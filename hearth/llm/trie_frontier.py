@@ -21,7 +21,7 @@ its words are neighbours if their tails are equal.  A node has as many edges as
 prefix as many states as edits of it, so no key grows with the corpus.  A letter that repeats the deleted one does not
 follow it (``bar``): deleting the later one is the same edit.
 
-There is one level for each letter of the longest prefix that two words share; levels are checkpoints.  Nodes
+There is one level for each letter of the longest prefix that two words share; levels are written tables.  Nodes
 are named by 64-bit hashes of their prefixes, so neighbours are confirmed on the words themselves.
 
 Defined cases: null, empty and letterless texts have no word; a null doc_id counts as the empty text in the damage rule;
@@ -163,7 +163,8 @@ def neighbours(trie: DataFrame) -> DataFrame:
         right = letters.select("parent", F.col("ch").alias("y_ch"), *_side("y", here))
         replaced = left.join(right, "parent").where("x_ch < y_ch").select(*STATE, no("string").alias("bar"))
         states = frontier.union(deleted)
-        # x moves: a shared node along each of its edges (after a deletion x is one level deeper), a single word along its tail
+        # the side that lost a letter is one level deeper, and it may be either.  x moves: a shared node along each
+        # of its edges, a single word along its tail
         below = trie.where(F.col("depth").isin(depth, depth + 1)).select(F.col("parent").alias("x_node"), "ch", F.col("child"), "tail", "word", "n")
         y = ["y_node", "bar"]
         many = states.where("x_node is not null").select("x_node", *y).join(below, "x_node").select("ch", *_side("x", below), *y)
@@ -172,11 +173,11 @@ def neighbours(trie: DataFrame) -> DataFrame:
         )
         moved = many.union(single).where("bar is null or ch <> bar").drop("bar")
         # y follows along the same letter
-        follow = here.select(F.col("parent").alias("y_node"), "ch", *[F.col(c).alias(f"to_{c}") for c in ("child", *SIDE[1:])])
+        follow = trie.where(F.col("depth").isin(depth, depth + 1)).select(F.col("parent").alias("y_node"), "ch", *[F.col(c).alias(f"to_{c}") for c in ("child", *SIDE[1:])])
         moved = moved.join(follow, ["y_node", "ch"]).select(
             *STATE[:4], F.col("to_child").alias("y_node"), *[F.col(f"to_{c}").alias(f"y_{c}") for c in SIDE[1:]], no("string").alias("bar")
         )
-        level = checkpoint(_ordered(moved.union(replaced)), spark)
+        level = stored(_ordered(moved.union(replaced)), spark, "level")  # a table: a checkpoint keeps what Spark knows of its columns, which doubles by level
         found = found.union(level.where("x_node is null and y_node is null"))
         frontier = level.where("y_node is not null")
     one = found.where(F.levenshtein("x_word", "y_word", 1) == 1).select("x_word", "x_n", "y_word", "y_n")
