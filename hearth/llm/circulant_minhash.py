@@ -14,9 +14,8 @@ minimum of a few contiguous rows.
 3. Round one holds each member of a bucket against the bucket's centre (the member that shares the
    most buckets), on whole sets.  Links make components.
 4. Round two looks between components: in a bucket of several, members outside the largest one meet
-   all others in blocks of ``BLOCK`` rows, on sketches of ``BITS`` one-bit coordinates; pairs that
-   differ in at most ``APART`` bits (5 standard deviations beyond what 0.8 gives, a miss of about
-   1e-7) are held against each other on whole sets.  Members of one component are not compared
+   all others in blocks inside tasks, and only pairs that the exact bound of their bitmaps allows are held
+   against each other on whole sets (``pair_blocks``).  Members of one component are not compared
    again, so copies are never expanded into pairs, and no bucket is capped.
 
 Sets of documents that share a bucket are the only ones that move, one row a document.
@@ -38,18 +37,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import checkpoint, grouped, id_text, key_filter, rows_of, ship, stored
+from hearth.llm.common import checkpoint, id_text, key_filter, rows_of, ship, stored
 from hearth.llm.components import components
 from hearth.llm.group_join import shingle_sets
+from hearth.llm.pair_blocks import between_components, bitmap
 
 SHINGLE = 4
 #: In hundredths.
 THRESHOLD = 80
 BANDS, ROWS = 40, 5
-#: One-bit coordinates of a sketch and how many may differ.
-BITS, APART = 2048, 276
-#: Places of the circle; rows of a bucket that are compared at once.
-DOMAIN, BLOCK = 1 << 20, 1024
+#: Places of the circle.
+DOMAIN = 1 << 20
 _SCATTER = np.uint64(0x9E3779B97F4A7C15)
 _PLACE_BITS = DOMAIN.bit_length() - 1
 
@@ -85,10 +83,6 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def sketch(s: np.ndarray) -> bytes:
-    return np.packbits((signature(s, BITS) & 1).astype(np.uint8)).tobytes()
-
-
 def _digest(s: np.ndarray) -> tuple[int, int]:
     d = hashlib.blake2b(s.tobytes(), digest_size=12).digest()
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
@@ -114,8 +108,8 @@ def _signed(docs: DataFrame) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node k1 k2 bytes sketch`` of the texts of the doc_ids ``nodes`` (and of a few others that share a place in a filter of
-    fixed size, which joins drop): the sorted hashes, 8 bytes each, and their one-bit sketch."""
+    """``node k1 k2 bytes bits`` of the texts of the doc_ids ``nodes`` (and of a few others that share a place in a filter of
+    fixed size, which joins drop): the sorted hashes, 8 bytes each, and their bitmap."""
     shared = docs.sparkSession.sparkContext.broadcast(key_filter(nodes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,13 +121,13 @@ def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column("doc_id"), pa.array([k for k, _ in digests], type=pa.int64()), pa.array([k for _, k in digests], type=pa.int32()),
-                    pa.array([s.tobytes() for s in sets], type=pa.binary()), pa.array([sketch(s) for s in sets], type=pa.binary()),
+                    pa.array([s.tobytes() for s in sets], type=pa.binary()), pa.array([bitmap(s) for s in sets], type=pa.binary()),
                 ],
-                ["node", "k1", "k2", "bytes", "sketch"],
+                ["node", "k1", "k2", "bytes", "bits"],
             )
 
     place = F.pmod(F.xxhash64("doc_id"), F.lit(key_filter.bits)).alias("x")
-    return docs.select("doc_id", "text", place).mapInArrow(run, "node long, k1 long, k2 int, bytes binary, sketch binary")
+    return docs.select("doc_id", "text", place).mapInArrow(run, "node long, k1 long, k2 int, bytes binary, bits binary")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -153,28 +147,6 @@ def _linked(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return pairs.join(by("a", "x"), "a").join(by("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _likely(blocks: DataFrame, threshold: int) -> DataFrame:
-    """Pairs ``a b`` between components, of rows ``key i j block node c top n sketch`` that (key, i, j) brings together,
-    whose sizes and sketches allow a link."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in grouped(batches, ["key", "i", "j"]):
-            node, c, n, block = (t.column(k).to_numpy() for k in ("node", "c", "n", "block"))
-            other = c != t.column("top").to_numpy()
-            bits = np.frombuffer(b"".join(t.column("sketch").to_pylist()), dtype=np.uint64).reshape(len(node), -1)
-            i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-            left, right = [], []
-            for x in np.flatnonzero(other).tolist():
-                y = np.flatnonzero((c != c[x]) & (n * 100 >= n[x] * threshold) & (n[x] * 100 >= n * threshold) & ((block != block[x]) | (i == j)))
-                y = y[np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=np.int64) <= APART]
-                left.append(np.minimum(node[x], node[y]))
-                right.append(np.maximum(node[x], node[y]))
-            if left:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["a", "b"])
-
-    return blocks.mapInArrow(run, "a long, b long").distinct()
-
-
 def _links(docs: DataFrame, classes: DataFrame, threshold: int, tied: DataFrame) -> DataFrame:
     """``node component`` of the classes (``node first n k1 k2 bands``) that link; ``tied`` are links that hold anyway."""
     spark = docs.sparkSession
@@ -184,7 +156,7 @@ def _links(docs: DataFrame, classes: DataFrame, threshold: int, tied: DataFrame)
     degree = shared.groupBy("node").agg(F.sum(F.col("m") - 1).alias("degree"))
     paired = classes.select("node", "first", "n", "k1", "k2").join(degree, "node", "left_semi")
     sets = _sets_of(docs, paired.select(F.col("first").alias("node"))).drop("node").join(paired, ["k1", "k2"])
-    sets = stored(sets.select("node", "n", "bytes", "sketch").dropDuplicates(["node"]), spark, "sets")
+    sets = stored(sets.select("node", "n", "bytes", "bits").dropDuplicates(["node"]), spark, "sets")
 
     ranked = shared.join(degree, "node")
     centres = ranked.groupBy("key").agg(F.max(F.struct("degree", (-F.col("node")).alias("node")))["node"].alias("centre"))
@@ -196,14 +168,8 @@ def _links(docs: DataFrame, classes: DataFrame, threshold: int, tied: DataFrame)
     links = checkpoint(_linked(first, sets, threshold).union(tied), spark)
 
     label = components(links)
-    placed = shared.where("m > 2").join(label.withColumnRenamed("component", "_c"), "node", "left").select("key", "node", F.coalesce("_c", "node").alias("c"))
-    parts = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"))
-    mixed = parts.groupBy("key").agg(F.max(F.struct("m", "c"))["c"].alias("top"), F.count(F.lit(1)).alias("parts"), F.sum("m").alias("m")).where("parts > 1")
-    rows = placed.join(mixed.select("key", "top", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "key").join(sets.select("node", "n", "sketch"), "node")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("w", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("block", "w").alias("i"), F.greatest("block", "w").alias("j"), "block", "node", "c", "top", "n", "sketch")
-    blocks = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    rest = checkpoint(_likely(blocks, threshold).join(first, ["a", "b"], "left_anti"), spark)
+    between = between_components(shared.where("m > 2").select("key", "node"), label, sets, threshold)  # of two members one is the centre
+    rest = checkpoint(between.join(first, ["a", "b"], "left_anti"), spark)
     return components(links.union(_linked(rest, sets, threshold)))
 
 

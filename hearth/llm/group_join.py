@@ -7,21 +7,23 @@ order.  The order puts very frequent shingles last (a list of at most
 ``FREQUENT`` of them, which changes the work and never the result).
 
 1. Equal sets are one class (by a 96-bit digest of the sorted set); its smallest doc_id stands for it.
-2. Classes with identical prefix and size are one group; only groups are listed by prefix shingle.
+2. Classes with identical prefix and size are one group; only groups are listed by prefix shingle, and lists
+   of the same groups are one list.
 3. A list's pairs are bounded without their sets: with ``u`` prefix shingles
    that no other list member has, the set whose prefix ends earlier in the order can
    share at most ``size - u`` shingles.
 4. Round one verifies few pairs per list: every group against the list's
    centre (the group with the fewest shingles of its own), and members of a group
    against the group's first.  Links make components.
-5. Round two verifies all remaining candidate pairs that join two components:
-   in each list, members outside its largest component against all members,
-   if the sizes and the bound allow.  Pairs inside a component can no longer
+5. Round two verifies the remaining candidate pairs that join two components:
+   in each list, members outside its largest component meet all others in blocks inside tasks,
+   and only pairs that the exact bound of their bitmaps allows become rows (``pair_blocks``).
+   Pairs inside a component can no longer
    change it, so all components are exact although copies are not compared
    with each other.
 
 Verification counts shared hashes of both whole sets.  Lists, pairs and sets
-are joined by shuffle, hot lists are split by AQE; only the frequent shingles
+are joined by shuffle, hot lists are split into blocks; only the frequent shingles
 (fixed size) go through the driver.
 
 Defined cases: null, empty or blank texts have no shingle, link with nothing
@@ -39,11 +41,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearth.llm.common import checkpoint, id_text, key_filter, rows_of, ship, stored
 from hearth.llm.components import components
+from hearth.llm.pair_blocks import between_components, bitmap
 
 SHINGLE = 5
 #: In hundredths.
@@ -147,7 +150,7 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
 
 
 def _with_prefix(docs: DataFrame, frequent: np.ndarray, t: int) -> DataFrame:
-    """``doc_id n k1 k2 prefix last_rank last_hash`` of every row, and ``text_hash`` if ``docs`` has it."""
+    """``doc_id n k1 k2 prefix last_rank last_hash bits`` of every row, and ``text_hash`` if ``docs`` has it."""
     extra = [c for c in docs.columns if c == "text_hash"]
     order = np.argsort(frequent)
     hot, hot_rank = frequent[order], (order + 1).astype(np.int64)
@@ -158,13 +161,13 @@ def _with_prefix(docs: DataFrame, frequent: np.ndarray, t: int) -> DataFrame:
         n = len(s)
         k1, k2 = _digest(s)
         if not n:
-            return n, k1, k2, [], 0, 0
+            return n, k1, k2, [], 0, 0, b""
         rank = np.zeros(n, dtype=np.int64)
         if len(hot):
             at = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
             rank = np.where(hot[at] == s, hot_rank[at], 0)
         first = np.lexsort((s, rank))[: _prefix_length(n, t)]
-        return n, k1, k2, s[first], int(rank[first[-1]]), int(s[first[-1]])
+        return n, k1, k2, s[first], int(rank[first[-1]]), int(s[first[-1]]), bitmap(s)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows_of(batches):
@@ -173,12 +176,12 @@ def _with_prefix(docs: DataFrame, frequent: np.ndarray, t: int) -> DataFrame:
                 [
                     b.column("doc_id"), pa.array(cols[0], type=pa.int64()), pa.array(cols[1], type=pa.int64()), pa.array(cols[2], type=pa.int32()),
                     pa.array(cols[3], type=pa.list_(pa.int64())), pa.array(cols[4], type=pa.int64()), pa.array(cols[5], type=pa.int64()),
-                    *[b.column(c) for c in extra],
+                    pa.array(cols[6], type=pa.binary()), *[b.column(c) for c in extra],
                 ],
-                ["doc_id", "n", "k1", "k2", "prefix", "last_rank", "last_hash", *extra],
+                ["doc_id", "n", "k1", "k2", "prefix", "last_rank", "last_hash", "bits", *extra],
             )
 
-    schema = "doc_id long, n long, k1 long, k2 int, prefix array<long>, last_rank long, last_hash long"
+    schema = "doc_id long, n long, k1 long, k2 int, prefix array<long>, last_rank long, last_hash long, bits binary"
     return docs.mapInArrow(run, ", ".join([schema, *[f"{c} binary" for c in extra]]))
 
 
@@ -248,31 +251,27 @@ def _classes(docs: DataFrame, threshold: int, tied: bool) -> tuple[DataFrame, Da
     ``tied``: a class goes by its smallest doc_id, and a doc_id ties the classes of its texts; else each class has a number of its own."""
     spark = docs.sparkSession
     ship(spark)
-    marked = _with_prefix(docs, _frequent(docs), threshold).withColumn("group", F.xxhash64("n", "prefix"))
-    rows = stored(marked.withColumn("p", F.size("prefix")).drop("prefix"), spark, "documents")
-    members = rows.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("first"), F.first("group").alias("group"))
-    members = checkpoint(members.withColumn("node", F.col("first") if tied else F.monotonically_increasing_id()), spark)
-
-    def by_group(df: DataFrame, *names: str) -> DataFrame:
-        """``hub`` (the smallest node) and what all rows of a group share."""
-        by, shared_cols = df.where("n > 0").groupBy("group"), [F.first(c).alias(c) for c in names]
-        if tied:
-            return by.agg(F.min("doc_id").alias("hub"), *shared_cols)
-        return by.agg(*shared_cols).join(members.groupBy("group").agg(F.min("node").alias("hub")), "group")
+    rows = stored(_with_prefix(docs, _frequent(docs), threshold).withColumn("group", F.xxhash64("n", "prefix")).withColumn("p", F.size("prefix")), spark, "documents")
+    members = rows.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("first"), F.first("group").alias("group"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    members = stored(members.withColumn("node", F.col("first") if tied else F.monotonically_increasing_id()), spark, "classes")
 
     def linked(pairs: DataFrame) -> DataFrame:
         return _linked(_with_sets(pairs, docs) if tied else _with_class_sets(pairs, docs, members), threshold)
 
-    groups = by_group(rows, "n", "p", "last_rank", "last_hash")
-    prefixes = by_group(marked, "prefix")
-    # a list's rows are small: token, hub; what else is known of a hub is joined to the few rows of lists that are shared
-    posted = prefixes.select("hub", F.explode_outer("prefix").alias("token")).withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("c > 1").select("token", "hub")
-    posted = stored(posted, spark, "lists")
-    shared = posted.groupBy("hub").agg(F.count(F.lit(1)).alias("shared"))
+    # a group goes by its smallest node; what all its rows share is taken from any of them
+    hubs = members.groupBy("group").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("m"))
+    shared_by = [F.first(c).alias(c) for c in ("n", "p", "last_rank", "last_hash", "prefix")]
+    groups = stored(rows.where("n > 0").groupBy("group").agg(*shared_by).join(hubs, "group"), spark, "groups")
+    posted = groups.select("hub", F.explode_outer("prefix").alias("token"))
+    # a list is told by its length, its ends and 128 bits of its members; equal lists are kept once
+    same = [F.count(F.lit(1)).alias("c"), F.min("hub").alias("lo"), F.max("hub").alias("hi"), F.bit_xor(F.xxhash64("hub")).alias("h"), F.bit_xor(F.xxhash64("hub", F.lit(1))).alias("g")]
+    sizes = stored(posted.groupBy("token").agg(*same).where("c > 1"), spark, "lists")
+    shared = posted.join(sizes.select("token"), "token").groupBy("hub").agg(F.count(F.lit(1)).alias("shared"))
     facts = groups.join(shared, "hub").select(
         "group", "hub", "n", "last_rank", "last_hash", (F.col("n") - F.col("p") + F.col("shared")).alias("most")
     )  # most: shingles that the group's sets can share with a set whose prefix ends later
-    lists = stored(posted.join(facts, "hub"), spark, "lists")
+    chosen = sizes.groupBy("c", "lo", "hi", "h", "g").agg(F.min("token").alias("token")).select("token")
+    lists = stored(posted.join(chosen, "token").join(facts, "hub"), spark, "lists")
 
     def possible(a: str, b: str):
         x, y = (F.col(f"{s}.n") for s in (a, b))
@@ -286,39 +285,23 @@ def _classes(docs: DataFrame, threshold: int, tied: bool) -> tuple[DataFrame, Da
     centre = l.groupBy("token").agg(F.min(entry).alias("centre"))
     spokes = l.join(centre, "token").select(F.struct("hub", "n", "last_rank", "last_hash", "most").alias("p"), F.col("centre").alias("q"))
     spokes = spokes.where((F.col("p.hub") != F.col("q.hub")) & possible("p", "q")).select(F.col("p.hub").alias("a"), F.col("q.hub").alias("b"))
-    crowd = members.groupBy("group").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    inner = members.join(crowd, "group").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    first = checkpoint(spokes.union(inner).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), spark)
+    inner = members.join(hubs.where("m > 1"), "group").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    near = spokes.union(inner).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    first = checkpoint(near, spark)
     links = checkpoint(linked(first), spark)
-    member_of = members.select("group", "node")
 
     # a doc_id with several texts is one node: it ties their classes together
     several = links.limit(0) if not tied else rows.where("n > 0").join(members.select("k1", "k2", "node"), ["k1", "k2"]).groupBy("doc_id").agg(
         F.collect_set("node").alias("nodes")
     ).where(F.size("nodes") > 1).select(F.col("doc_id").alias("a"), F.explode("nodes").alias("b"))
 
-    # round two: what is left between components
+    # round two: what is left between components, in lists and in groups of several classes
     label = components(links.union(several))
-    everyone = lists.join(member_of, "group").join(label.withColumnRenamed("component", "_c"), "node", "left").withColumn("c", F.coalesce("_c", "node")).drop("_c")
-    sizes = everyone.groupBy("token", "c").agg(F.count(F.lit(1)).alias("m"))
-    largest = sizes.groupBy("token").agg(F.max(F.struct("m", "c")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("token", F.col("top.c").alias("top"))
-    mixed = stored(everyone.join(largest, "token"), spark, "mixed")
-    rest = (
-        mixed.where("c <> top").alias("s").join(mixed.alias("o"), F.col("s.token") == F.col("o.token"))
-        .where((F.col("s.c") != F.col("o.c")) & possible("s", "o"))
-        .select(F.least("s.node", "o.node").alias("a"), F.greatest("s.node", "o.node").alias("b")).distinct()
-        .join(first, ["a", "b"], "left_anti")
-    )
-    # groups without a list of their own: members not linked with the first may be linked with each other
-    loose = member_of.join(crowd.select("group"), "group").join(label.withColumnRenamed("component", "_c"), "node", "left").withColumn("c", F.coalesce("_c", "node"))
-    loose_top = loose.groupBy("group", "c").agg(F.count(F.lit(1)).alias("m")).groupBy("group").agg(F.max(F.struct("m", "c"))["c"].alias("top"))
-    loose = loose.join(loose_top, "group")
-    inside = (
-        loose.where("c <> top").alias("s").join(loose.alias("o"), F.col("s.group") == F.col("o.group")).where(F.col("s.c") != F.col("o.c"))
-        .select(F.least("s.node", "o.node").alias("a"), F.greatest("s.node", "o.node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    )
-    rest = checkpoint(rest.union(inside).distinct(), spark)
-    more = linked(rest)
+    alone = members.select("group", "node")
+    everyone = lists.select(F.col("token").alias("key"), "group").join(alone, "group").select("key", "node")
+    crowds = alone.join(hubs.where("m > 1").select("group"), "group").select(F.col("group").alias("key"), "node")
+    rest = between_components(everyone.union(crowds), label, members.select("node", "n", "bits"), threshold).join(first, ["a", "b"], "left_anti")
+    more = linked(checkpoint(rest, spark))
     label = components(links.union(more).union(several))
     return rows, members.select("k1", "k2", "node").join(label, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
 

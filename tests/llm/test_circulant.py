@@ -1,9 +1,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from hearth.llm import circulant_minhash as cm
+from hearth.llm import pair_blocks
 from hearth.llm.group_join import shingle_sets
 from tests.llm.test_duplicates import _near_copies, _words
 
@@ -44,7 +46,7 @@ def test_components_match_all_pairs(docs_of, seed):
 
 def test_blocks_of_a_large_bucket(docs_of, monkeypatch):
     """Two chains of copies that the bucket's centre does not reach, with buckets of several blocks."""
-    monkeypatch.setattr(cm, "BLOCK", 8)
+    monkeypatch.setattr(pair_blocks, "BLOCK", 8)
     rng = random.Random(6)
     words = [f"w{i}" for i in range(120)]
     rows, chain = [], list(words)
@@ -81,15 +83,30 @@ def test_coordinates_turn_one_permutation():
     assert cm.signature(s, 50)[::-1].tolist() == expect
 
 
-def test_bands_and_sketches_find_links():
-    """Of random pairs at the threshold no one misses all bands, and sketches stay within their bound."""
+def test_bands_find_links():
+    """Of random pairs at the threshold no one misses all bands."""
     rng = np.random.default_rng(5)
-    missed = worst = 0
+    missed = 0
     for _ in range(300):
         both, own = rng.integers(-(2**62), 2**62, 240), rng.integers(-(2**62), 2**62, 60)
         a, b = np.sort(np.r_[both, own[:30]]), np.sort(np.r_[both, own[30:]])
         keys = cm.band_keys(np.stack([cm.signature(a, cm.BANDS * cm.ROWS), cm.signature(b, cm.BANDS * cm.ROWS)]))
         missed += not (keys[0] == keys[1]).any()
-        x, y = (np.frombuffer(cm.sketch(s), dtype=np.uint64) for s in (a, b))
-        worst = max(worst, int(np.bitwise_count(x ^ y).sum()))
-    assert missed == 0 and worst <= cm.APART
+    assert missed == 0
+
+
+def test_bitmaps_lose_no_pair():
+    """The bound lets every pair at the threshold through, also of sets whose bitmaps differ in size, and rules most others out."""
+    rng = np.random.default_rng(1)
+    through, ruled_out = {True: 0, False: 0}, 0
+    for _ in range(600):
+        n = int(rng.integers(1, 500))
+        both = rng.integers(-(2**62), 2**62, n)
+        a, b = (np.r_[both, rng.integers(-(2**62), 2**62, int(rng.integers(0, n // 3 + 2)))] for _ in range(2))
+        t = pa.table({"node": [1, 2], "c": [1, 2], "n": [len(a), len(b)], "block": [0, 0], "top": [2, 2], "i": [0, 0], "j": [0, 0], "bits": [pair_blocks.bitmap(a), pair_blocks.bitmap(b)]})
+        found = len(pair_blocks._compare(t, 80)[0]) == 1
+        link = 100 * n >= 80 * (len(a) + len(b) - n)
+        assert found or not link
+        through[link] += found
+        ruled_out += not found
+    assert ruled_out > 9 * through[False]
