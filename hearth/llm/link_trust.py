@@ -4,13 +4,16 @@ Rules decide the urls they fit: a rule (host, path) fits its host and all
 subdomains if the url's path starts with the rule's, and the longest rule
 wins.  Other urls get the verdict of their host, which comes from the link graph:
 
-* edges: for every page, its host to each host that an absolute link of its
-  html names, and both ways between a host and its parent domain (hosts under one
+* edges: for every page, its host to each host that a link of its html with a host names (``https://host/...`` or
+  ``//host/...``), and both ways between a host and its parent domain (hosts under one
   domain vouch for each other), weighted by pages;
 * trust is a personalised PageRank from the hosts of allowed pages along the
   edges, distrust one from the hosts of blocked pages against them;
 * a host is blocked when its distrust is above ``RATIO`` hundredths of its trust.
 
+Propagation goes on until no more than one part in 10,000 of the mass can still move, whatever the graph
+(``ROUNDS``), so chains of that length carry a verdict to their end.
+
 Masses are integers (``MASS`` units in all, divisions round down), so sums do
 not depend on their order and the result is exact and repeatable.  Edges are
 counted before the shuffle, so a host with a third of all pages is a few rows per
@@ -18,8 +21,8 @@ task; the graph's tables are joined by shuffle and never leave Spark.
 
 Defined cases: null urls and urls without ``://`` have an empty host and path,
 fit no rule (but one with an empty host) and are no node: they are allowed; null html has no link;
-repeated pages count as often as they occur; hosts without any mass are
-allowed; an empty table gives no rows; other columns are ignored.
+repeated pages count as often as they occur; hosts without any mass, and those whose masses tie, are
+allowed; urls and html of any length are read whole; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,10 +43,12 @@ RULES = [
     ("net", "/fr/", "block"),
 ]
 MASS = 10**15
-#: Share of a host's mass that goes on along its edges, in hundredths; rounds of propagation.
-DAMPING, ROUNDS = 85, 8
+#: Share of a host's mass that goes on along its edges, in hundredths.
+DAMPING = 85
+#: Rounds of propagation: ``DAMPING ** ROUNDS`` bounds the share of all mass that still moves, here 1 in 10,000.
+ROUNDS = 57
 RATIO = 100
-LINK = r"""(?i)\b(?:href|src)\s*=\s*["']?[a-z][a-z0-9+.-]*://([^/?#"'\s>]+)"""
+LINK = r"""(?i)\b(?:href|src)\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
 
 
 def ascii_lower(c: Column) -> Column:
@@ -110,7 +115,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataF
             "kind", F.col("dst").alias("host"), F.expr(f"(mass * {DAMPING}L) div (100L * out) * weight").alias("mass")
         )
         mass = moved.union(stay).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
-        if r % 4 == 3 and r + 1 < rounds:
+        if r % 3 == 2 and r + 1 < rounds:
             mass = checkpoint(mass, spark)
     pick = lambda k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("mass"))), F.lit(0)).alias(k)
     return mass.groupBy("host").agg(pick("trust"), pick("distrust"))

@@ -1,28 +1,34 @@
 """Secret scans with an incremental blob ledger (native).
 
 Every text is a blob named by the SHA-256 of its bytes, so all versions and
-copies of a file that hold the same text share one blob.  The ledger is a
-table of ``(blob, rule_version)`` pairs that were scanned; a run scans only
-pairs that it does not hold, writes their findings by blob, and joins findings
+copies of a file that hold the same text share one blob.  The ledger is a stored
+table of findings, one row ``(blob, rule_version, spans)`` for every pair that was scanned, also
+without a finding; a run scans only pairs that it does not hold, appends their rows, and joins findings
 back to all paths.  A new rule version rescans each blob once; a new version of
-one file scans that blob alone.
+one file scans that blob alone.  As findings and ledger are one table, neither can come without the other.
 
 Spans are found with JVM regular expressions only: the text between matches
-(``split``) and the matches (``regexp_extract_all``) give the offsets in code
-points by running sums, and matches that are too short drop out afterwards, so
-they still consume their text as a leftmost non-overlapping search does.
+(``split``) and the matches (``regexp_extract_all``) become rows, running sums of their lengths are
+the offsets in code points, and matches that are too short drop out afterwards, so
+they still consume their text as a leftmost non-overlapping search does.  All steps are linear in the text and its matches.
 
 Defined cases: null text is the empty blob; repeated rows and ids are paths of
 their own; ties cannot occur within a kind (matches of a kind do not overlap)
 and kinds that start together come in the order of ``KINDS``; other columns are
-ignored.  No Python runs on the executors.
+ignored; texts of any length are read whole; an empty table gives no rows.  One writer at a time appends to a ledger.
+No Python runs on the executors.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from hearth.session import scratch_path
+from hearth.sources.sinks import table_exists
+
 #: Version of the rules below; change it with any of them.
 RULES = "1"
 #: Kind, pattern, group whose length is checked, least length.  Patterns are bounded below where that cannot
@@ -39,59 +45,52 @@ def blob_of(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
-def _spans(text: Column, rank: int, kind: str, pattern: str, group: int, least: int) -> Column:
-    """Array of spans of one kind, in order."""
+def _matches(text: Column, rank: int, kind: str, pattern: str, group: int, least: int) -> Column:
+    """Array of the matches of one kind in order: number, characters before it since the last one, its own, and whether it counts."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     checked = whole if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    gaps = F.split(text, pattern, -1)
-    lengths = F.zip_with(whole, checked, lambda w, c: F.struct(F.length(w).cast("long").alias("n"), F.length(c).alias("c")))
-    steps = F.zip_with(F.slice(gaps, 1, F.size(whole)), lengths, lambda g, x: F.struct(F.length(g).cast("long").alias("gap"), x["n"].alias("n"), x["c"].alias("c")))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.expr(f"cast(array() as array<{SPAN}>)").alias("spans"))
-
-    def add(state: Column, x: Column) -> Column:
-        begin = state["at"] + x["gap"]
-        span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), (begin + x["n"]).alias("end"))
-        return F.struct(
-            (begin + x["n"]).alias("at"),
-            F.when(x["c"] >= least, F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"),
-        )
-
-    found = F.aggregate(steps, start, add, lambda s: s["spans"])
-    return F.when(text.rlike(pattern), found).otherwise(F.expr(f"cast(array() as array<{SPAN}>)"))
+    rows = F.arrays_zip(F.slice(F.split(text, pattern, -1), 1, F.greatest(F.size(whole), F.lit(0))).alias("g"), whole.alias("w"), checked.alias("c"))
+    one = lambda x, i: F.struct(
+        F.lit(rank).alias("rank"), i.alias("i"), F.length(x["g"]).cast("long").alias("gap"), F.length(x["w"]).cast("long").alias("n"), (F.length(x["c"]) >= least).alias("counts")
+    )
+    return F.when(text.rlike(pattern), F.transform(rows, one)).otherwise(F.expr("cast(array() as array<struct<rank:int,i:int,gap:bigint,n:bigint,counts:boolean>>)"))
 
 
 def scan(blobs: DataFrame) -> DataFrame:
-    """``blob spans`` of ``blob text``: spans of all kinds by start, then kind."""
-    kinds = [_spans(F.col("text"), i, *k).alias(k[0]) for i, k in enumerate(KINDS)]
-    return blobs.select("blob", *kinds).select("blob", F.sort_array(F.concat(*[F.col(k[0]) for k in KINDS])).alias("spans"))
-
-
-def empty_ledger(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "blob string, rule_version string")
-
+    """``blob spans`` of ``blob text`` (each blob once): spans of all kinds by start, then kind."""
+    matches = F.concat(*[_matches(F.col("text"), i, *k) for i, k in enumerate(KINDS)])
+    rows = blobs.select("blob", F.explode_outer(matches).alias("m")).select("blob", "m.*")
+    upto = Window.partitionBy("blob", "rank").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = rows.withColumn("end", F.sum(F.col("gap") + F.col("n")).over(upto))
+    name = F.element_at(F.array(*[F.lit(k[0]) for k in KINDS]), F.col("rank") + 1)
+    span = F.struct((F.col("end") - F.col("n")).alias("start"), "rank", name.alias("kind"), "end")
+    return placed.groupBy("blob").agg(F.sort_array(F.collect_list(F.when(F.col("counts"), span))).alias("spans"))
 
-def empty_findings(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], f"blob string, rule_version string, spans array<{SPAN}>")
 
-
-def unseen(texts: DataFrame, ledger: DataFrame | None, rule_version: str = RULES) -> DataFrame:
+def unseen(texts: DataFrame, findings: DataFrame | None, rule_version: str = RULES) -> DataFrame:
     """``blob text`` once for every blob of ``texts`` that the ledger does not have for these rules."""
     blobs = texts.select(blob_of(F.col("text")).alias("blob"), F.coalesce("text", F.lit("")).alias("text"))
-    if ledger is not None:
-        known = ledger.where(F.col("rule_version") == rule_version).select("blob").distinct()
+    if findings is not None:
+        known = findings.where(F.col("rule_version") == rule_version).select("blob").distinct()
         blobs = blobs.join(known, "blob", "left_anti")
     return blobs.dropDuplicates(["blob"])
 
 
-def scan_increment(
-    texts: DataFrame, ledger: DataFrame | None = None, findings: DataFrame | None = None, rule_version: str = RULES
-) -> DataFrame:
-    """Findings by blob after this increment: the earlier ones of these rules and those of blobs not seen before.
-    Its ``blob rule_version`` columns are the new ledger."""
-    new = scan(unseen(texts, ledger, rule_version)).select("blob", F.lit(rule_version).alias("rule_version"), "spans")
-    if findings is None:
-        return new
-    return findings.where(F.col("rule_version") == rule_version).select("blob", "rule_version", "spans").unionByName(new)
+def scan_increment(texts: DataFrame, ledger: str, rule_version: str = RULES) -> DataFrame:
+    """``blob rule_version spans`` of all blobs that the stored ledger holds for these rules, after those of ``texts`` that it did not
+    hold were scanned and appended.  ``ledger``: the folder of the table, which need not exist yet."""
+    spark = texts.sparkSession
+    known = spark.read.parquet(ledger) if table_exists(spark, ledger) else None
+    if known is not None and (missing := {"blob", "rule_version", "spans"} - set(known.columns)):
+        raise ValueError(f"no ledger of findings in {ledger}: it has no {', '.join(sorted(missing))}")
+    new = scan(unseen(texts, known, rule_version)).select("blob", F.lit(rule_version).alias("rule_version"), "spans")
+    new.write.mode("append").parquet(ledger)
+    return spark.read.parquet(ledger).where(F.col("rule_version") == rule_version)
+
+
+def scratch_ledger(spark: SparkSession) -> str:
+    """A ledger's folder for one run, in the shared scratch folder."""
+    return scratch_path(spark, f"ledger-{uuid.uuid4().hex}")
 
 
 def to_paths(paths: DataFrame, findings: DataFrame) -> DataFrame:
@@ -106,41 +105,60 @@ def spans_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def document_findings(docs: DataFrame, ledger: DataFrame | None = None, findings: DataFrame | None = None) -> DataFrame:
-    """One row per document: counts by kind, the spans, and a digest of them."""
+def document_findings(docs: DataFrame, ledger: str | None = None) -> DataFrame:
+    """One row per document: counts by kind, the spans, and a digest of them.  ``ledger``: as in ``scan_increment``; one for this run without it."""
     paths = docs.select("doc_id", blob_of(F.col("text")).alias("blob"))
-    found = to_paths(paths, scan_increment(docs, ledger, findings))
+    found = to_paths(paths, scan_increment(docs, ledger or scratch_ledger(docs.sparkSession)))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.withColumn("t", spans_text(F.col("spans"))).select(
         "doc_id", *[count(k[0]) for k in KINDS], F.sha2("t", 256).alias("base_sha256"), F.col("t").alias("spans")
     )
 
 
-def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with ``mark`` in place of its spans (by start, as ``scan`` gives them); overlapping spans become one."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+def kept_parts(findings: DataFrame) -> DataFrame:
+    """``blob parts`` of blobs with spans: what lies between their spans as (start, length), where overlapping and touching spans are one;
+    the length of the last part is that of the longest text."""
+    rows = findings.where(F.size("spans") > 0).select("blob", F.posexplode("spans").alias("k", "s")).select("blob", "k", "s.start", "s.end")
+    before = Window.partitionBy("blob").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("at", F.coalesce(F.max("end").over(before), F.lit(0)))
+    part = F.struct("k", F.col("at").alias("start"), (F.col("start") - F.col("at")).alias("n"))
+    apart = (F.col("start") > F.col("at")) | (F.col("k") == 0)
+    parts = rows.groupBy("blob").agg(F.sort_array(F.collect_list(F.when(apart, part))).alias("parts"), F.max("end").alias("last"))
+    rest = F.struct(F.lit(2**31 - 1).alias("k"), F.col("last").alias("start"), F.lit(2**31 - 1).cast("long").alias("n"))
+    return parts.select("blob", F.concat("parts", F.array(rest)).alias("parts"))
+
+
+#: Characters of a text that are cut out at once: a place in a string is found by reading up to it.
+_STRIDE = 1 << 14
+
+
+def joined_parts(text: Column, parts: Column, mark: str) -> Column:
+    """``mark`` between the ``parts`` (start, n) of a text.  The text is cut into strides first, and each part out of its few strides."""
+    n = F.length(text)
+    strides = F.transform(F.sequence(F.lit(0), F.floor(n / _STRIDE).cast("int")), lambda b: F.substring(text, b * _STRIDE + 1, F.lit(_STRIDE)))
 
-    def step(state: Column, s: Column) -> Column:
-        gap = F.substring(text, (state["at"] + 1).cast("int"), (s["start"] - state["at"]).cast("int"))
-        apart = (s["start"] >= state["at"]) & ((s["start"] > state["at"]) | (state["at"] == 0))
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.when(apart, F.concat(state["out"], gap, F.lit(mark))).otherwise(state["out"]).alias("out"),
-        )
+    def part(p: Column) -> Column:
+        end = F.least(p["start"] + p["n"], n.cast("long"))
+        first, last = F.floor(p["start"] / _STRIDE).cast("int"), F.floor((end - 1) / _STRIDE).cast("int")
+        pieces = F.transform(F.sequence(first, last), lambda b: F.substring(
+            F.element_at(strides, b + 1), (F.greatest(p["start"] - b * _STRIDE, F.lit(0)) + 1).cast("int"),
+            (F.least(end - b * _STRIDE, F.lit(_STRIDE)) - F.greatest(p["start"] - b * _STRIDE, F.lit(0))).cast("int"),
+        ))
+        return F.when(end > p["start"], F.array_join(pieces, "")).otherwise(F.lit(""))
 
-    rest = lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(text)
+    return F.array_join(F.transform(parts, part), mark)
 
 
-def redact_documents(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
+def redact_documents(docs: DataFrame, mark: str = "[SECRET]", ledger: str | None = None) -> DataFrame:
     """The rows of ``docs`` (all columns) with their secrets marked; ``n_chars``, if there, follows the new text.
     A null text stays null."""
-    f = scan_increment(docs.select("text")).where(F.size("spans") > 0).select(F.col("blob").alias("_hearth_blob"), F.col("spans").alias("_hearth_spans"))
-    none = F.expr(f"cast(array() as array<{SPAN}>)")
-    found = docs.join(f, blob_of(docs["text"]) == f["_hearth_blob"], "left").withColumn("_hearth_spans", F.coalesce("_hearth_spans", none))
-    new = found.withColumn("text", F.when(F.col("text").isNotNull(), redact(F.col("text"), F.col("_hearth_spans"), mark)))
+    found = scan_increment(docs.select("text"), ledger or scratch_ledger(docs.sparkSession))
+    parts = kept_parts(found).select(F.col("blob").alias("_hearth_blob"), F.col("parts").alias("_hearth_parts"))
+    joined = docs.join(parts, blob_of(docs["text"]) == parts["_hearth_blob"], "left")
+    hit = F.col("text").isNotNull() & F.col("_hearth_parts").isNotNull()
+    new = joined.withColumn("text", F.when(hit, joined_parts(F.col("text"), F.col("_hearth_parts"), mark)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        new = new.withColumn("n_chars", F.when(F.size("_hearth_spans") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+        new = new.withColumn("n_chars", F.when(F.col("_hearth_parts").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return new.select(*docs.columns)
 
 

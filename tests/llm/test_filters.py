@@ -48,6 +48,17 @@ def test_urls_by_rule_and_by_host(spark):
     assert link_trust.judge(pages.limit(0)).count() == 0
 
 
+def test_a_long_chain_of_hosts(spark):
+    """Distrust reaches hosts twenty links from a blocked one; links without a scheme count; very long urls and html are read whole."""
+    link = lambda k: f'<p>{"x" * 100_000}</p><a href="//h{k}.org/p">x</a>'
+    rows = [(k, f"http://h{k}.org/{'p' * 50_000 if k == 3 else ''}", link(k + 1)) for k in range(20)] + [(20, "http://h20.org/", '<img src=//bad.net/x>'), (21, "http://bad.net/es/", "")]
+    rows += [(30, "http://apart.org/", "<a href='/local//double'>x</a>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r for r in link_trust.judge(pages).collect()}
+    assert all(got[k].verdict == "block" and got[k].distrust > 0 for k in range(21)) and got[30].verdict == "allow"
+    assert len(got[3].path) == 50_001
+
+
 def test_toxicity_held_out(spark):
     folder = "/root/testdata/sf0.1"
     con = duckdb.connect()
@@ -127,15 +138,44 @@ def test_secret_spans_and_redaction(docs_of):
     assert secret_ledger.document_findings(docs.limit(0)).count() == 0
 
 
-def test_ledger_scans_only_what_it_has_not_seen(docs_of):
+def test_ledger_scans_only_what_it_has_not_seen(spark, docs_of, tmp_path, monkeypatch):
+    ledger = str(tmp_path / "ledger")
     old = docs_of([(1, "token=abcdef1"), (2, "plain")])
     new = docs_of([(1, "token=abcdef1"), (3, "secret=zzzzzzz"), (4, "plain"), (5, "secret=zzzzzzz")])
-    findings = secret_ledger.scan_increment(old)
-    ledger = findings.select("blob", "rule_version")
-    assert [r.text for r in secret_ledger.unseen(new, ledger).collect()] == ["secret=zzzzzzz"]
-    assert secret_ledger.unseen(new, ledger, "2").count() == 3  # other rules: every blob once
-    both = secret_ledger.document_findings(new, ledger, findings).collect()
-    assert {r.doc_id: r.n_assign for r in both} == {1: 1, 3: 1, 4: 0, 5: 1}
+    known = secret_ledger.scan_increment(old, ledger)
+    assert known.count() == 2  # a blob without a finding is known as well
+    assert [r.text for r in secret_ledger.unseen(new, known).collect()] == ["secret=zzzzzzz"]
+    assert secret_ledger.unseen(new, known, "2").count() == 3  # other rules: every blob once
+    expect = {1: 1, 3: 1, 4: 0, 5: 1}
+    assert {r.doc_id: r.n_assign for r in secret_ledger.document_findings(new, ledger).collect()} == expect
+    assert spark.read.parquet(ledger).count() == 3
+    scanned = []
+    scan = secret_ledger.scan
+    monkeypatch.setattr(secret_ledger, "scan", lambda blobs: scanned.append(blobs.count()) or scan(blobs))
+    assert {r.doc_id: r.n_assign for r in secret_ledger.document_findings(new, ledger).collect()} == expect  # earlier findings are not lost
+    secret_ledger.scan_increment(old, ledger, "2")
+    secret_ledger.redact_documents(new, ledger=ledger).count()
+    assert scanned == [0, 2, 0]
+
+
+def test_no_ledger_without_findings(spark, tmp_path, docs_of):
+    folder = str(tmp_path / "ledger")
+    spark.createDataFrame([("b", "1")], "blob string, rule_version string").write.parquet(folder)
+    with pytest.raises(ValueError, match="spans"):
+        secret_ledger.scan_increment(docs_of([(1, "token=abcdef1")]), folder)
+
+
+def test_many_secrets_in_one_text(spark, docs_of):
+    """Linear in the matches: 100,000 take seconds, and so does their redaction."""
+    import time
+
+    text = " ".join(f"é token=abcdef{i} word" for i in range(100_000))
+    docs = docs_of([(1, text)])
+    begin = time.time()
+    r = secret_ledger.document_findings(docs).first()
+    assert r.n_assign == 100_000 and r.spans == ",".join(f"{kind}:{s}:{e}" for s, _, kind, e in _spans(text))
+    assert secret_ledger.redact_documents(docs).first().text == _redacted(text)
+    assert time.time() - begin < 60
 
 
 def _contained(docs, items):
