@@ -137,16 +137,18 @@ def joined_parts(text: Column, parts: Column, mark: str) -> Column:
     n = F.length(text)
     strides = F.transform(F.sequence(F.lit(0), F.floor(n / _STRIDE).cast("int")), lambda b: F.substring(text, b * _STRIDE + 1, F.lit(_STRIDE)))
 
-    def part(p: Column) -> Column:
-        end = F.least(p["start"] + p["n"], n.cast("long"))
+    def part(p: Column, cut: Column) -> Column:
+        end = F.least(p["start"] + p["n"], cut["n"].cast("long"))
         first, last = F.floor(p["start"] / _STRIDE).cast("int"), F.floor((end - 1) / _STRIDE).cast("int")
         pieces = F.transform(F.sequence(first, last), lambda b: F.substring(
-            F.element_at(strides, b + 1), (F.greatest(p["start"] - b * _STRIDE, F.lit(0)) + 1).cast("int"),
+            F.element_at(cut["strides"], b + 1), (F.greatest(p["start"] - b * _STRIDE, F.lit(0)) + 1).cast("int"),
             (F.least(end - b * _STRIDE, F.lit(_STRIDE)) - F.greatest(p["start"] - b * _STRIDE, F.lit(0))).cast("int"),
         ))
         return F.when(end > p["start"], F.array_join(pieces, "")).otherwise(F.lit(""))
 
-    return F.array_join(F.transform(parts, part), mark)
+    # an array of one: a lambda's variable is worked out once, an expression inside a lambda for each of its elements
+    once = F.array(F.struct(strides.alias("strides"), n.alias("n"), parts.alias("parts")))
+    return F.transform(once, lambda cut: F.array_join(F.transform(cut["parts"], lambda p: part(p, cut)), mark))[0]
 
 
 def redact_documents(docs: DataFrame, mark: str = "[SECRET]", ledger: str | None = None) -> DataFrame:
