@@ -1,5 +1,5 @@
 """Staging models: typed, keyed rows per feed, read schema-on-read from the
-raw table's payload with tolerant casts.  Each is a pure DataFrame function."""
+raw table's payload (a map or a variant) with tolerant casts.  Each is a pure DataFrame function."""
 
 from __future__ import annotations
 
@@ -10,15 +10,17 @@ from hearth.functions import (
     decode,
     field,
     has_field,
-    keys_matching,
     money,
     parse_bool,
+    payload_of,
     split_literal,
     surrogate_key,
     try_date,
     try_decimal,
     try_number,
+    unpivot,
 )
+from hearth.functions.payload import DATE_KEY
 from hearth.operators.envelope import dataset_slice, latest_versions
 
 # Station borough codes and their names.
@@ -32,16 +34,16 @@ def _slice(raw: DataFrame, dataset: str, latest_version: bool) -> DataFrame:
 
 def _wide_series(raw: DataFrame, dataset: str, month_col: str, value_col: str, cast, latest_version: bool = False) -> DataFrame:
     """Unpivot a wide monthly feed: one row per (region, date key).  Non-date
-    keys are dropped from the map before the explode, so they never become rows."""
-    src = _slice(raw, dataset, latest_version)
-    p = F.col("payload")
-    exploded = src.select(
+    keys of a map are dropped before the explode, so they never become rows."""
+    p = payload_of(raw)
+    exploded = unpivot(_slice(raw, dataset, latest_version), "payload", DATE_KEY, "__k", "__v").select(
         field(p, "RegionID").alias("region_id"),
         try_number(field(p, "SizeRank")).alias("size_rank"),
         field(p, "RegionName").alias("postal_code"),
         field(p, "RegionType").alias("region_type"),
         field(p, "StateName").alias("state_name"),
-        F.explode(keys_matching(p)).alias("__k", "__v"),
+        "__k",
+        "__v",
         "ingested_at",
         "run_id",
     )
@@ -71,7 +73,7 @@ def stg_inventory(raw: DataFrame, latest_version: bool = False) -> DataFrame:
 
 
 def stg_listing_snapshots(raw: DataFrame, latest_version: bool = False) -> DataFrame:
-    p = F.col("payload")
+    p = payload_of(raw)
     src = _slice(raw, "listing_snapshots", latest_version).where(has_field(p, "listing_id"))
     return src.select(
         surrogate_key(F.col("source_row_id"), F.coalesce(F.col("record_hash"), F.lit(""))).alias("listing_snapshot_id"),
@@ -97,7 +99,7 @@ def stg_listing_snapshots(raw: DataFrame, latest_version: bool = False) -> DataF
 
 
 def stg_permits(raw: DataFrame, latest_version: bool = False) -> DataFrame:
-    p = F.col("payload")
+    p = payload_of(raw)
     src = _slice(raw, "nyc_dob_approved_permits", latest_version).where(has_field(p, "job_filing_number"))
     key_parts = [F.coalesce(field(p, k), F.lit("")) for k in ("job_filing_number", "work_permit", "sequence_number")]
     return src.select(
@@ -128,7 +130,7 @@ def stg_permits(raw: DataFrame, latest_version: bool = False) -> DataFrame:
 
 
 def stg_neighborhood_housing(raw: DataFrame, latest_version: bool = False) -> DataFrame:
-    p = F.col("payload")
+    p = payload_of(raw)
     src = _slice(raw, "nyc_housing_units_by_building", latest_version).where(has_field(p, "project_id"))
     return src.select(
         surrogate_key(
@@ -160,7 +162,7 @@ def stg_neighborhood_housing(raw: DataFrame, latest_version: bool = False) -> Da
 
 
 def stg_transit_access(raw: DataFrame, latest_version: bool = False) -> DataFrame:
-    p = F.col("payload")
+    p = payload_of(raw)
     src = _slice(raw, "mta_subway_stations", latest_version).where(has_field(p, "Complex ID"))
     return src.select(
         field(p, "Complex ID").alias("station_complex_id"),
