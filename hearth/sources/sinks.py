@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LAYOUT = ("dataset_name", "ingest_date", "run_id")
 
 
-def write_normalized(raw: DataFrame, root: str, mode: str = "append") -> None:
+def write_normalized(raw: DataFrame, root: str, mode: str = "append", ingest_date: Column | None = None) -> None:
     """Land raw records as JSONL under ``dataset_name=/ingest_date=/run_id=``.
-    The three columns move into the path; reading the root restores them."""
-    out = raw.withColumn("ingest_date", F.date_format(F.col("ingested_at"), "yyyy-MM-dd"))
+    The three columns move into the path; reading the root restores them.
+    ``ingest_date``: the day of each row's run as text, where rows of one run carry times of
+    many days (else every one of these would be a folder); the day of ``ingested_at`` without it."""
+    day = ingest_date if ingest_date is not None else F.date_format(F.col("ingested_at"), "yyyy-MM-dd")
+    out = raw.withColumn("ingest_date", day)
     (
         out.write.mode(mode)
         .partitionBy(*LAYOUT)
@@ -165,6 +169,33 @@ def table_exists(spark: SparkSession, root: str) -> bool:
     return any(not n.startswith(("_", ".")) for n in _children(spark, root))
 
 
+def _root_parts(spark: SparkSession, root: str) -> int:
+    """Parts of the root's path, its scheme and host apart."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return len(fs.makeQualified(path).toUri().getPath().rstrip("/").split("/"))
+
+
+_HOST = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+
+def data_files(spark: SparkSession, root: str) -> list[str]:
+    """The table's data files, as paths under its root in URL form (one name for each file on the driver)."""
+    n = _root_parts(spark, root)
+    return sorted("/".join(re.sub(_HOST, "", f).split("/")[n:]) for f in spark.read.parquet(root).inputFiles())
+
+
+def file_under(spark: SparkSession, root: str) -> Column:
+    """The data file of each row of a scan of the table, named as in ``data_files``."""
+    parts = F.split(F.regexp_replace(F.col("_metadata.file_path"), _HOST, ""), "/")
+    return F.array_join(F.slice(parts, _root_parts(spark, root) + 1, F.size(parts)), "/")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def append_new(
     batch: DataFrame,
     target_root: str,
