@@ -49,7 +49,7 @@ def csv_headers(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
 
 
 def read_csv_rows(
-    spark: SparkSession, path: str, multiline: bool = True, empty_as: str | None = "", same_header: bool = False
+    spark: SparkSession, path: str, multiline: bool | str = True, empty_as: str | None = "", same_header: bool = False
 ) -> DataFrame:
     """CSV with a header row, every column as text.
 
@@ -64,9 +64,11 @@ def read_csv_rows(
     the scan for headers where they are known to agree.
 
     ``multiline=True`` makes each file a single task (a quoted newline may sit
-    anywhere); switch it off for feeds without quoted newlines so large files
-    split across tasks.
+    anywhere); ``multiline="split"`` honours quoted newlines as well but splits large files
+    over tasks (``sources.csv_records``); ``False`` is for feeds without quoted newlines.
     """
+    if multiline == "split":
+        return _split_csv(spark, path, empty_as)
     groups = [] if same_header else csv_headers(spark, path)
     if len(groups) <= 1:
         return _csv(spark, path, multiline, empty_as)
@@ -77,6 +79,25 @@ def read_csv_rows(
     return out
 
 
+def _split_csv(spark: SparkSession, path: str, empty_as: str | None) -> DataFrame:
+    """Records that ``csv_records`` found, parsed by Spark's CSV functions under the header of their file."""
+    from hearth.sources import csv_records
+
+    # a header's columns as the reader has them (names made unique, without the byte-order mark)
+    groups = [(_csv(spark, files, True, None).columns, files) for _, files in csv_headers(spark, path)]
+    found = csv_records.records(csv_records.physical_lines(spark, path)).where("not first")
+    options = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "maxColumns": str(CSV_MAX_COLUMNS), "multiLine": "true"}
+    out = None
+    for columns, files in groups:
+        mine = found.where(F.col("file").isin(files)) if len(groups) > 1 else found
+        schema = ", ".join(f"c{k} string" for k in range(len(columns)))
+        row = F.from_csv(F.regexp_replace("text", r"\r$", ""), schema, options)
+        part = mine.select(row.alias("r")).select(*[F.col(f"r.c{k}").alias(c) for k, c in enumerate(columns)])
+        part = part.na.fill(empty_as) if empty_as is not None else part
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out if out is not None else _csv(spark, path, True, empty_as)
+
+
 def _truthy(v: Column) -> Column:
     """JSON truthiness of a variant (non-empty array/object/string, non-zero number, true)."""
     t = F.schema_of_variant(v)
