@@ -109,6 +109,7 @@ def relationships(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> Data
 #: Columns that every model promises to fill and to keep unique, and keys that must exist elsewhere
 #: (child column, parent model, parent column).  Fixed values.
 MODEL_TESTS: dict[str, dict[str, list]] = {
+    "raw_records": {"not_null": ["dataset_name", "source_row_id", "record_hash"]},
     "stg_listing_snapshots": {"not_null": ["listing_snapshot_id", "listing_id", "snapshot_date", "rent"], "unique": ["listing_snapshot_id"]},
     "stg_rent_prices": {"not_null": ["rent_price_id", "postal_code", "rent_month"], "unique": ["rent_price_id"]},
     "stg_inventory": {"not_null": ["inventory_id", "postal_code"], "unique": ["inventory_id"]},

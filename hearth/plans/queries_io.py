@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.plans import bindings
-from hearth.plans.oracle import compose, fragment
+from hearth.plans.oracle import compose
 from hearth.plans.graph import SHARED_MODELS, ModelGraph
 from hearth.plans.registry import register, register_fragment
-from hearth.session import scratch_path
+from hearth.schemas import ENVELOPE_KEYS
+from hearth.session import ensure_checkpoint_dir, scratch_path
 from hearth.sources.catalog import register_raw_table
 from hearth.sources.files import read_csv_rows, read_json_rows, read_normalized
+from hearth.sources.key_index import append_indexed, upsert_indexed
 from hearth.sources.sinks import EXTRACTS, append_audit, extract, upsert_partitions, write_normalized
 from hearth.streaming.ingest import ingest_available, landed_stream, stream_insert_ignore
 
@@ -53,17 +55,22 @@ def _scan_csv(spark, d):
     return read_csv_rows(spark, path)
 
 
-register(
-    "scan_csv_rows",
-    "s_suppkey s, s_name s, s_nationkey s, s_acctbal s",
-    _scan_csv,
-    """
+def _scan_csv_split(spark, d):
+    """The same rows in one file, whose splits are read by as many tasks."""
+    path = _fresh(spark, "csv")
+    writer = _csv_source(spark, d).repartition(1).write.option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return read_csv_rows(spark, path, multiline="split")
+
+
+_CSV_SQL = """
 SELECT cast(s_suppkey AS VARCHAR) AS s_suppkey, s_name || ', "north"' || chr(10) || 'wing' AS s_name,
        CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE cast(s_nationkey AS VARCHAR) END AS s_nationkey,
        CASE WHEN s_suppkey % 7 = 0 THEN '' ELSE ' ' || cast(s_acctbal AS VARCHAR) || ' ' END AS s_acctbal
 FROM supplier
-""",
-)
+"""
+register("scan_csv_rows", "s_suppkey s, s_name s, s_nationkey s, s_acctbal s", _scan_csv, _CSV_SQL)
+register("scan_csv_split", "s_suppkey s, s_name s, s_nationkey s, s_acctbal s", _scan_csv_split, _CSV_SQL)
 
 # ---------------------------------------------------------------------------
 # JSON documents: events in documents of at most 500 rows, three shapes
@@ -103,44 +110,45 @@ register(
 # ---------------------------------------------------------------------------
 # landed JSONL
 
-fragment("small_raw", "SELECT * FROM stations_raw UNION ALL SELECT * FROM housing_raw", "stations_raw", "housing_raw")
 LANDED_COLS = (
     "dataset_name s, dataset_type s, source_url s, source_row_id s, record_hash s, extracted_at t, ingested_at t, run_id s, payload m"
 )
 
 
-def _small_raw(spark, d) -> DataFrame:
-    return bindings.stations_raw(spark, d).unionByName(bindings.housing_raw(spark, d))
+def _land(raw: DataFrame, path: str) -> None:
+    """All rows of a run under its day: the bound feeds have one run a year."""
+    write_normalized(raw, path, ingest_date=F.concat(F.right("run_id", F.lit(4)), F.lit("-12-31")))
 
 
 def _jsonl_roundtrip(spark, d):
     path = _fresh(spark, "landed")
-    write_normalized(_small_raw(spark, d), path)
+    _land(bindings.raw_records(spark, d), path)
     return read_normalized(spark, path)
 
 
-register_fragment("sink_jsonl_roundtrip", LANDED_COLS, _jsonl_roundtrip, "small_raw")
+register_fragment("sink_jsonl_roundtrip", LANDED_COLS, _jsonl_roundtrip, "raw_records")
 
 
 def _jsonl_tolerant(spark, d):
     path = _fresh(spark, "jsonl")
-    raw = bindings.stations_raw(spark, d).withColumn("ingest_date", F.lit("2001-09-02"))
+    raw = bindings.raw_records(spark, d).withColumn("ingest_date", F.date_format("ingested_at", "yyyy-MM-dd"))
     good = raw.select(F.to_json(F.struct(*[F.col(c) for c in raw.columns]), {"ignoreNullFields": "false"}).alias("value"))
     bad = raw.select(F.concat(F.lit('{"dataset_name": "broken", "source_row_id": '), F.col("source_row_id")).alias("value"))
     good.unionByName(bad).write.text(path)
     return read_normalized(spark, path, file_pattern="part-*")
 
 
-register_fragment("scan_jsonl_tolerant", LANDED_COLS, _jsonl_tolerant, "stations_raw")
+register_fragment("scan_jsonl_tolerant", LANDED_COLS, _jsonl_tolerant, "raw_records")
 
 
 def _partitions(spark, d):
     path = _fresh(spark, "table")
-    raw = _small_raw(spark, d).unionByName(bindings.rent_wide_raw(spark, d)).unionByName(bindings.inventory_wide_raw(spark, d))
-    write_normalized(raw, path)
+    _land(bindings.raw_records(spark, d), path)
     name = f"raw_records_{uuid.uuid4().hex[:12]}"
-    table = register_raw_table(spark, name, path)
-    return table.groupBy("dataset_name", "run_id").agg(F.count(F.lit(1)).alias("record_count"))
+    counts = register_raw_table(spark, name, path).groupBy("dataset_name", "run_id").agg(F.count(F.lit(1)).alias("record_count"))
+    counts = counts.checkpoint(eager=True) if ensure_checkpoint_dir(spark) else counts
+    spark.sql(f"DROP TABLE {name}")  # the files stay; nothing is left in the catalog
+    return counts
 
 
 register(
@@ -148,11 +156,8 @@ register(
     "dataset_name s, run_id s, record_count i",
     _partitions,
     compose(
-        "SELECT dataset_name, run_id, count(*) AS record_count FROM "
-        "(SELECT * FROM small_raw UNION ALL SELECT * FROM rent_wide_raw UNION ALL SELECT * FROM inventory_wide_raw) GROUP BY 1, 2",
-        "small_raw",
-        "rent_wide_raw",
-        "inventory_wide_raw",
+        "SELECT dataset_name, run_id, count(*) AS record_count FROM raw_records GROUP BY 1, 2",
+        "raw_records",
     ),
 )
 
@@ -184,34 +189,74 @@ register(
 KEY_COLS = "dataset_name s, source_row_id s, record_hash s, run_id s"
 
 
+def _early(raw: DataFrame) -> DataFrame:
+    """A first delivery: four of the feeds, and of the two that grow most what came early."""
+    growing = ["listing_snapshots", "nyc_dob_approved_permits"]
+    return raw.where(~F.col("dataset_name").isin(growing) | (F.col("ingested_at") < F.lit("1995-01-01").cast("timestamp")))
+
+
 def _stream_ingest(spark, d):
     base = _fresh(spark, "stream")
     landing, target, ckpt = f"{base}/landing", f"{base}/target", f"{base}/checkpoint"
-    stations, housing = bindings.stations_raw(spark, d), bindings.housing_raw(spark, d)
-    write_normalized(stations, landing)
+    raw = bindings.raw_records(spark, d)
+    _land(_early(raw), landing)
     ingest_available(landed_stream(spark, landing), target, ckpt)
-    write_normalized(housing.unionByName(stations), landing)  # stations again: matched, so not re-inserted
+    _land(raw, landing)  # all feeds; early rows again: matched, so not re-inserted
     ingest_available(landed_stream(spark, landing), target, ckpt)
     ingest_available(landed_stream(spark, landing), target, ckpt)  # nothing new: no change
     return spark.read.parquet(target)
 
 
-register_fragment("stream_file_ingest", KEY_COLS, _stream_ingest, "small_raw")
+register_fragment("stream_file_ingest", KEY_COLS, _stream_ingest, "raw_records")
 
 
 def _stream_dedupe(spark, d):
     base = _fresh(spark, "dedupe")
     landing, target, ckpt = f"{base}/landing", f"{base}/target", f"{base}/checkpoint"
-    stations = bindings.stations_raw(spark, d)
-    write_normalized(stations, landing)
-    write_normalized(stations, landing)  # same keys twice in one micro-batch
+    raw = bindings.raw_records(spark, d)
+    _land(raw, landing)
+    _land(_early(raw), landing)  # same keys twice in one micro-batch
     stream_insert_ignore(landed_stream(spark, landing), target, ckpt, order=["ingested_at", "record_hash"])
-    write_normalized(stations, landing)  # and again in a later one
+    _land(_early(raw), landing)  # and again in a later one
     stream_insert_ignore(landed_stream(spark, landing), target, ckpt, order=["ingested_at", "record_hash"])
     return spark.read.parquet(target)
 
 
-register_fragment("stream_dedupe", KEY_COLS, _stream_dedupe, "stations_raw")
+register_fragment("stream_dedupe", KEY_COLS, _stream_dedupe, "raw_records")
+
+# ---------------------------------------------------------------------------
+# merges by the key index
+
+
+def _append_indexed(spark, d):
+    root = _fresh(spark, "indexed") + "/raw"
+    raw = bindings.raw_records(spark, d).select("dataset_name", "source_row_id", "record_hash", "run_id")
+    append_indexed(_early(bindings.raw_records(spark, d)).select(*raw.columns), root, ENVELOPE_KEYS)
+    append_indexed(raw, root, ENVELOPE_KEYS)
+    append_indexed(raw, root, ENVELOPE_KEYS)  # a replay appends nothing
+    return spark.read.parquet(root)
+
+
+register_fragment("merge_append_indexed", KEY_COLS, _append_indexed, "raw_records")
+
+
+def _upsert_moved(spark, d):
+    root = _fresh(spark, "indexed") + "/events"
+    events = bindings.table(spark, d, "events").select("event_id", "event_type", "value")
+    moved = F.col("event_id") % 3 == 0
+    old = events.where(F.col("event_id") % 5 != 0)
+    new = events.where(moved | (F.col("event_id") % 5 == 0))
+    upsert_indexed(old, root, "event_id", "event_type")
+    upsert_indexed(new.withColumn("event_type", F.when(moved, F.lit("moved")).otherwise(F.col("event_type"))), root, "event_id", "event_type")
+    return spark.read.parquet(root)
+
+
+register(
+    "merge_upsert_moved",
+    "event_id i, event_type s, value f",
+    _upsert_moved,
+    "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'moved' ELSE event_type END AS event_type, value FROM events",
+)
 
 # ---------------------------------------------------------------------------
 # published extracts

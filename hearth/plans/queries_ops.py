@@ -13,11 +13,13 @@ from hearth.functions import (
     keys_matching,
     money,
     parse_bool,
+    payload_of,
     surrogate_key,
     try_date,
     try_decimal,
     try_number,
     try_timestamp,
+    unpivot,
 )
 from hearth.operators import quality
 from hearth.operators.aggregates import rollup_sum
@@ -217,6 +219,49 @@ register(
         "rent_wide_raw",
     ),
 )
+
+
+# the same access to a payload of VARIANT type: all events, with numbers, nested values, JSON null and a key with a space
+def events_variant(spark: SparkSession, d: str) -> DataFrame:
+    e = _t(spark, d, "events")
+    doc = F.struct(
+        "event_id", F.col("event_type").alias("Event Type"), F.col("event_type").alias("type"), "user_id",
+        F.when(F.col("event_id") % 3 == 0, F.col("user_id")).alias("maybe"), F.from_json("props", "struct<k: string>").alias("nested"),
+        (F.col("event_id") % 2 == 0).alias("even"), F.date_format("ts", "yyyy-MM-dd").alias("2024-01-01"),
+    )
+    return e.select("event_id", F.parse_json(F.to_json(doc, {"ignoreNullFields": "false"})).alias("payload"))
+
+
+VARIANT_KEYS = ("Event Type", "user_id", "maybe", "nested", "even")
+
+
+def _payload_variant(spark, d):
+    e = events_variant(spark, d)
+    p = payload_of(e)
+    present = e.where(has_field(p, "maybe") & ~has_field(p, "missing"))  # a JSON null is a value
+    names = F.array(*[F.lit(k) for k in VARIANT_KEYS])
+    texts = F.array(*[field(p, k) for k in VARIANT_KEYS])
+    return present.select("event_id", F.explode(F.arrays_zip(names.alias("key"), texts.alias("value"))).alias("m")).select("event_id", "m.key", "m.value")
+
+
+_VARIANT_SQL = {
+    "Event Type": "event_type", "user_id": "cast(user_id AS VARCHAR)", "maybe": "CASE WHEN event_id % 3 = 0 THEN cast(user_id AS VARCHAR) END",
+    "nested": "'{\"k\":\"' || json_extract_string(props, '$.k') || '\"}'", "even": "CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END",
+}
+register(
+    "payload_variant",
+    "event_id i, key s, value s",
+    _payload_variant,
+    " UNION ALL ".join(f"SELECT event_id, {q(k)} AS key, {sql} AS value FROM events" for k, sql in _VARIANT_SQL.items()),
+)
+register(
+    "unpivot_variant",
+    "event_id i, key s, value s",
+    lambda spark, d: unpivot(events_variant(spark, d), "payload", "^([0-9-]+|user_id|maybe)$"),
+    "SELECT event_id, '2024-01-01' AS key, strftime(ts, '%Y-%m-%d') AS value FROM events UNION ALL "
+    "SELECT event_id, 'user_id', cast(user_id AS VARCHAR) FROM events UNION ALL "
+    f"SELECT event_id, 'maybe', {_VARIANT_SQL['maybe']} FROM events",
+)
 IN_LIST = ("mta_subway_stations", "zillow_zori_zip", "no_such_feed")
 register_fragment(
     "filter_in_list",
@@ -803,6 +848,21 @@ register(
     ),
 )
 
+fragment(
+    "permits_without_housing",
+    "SELECT * FROM stg_permits x WHERE neighborhood_code IS NOT NULL AND NOT EXISTS "
+    "(SELECT 1 FROM stg_neighborhood_housing h WHERE h.neighborhood_code = x.neighborhood_code)",
+    "stg_permits",
+    "stg_neighborhood_housing",
+)
+# a parent that lacks keys of its children, row by row
+register_fragment(
+    "check_orphans",
+    "permit_id s, neighborhood_code s",
+    lambda spark, d: (lambda p: quality.relationships(p.stg_permits, "neighborhood_code", p.stg_neighborhood_housing, "neighborhood_code"))(P(spark, d)),
+    "permits_without_housing",
+)
+
 
 def _data_tests_sql() -> str:
     parts = []
@@ -818,7 +878,7 @@ def _data_tests_sql() -> str:
 
 def _data_tests(spark, d):
     p = P(spark, d)
-    return quality.data_tests({m: getattr(p, m) for m in quality.MODEL_TESTS})
+    return quality.data_tests({m: p.raw if m == "raw_records" else getattr(p, m) for m in quality.MODEL_TESTS})
 
 
 register("data_tests", "model s, column_name s, test s, violations i", _data_tests, compose(_data_tests_sql(), *quality.MODEL_TESTS))
