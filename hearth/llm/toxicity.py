@@ -19,7 +19,8 @@ which a toxic one has at least one toxic: words of toxic documents that clean
 documents hold clearly less often open as positives, the others are
 negatives; Nyström features against ``LANDMARKS`` landmark words feed a linear
 machine with squared hinge loss, and the bags' witnesses are chosen anew by the
-machine in each of a few rounds.  A document's margin is its best word's; a
+machine in each of a few rounds.  Bags are made in tasks; each document's distinct words come to the driver, which
+fits the machine (its size does not grow with the corpus).  A document's margin is its best word's; a
 logistic fit on the training bags makes it a score.
 
 The machine's function is ``sum_j b_j k(x, landmark_j)``, and as the kernel's
@@ -30,7 +31,8 @@ landmarks.
 
 Defined cases: null and empty texts have no word and get the score of the
 lowest margin; documents without a label only get a score; null labels are not
-used; without both labels every score is 0; repeated rows are kept; other
+used; without both labels every score is 0; repeated rows are kept; texts of any length are
+read whole; documents whose margin ties get one score, and a score of 0.5 is toxic; other
 columns are never read.
 """
 
@@ -39,7 +41,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -53,8 +55,12 @@ from hearth.llm.common import id_text, rows_of, ship
 SAMPLE, SAMPLE_CHARS = 2_500, 24_000_000
 LANDMARKS = 256
 DECAY, SPAN = 0.75, 6
-WITNESSES = 12
 ROUNDS = 6
+#: Words of the sample that the machine is fitted on at most: witnesses to begin with and later, negatives that are frequent, rare and
+#: (in all) near the cut.  The bound is on the rows of one linear system; every word of the sample is judged in every round.
+WITNESSES, MORE_WITNESSES, FREQUENT_WORDS, RARE_WORDS, NEAR_WORDS, NEGATIVES = 1_500, 2_500, 2_500, 3_500, 4_000, 12_000
+#: Words whose feature maps are held at once; the character that stands for class 0 where words are strings.
+PART, BASE = 500, 0x40
 #: Folds by crc32 of the id's text: the fold that is never trained on.
 FOLDS, HELD_OUT = 5, 0
 #: Characters are told apart in this many classes; signs in words keep classes of their own.
@@ -182,13 +188,13 @@ def _features(words: list[str]) -> list[dict[int, float]]:
 
 
 def _word_codes(w: str) -> np.ndarray:
-    return np.array([ord(x) - 0xE000 for x in w], dtype=np.int64)
+    return np.array([ord(x) - BASE for x in w], dtype=np.int64)
 
 
 def _bag(text: str) -> set[str]:
-    """The text's words as strings of classes (private-use characters)."""
+    """The text's words as strings of classes, one byte each."""
     c = codes(text)
-    return set("".join(map(chr, (c + 0xE000).tolist())).split(chr(0xE000))) - {""}
+    return set("".join(map(chr, (c + BASE).tolist())).split(chr(BASE))) - {""}
 
 
 def _kernel(a: list[dict[int, float]], b: list[dict[int, float]]) -> np.ndarray:
@@ -208,8 +214,13 @@ def _kernel(a: list[dict[int, float]], b: list[dict[int, float]]) -> np.ndarray:
 
 def train(texts: list[str], labels: list[int]) -> Machine:
     """A machine from documents and their labels (1: toxic)."""
+    return train_bags((_bag(t) for t in texts), labels)
+
+
+def train_bags(words: Iterable[Iterable[str]], labels: list[int]) -> Machine:
+    """A machine from the bags of words of documents and their labels."""
     one: dict[str, str] = {}  # each word's string is kept once, however many bags hold it
-    bags = [tuple(sorted(one.setdefault(w, w) for w in _bag(t))) for t in texts]  # sorted: the same machine in every run
+    bags = [tuple(sorted(one.setdefault(w, w) for w in b)) for b in words]  # sorted: the same machine in every run
     toxic = [b for b, y in zip(bags, labels) if y]
     clean = [b for b, y in zip(bags, labels) if not y]
     empty = Machine(np.zeros(CLASSES**3, dtype=np.float32), 0.0, 0.0)
@@ -227,11 +238,11 @@ def train(texts: list[str], labels: list[int]) -> Machine:
             chosen[best] += 1
     # words that toxic documents hold often and clean ones (as good as) never count as witnesses throughout
     firm = [w for w, n in in_toxic.most_common() if n >= 5 and n * len(clean) >= 40 * (in_clean[w] + 0.2) * len(toxic)]
-    positives = firm = list(dict.fromkeys(firm + [w for w, _ in chosen.most_common(1_500)]))[:1_500]
-    common = [w for w, _ in in_clean.most_common(2_500)]
+    positives = firm = list(dict.fromkeys(firm + [w for w, _ in chosen.most_common(WITNESSES)]))[:WITNESSES]
+    common = [w for w, _ in in_clean.most_common(FREQUENT_WORDS)]
     rng = np.random.default_rng(7)
     rare = sorted(w for w in in_clean if in_clean[w] <= 3)
-    negatives = list(dict.fromkeys(common + [rare[i] for i in rng.choice(len(rare), min(len(rare), 3_500), replace=False)]))
+    negatives = list(dict.fromkeys(common + [rare[i] for i in rng.choice(len(rare), min(len(rare), RARE_WORDS), replace=False)]))
     if not positives:
         return empty
     half = LANDMARKS // 2
@@ -247,35 +258,38 @@ def train(texts: list[str], labels: list[int]) -> Machine:
                 t[k] += beta * v
         return t
 
-    # the distinct words of the sample, laid out as one row of codes, and each bag as numbers of words
+    # the distinct words of the sample, laid out as rows of codes, and each bag as numbers of words
     vocabulary = sorted(set().union(*bags))
     number = {w: i for i, w in enumerate(vocabulary)}
-    laid = np.concatenate([np.r_[0, _word_codes(w)] for w in vocabulary] + [np.zeros(1, dtype=np.int64)])
-    numbers = [np.fromiter(map(number.__getitem__, sorted(bag)), dtype=np.int64, count=len(bag)) for bag in bags]
+    laid = [np.concatenate([np.r_[0, _word_codes(w)] for w in vocabulary[at : at + 8 * PART]] + [np.zeros(1, dtype=np.int64)]).astype(np.uint8) for at in range(0, len(vocabulary), 8 * PART)]
+    numbers = [np.fromiter(map(number.__getitem__, bag), dtype=np.int32, count=len(bag)) for bag in bags]
+    del bags, toxic, clean, number
+    n_toxic, n_clean = sum(labels), len(labels) - sum(labels)
     y_doc = np.array(labels)
     known: dict[str, dict[int, float]] = {}
-    machine, fewest = empty, len(texts) + 1
+    machine, fewest = empty, len(labels) + 1
     for _ in range(ROUNDS):
         new = [w for w in positives + negatives if w not in known]
-        known.update(zip(new, _kernel(_features(new), mark) @ root))
+        for at in range(0, len(new), PART):  # feature maps of a part of the words at once
+            known.update(zip(new[at : at + PART], _kernel(_features(new[at : at + PART]), mark) @ root))
         x = np.array([known[w] for w in positives + negatives])
         y = np.r_[np.ones(len(positives)), -np.ones(len(negatives))]
         often = np.array([1.0 + in_toxic[w] for w in positives] + [1.0 + in_clean[w] ** 0.5 for w in negatives])  # a word counts by its documents
         weight = often * np.where(y > 0, 0.5 / often[y > 0].sum(), 0.5 / often[y < 0].sum())
         w, b = _squared_hinge(x, y, weight)
         table = table_of(w)
-        margin = word_margins(laid, table) + b
+        margin = np.concatenate([word_margins(part.astype(np.int64), table) for part in laid]) + b
         best = np.array([margin[i].max() if len(i) else -10.0 for i in numbers])
         cut, scale, errors = _cut(best, y_doc)
         if errors <= fewest:  # the round with the fewest errors on the sample stays
             machine, fewest = Machine(table, b - cut, scale), errors
         # next round: new witnesses, and the clean words that come near the cut
         found = [vocabulary[i[margin[i].argmax()]] for i, t, m in zip(numbers, y_doc, best) if t and m > cut]
-        positives = list(dict.fromkeys(firm + found))[:2_500]
-        positives = [p for p in positives if in_clean[p] * len(toxic) < in_toxic[p] * len(clean) * 0.5] or firm
+        positives = list(dict.fromkeys(firm + found))[:MORE_WITNESSES]
+        positives = [p for p in positives if in_clean[p] * n_toxic < in_toxic[p] * n_clean * 0.5] or firm
         near = Counter(vocabulary[j] for i, t in zip(numbers, y_doc) if not t for j in i[margin[i] > cut - 0.7].tolist())
         held = set(positives)
-        negatives = [v for v in dict.fromkeys([v for v, _ in near.most_common(4_000)] + negatives) if v not in held][:12_000]
+        negatives = [v for v in dict.fromkeys([v for v, _ in near.most_common(NEAR_WORDS)] + negatives) if v not in held][:NEGATIVES]
     return machine
 
 
@@ -329,8 +343,17 @@ def fit(docs: DataFrame, labels: DataFrame) -> Machine:
         return train([], [])
     wanted = docs.sparkSession.createDataFrame(chosen, "doc_id long, t long")
     rows = picked.withColumn("t", F.xxhash64("text")).join(F.broadcast(wanted), ["doc_id", "t"], "left_semi")
-    rows = rows.select("y", "text", "o").dropDuplicates(["o", "text", "y"]).orderBy("o", "text", "y").toPandas()
-    return train(rows["text"].tolist(), rows["y"].tolist())
+    rows = rows.select("y", "text", "o", "t").dropDuplicates(["o", "text", "y"])
+
+    def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in rows_of(batches):
+            words = ["".join(sorted(chr(BASE) + w for w in _bag(t))) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("o"), b.column("t"), b.column("y"), pa.array(words, type=pa.string())], ["o", "t", "y", "words"])
+
+    # words, each once a document, come to the driver, not texts
+    ship(docs.sparkSession)
+    found = rows.mapInArrow(bags, "o long, t long, y int, words string").orderBy("o", "t", "y").toArrow()
+    return train_bags((w.as_py().split(chr(BASE))[1:] for w in found.column("words")), found.column("y").to_pylist())
 
 
 def score_documents(docs: DataFrame, machine: Machine) -> DataFrame:
