@@ -168,7 +168,7 @@ def _links(docs: DataFrame, classes: DataFrame, threshold: int, tied: DataFrame)
     links = checkpoint(_linked(first, sets, threshold).union(tied), spark)
 
     label = components(links)
-    between = between_components(shared.where("m > 2").select("key", "node"), label, sets, threshold)  # of two members one is the centre
+    between = between_components(shared.select("key", "node"), label, sets, threshold)
     rest = checkpoint(between.join(first, ["a", "b"], "left_anti"), spark)
     return components(links.union(_linked(rest, sets, threshold)))
 

@@ -9,6 +9,7 @@ only pairs that an exact bound allows become rows:
   most ``|x|`` less their number (and the other way round);
 * a list's members come in blocks of ``BLOCK`` rows, every two blocks of a list once, so a list of any length
   is split over tasks;
+* lists of two members are left out: the first round held one against the other;
 * members of a list's largest component are not compared with each other, nor any two of one component.
 
 No pair that reaches the threshold is lost: the bound holds for every bitmap size.
@@ -94,10 +95,10 @@ def _compare(t: pa.Table, threshold: int) -> tuple[np.ndarray, np.ndarray]:
 def between_components(lists: DataFrame, label: DataFrame, facts: DataFrame, threshold: int) -> DataFrame:
     """Distinct pairs ``a b`` (a < b) of members of one list but of different components that may reach the threshold.
     ``lists``: ``key node``; ``label``: ``node component``, where a node without a row is its own component;
-    ``facts``: ``node n bits``, the set's size and ``bitmap``."""
+    lists of two members were tested by the caller's first round; ``facts``: ``node n bits``, the set's size and ``bitmap``."""
     placed = lists.join(label.select("node", F.col("component").alias("_c")), "node", "left").select("key", "node", F.coalesce("_c", "node").alias("c"))
     parts = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"))
-    mixed = parts.groupBy("key").agg(F.max(F.struct("m", "c"))["c"].alias("top"), F.count(F.lit(1)).alias("parts"), F.sum("m").alias("m")).where("parts > 1")
+    mixed = parts.groupBy("key").agg(F.max(F.struct("m", "c"))["c"].alias("top"), F.count(F.lit(1)).alias("parts"), F.sum("m").alias("m")).where("parts > 1 and m > 2")
     rows = placed.join(mixed.select("key", "top", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "key").join(facts.select("node", "n", "bits"), "node")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("w", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("key", F.least("block", "w").alias("i"), F.greatest("block", "w").alias("j"), "block", "node", "c", "top", "n", "bits")
