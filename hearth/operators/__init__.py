@@ -22,7 +22,7 @@ from hearth.operators.envelope import (
     to_raw_records,
     union_raw,
 )
-from hearth.operators.joins import anti, full_outer_coalesce, join_null_safe, lookup
+from hearth.operators.joins import anti, full_outer_coalesce, join_null_safe, left_chain, lookup
 from hearth.operators.merge import (
     first_per_key,
     high_water_mark,
@@ -39,7 +39,7 @@ from hearth.operators.windows import lag_ratio, latest_by, rolling_stddev, with_
 
 __all__ = [
     "SourceSpec", "aggregate_with_median", "anti", "any_stable", "count_when", "dataset_slice", "distinct_rows",
-    "first_per_key", "flag_sum", "full_outer_coalesce", "grouped_median", "high_water_mark",
+    "first_per_key", "flag_sum", "full_outer_coalesce", "grouped_median", "high_water_mark", "left_chain",
     "incremental", "ingest_summary", "insert_ignore", "join_null_safe", "lag_ratio", "latest_by",
     "latest_versions", "lookup", "mean", "merge_insert", "new_rows",
     "payload_from_columns", "project", "record_hash", "rolling_stddev", "rollup_sum", "since_watermark",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hearth.functions import any_band, band, days_between, surrogate_key
 from hearth.operators.aggregates import aggregate_with_median, any_stable, count_when, mean
-from hearth.operators.joins import full_outer_coalesce, lookup
+from hearth.operators.joins import full_outer_coalesce, left_chain, lookup
 from hearth.operators.merge import incremental
 from hearth.operators.windows import latest_by, ordered_window, with_lags
 
@@ -284,39 +284,34 @@ def mart_neighborhood_scorecard(
 ) -> DataFrame:
     """One row per neighborhood and matching development area (the join to
     development fans out where a zip has several areas)."""
-    n = neighborhoods.alias("n")
-    r = latest_rent(trends).alias("r")
-    c = latest_churn(churn).alias("c")
-    d = development.alias("d")
-    j = (
-        n.join(r, F.col("n.postal_code") == F.col("r.postal_code"), "left")
-        .join(c, F.col("n.postal_code") == F.col("c.postal_code"), "left")
-        .join(d, F.col("n.postal_code") == F.col("d.postal_code"), "left")
+    j = left_chain(
+        neighborhoods,
+        [(latest_rent(trends), "r__", "postal_code"), (latest_churn(churn), "c__", "postal_code"), (development, "d__", "postal_code")],
     )
     return j.select(
         F.md5(
-            F.concat(F.col("n.neighborhood_id"), F.lit("|"), F.coalesce(F.col("r.signal_month").cast("string"), F.lit("no-rent")))
+            F.concat(F.col("neighborhood_id"), F.lit("|"), F.coalesce(F.col("r__signal_month").cast("string"), F.lit("no-rent")))
         ).alias("neighborhood_scorecard_id"),
-        F.col("n.neighborhood_id"),
-        F.col("n.postal_code"),
-        F.col("n.neighborhood"),
-        F.col("n.borough"),
-        F.col("r.signal_month").alias("latest_rent_month"),
-        F.col("r.zori_rent"),
-        F.col("r.rent_yoy_pct"),
-        F.col("r.six_month_rent_volatility"),
-        F.col("r.rent_volatility_band"),
-        F.col("r.active_inventory"),
-        F.col("c.listing_count"),
-        F.col("c.active_listing_count"),
-        F.col("c.leased_listing_count"),
-        F.col("c.avg_days_on_market"),
-        F.col("n.housing_projects"),
-        F.col("n.affordable_rental_units"),
-        F.col("n.permit_count"),
-        F.col("d.estimated_development_cost"),
-        F.col("d.development_activity_band"),
+        F.col("neighborhood_id"),
+        F.col("postal_code"),
+        F.col("neighborhood"),
+        F.col("borough"),
+        F.col("r__signal_month").alias("latest_rent_month"),
+        F.col("r__zori_rent").alias("zori_rent"),
+        F.col("r__rent_yoy_pct").alias("rent_yoy_pct"),
+        F.col("r__six_month_rent_volatility").alias("six_month_rent_volatility"),
+        F.col("r__rent_volatility_band").alias("rent_volatility_band"),
+        F.col("r__active_inventory").alias("active_inventory"),
+        F.col("c__listing_count").alias("listing_count"),
+        F.col("c__active_listing_count").alias("active_listing_count"),
+        F.col("c__leased_listing_count").alias("leased_listing_count"),
+        F.col("c__avg_days_on_market").alias("avg_days_on_market"),
+        F.col("housing_projects"),
+        F.col("affordable_rental_units"),
+        F.col("permit_count"),
+        F.col("d__estimated_development_cost").alias("estimated_development_cost"),
+        F.col("d__development_activity_band").alias("development_activity_band"),
         signal_score(
-            F.col("r.rent_volatility_band"), F.coalesce(F.col("d.permit_count"), F.col("n.permit_count"), F.lit(0))
+            F.col("r__rent_volatility_band"), F.coalesce(F.col("d__permit_count"), F.col("permit_count"), F.lit(0))
         ).alias("recruiter_demo_signal_score"),
     )
