@@ -9,16 +9,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.plans import bindings
+from hearth.plans import bindings, marts
 from hearth.plans.oracle import compose
 from hearth.plans.graph import SHARED_MODELS, ModelGraph
-from hearth.plans.registry import register, register_fragment
+from hearth.plans.registry import MODEL_COLUMNS, register, register_fragment
 from hearth.schemas import ENVELOPE_KEYS
 from hearth.session import ensure_checkpoint_dir, scratch_path
 from hearth.sources.catalog import register_raw_table
 from hearth.sources.files import read_csv_rows, read_json_rows, read_normalized
 from hearth.sources.key_index import append_indexed, upsert_indexed
-from hearth.sources.sinks import EXTRACTS, append_audit, extract, upsert_partitions, write_normalized
+from hearth.sources.sinks import EXTRACTS, append_audit, extract, materialize, truncate_reload, upsert_partitions, write_normalized
 from hearth.streaming.ingest import ingest_available, landed_stream, stream_insert_ignore
 
 
@@ -302,3 +302,28 @@ def _upsert_table(spark, d):
 
 
 register_fragment("merge_upsert_table", HISTORY_COLS, _upsert_table, "history_upserted")
+
+
+# ---------------------------------------------------------------------------
+# stored models: staging as views, the rest as versioned tables; truncate and reload
+
+
+def _materialize(spark, d):
+    root = _fresh(spark, "models")
+    p = ModelGraph(spark, d)
+    listings = materialize(p.stg_listing_snapshots, "staging", "stg_listing_snapshots", root)  # a view
+    dim = materialize(marts.dim_listings(listings), "marts", "dim_listings", root)  # a table
+    return materialize(marts.dim_listings(listings).select(*dim.columns), "marts", "dim_listings", root)  # a second version of it
+
+
+register_fragment("materialize_models", MODEL_COLUMNS["dim_listings"], _materialize, "dim_listings")
+
+
+def _reload(spark, d):
+    root = _fresh(spark, "reload")
+    raw = bindings.raw_records(spark, d).select("dataset_name", "source_row_id", "record_hash", "run_id")
+    truncate_reload(_early(bindings.raw_records(spark, d)).select(*raw.columns), root)
+    return truncate_reload(raw, root)  # nothing of the first load stays
+
+
+register_fragment("truncate_reload", KEY_COLS, _reload, "raw_records")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,38 +52,91 @@ def _children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(folder))
 
 
-def _pointers(spark: SparkSession, table_root: str) -> list[str]:
-    """Pointers that were written to their end, oldest first."""
-    base = f"{table_root.rstrip('/')}/_pointers"
-    return [n for n in _children(spark, base) if n.isdigit() and "_SUCCESS" in _children(spark, f"{base}/{n}")]
+class VersionConflict(RuntimeError):
+    """Another writer committed since the version that a commit is based on."""
+
 
+def _pointers(spark: SparkSession, table_root: str) -> list[str]:
+    """Names of the commits, oldest first.  A commit is one file, created at once with all that it says."""
+    return [n for n in _children(spark, f"{table_root.rstrip('/')}/_pointers") if n.isdigit()]
 
-def write_version(df: DataFrame, table_root: str) -> str:
-    """Write ``df`` as a new version folder, then a new pointer to it.
 
-    Pointers are numbered and never replaced, and one counts only once it is
-    written to its end, so a reader sees the old version or the new one.  Never
+def _create(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file with ``text`` unless there is one (false).  The file system decides between writers, not a listing:
+    a file with the text under a name of its own is renamed to ``path``, which fails where a file stands."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf)
+    fs = target.getFileSystem(conf)
+    own = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    out = fs.create(own, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    try:
+        context.rename(own, target, spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+        return True
+    except Exception as e:  # noqa: BLE001 - the JVM's class is told by its name
+        if "FileAlreadyExistsException" not in str(e):
+            raise
+        return False
+    finally:
+        fs.delete(own, False)
+
+
+def current_version(spark: SparkSession, table_root: str) -> int:
+    """Number of the newest commit; 0 for a table that was never written."""
+    return max((int(n) for n in _pointers(spark, table_root)), default=0)
+
+
+def write_version(df: DataFrame, table_root: str, base: int | None = None, attempts: int = 20) -> str:
+    """Write ``df`` as a new version folder, then commit it.
+
+    Commits are numbered; each is a file that exactly one writer can create, so a reader sees the old version
+    or the new one, and of several writers each takes a number of its own.  ``base``: the commit that ``df`` was made from
+    (``current_version``); if another one came since, ``VersionConflict`` is raised and nothing is committed.  Without it the
+    commit replaces whatever is there (a full refresh) and goes on to the next free number.  Never
     overwrites a path that may be being read (a merge reads the current
     version while computing the next one)."""
     spark = df.sparkSession
     root = table_root.rstrip("/")
     version = f"{root}/v-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(version)
-    taken = [int(n) for n in _children(spark, f"{root}/_pointers") if n.isdigit()]
-    pointer = f"{root}/_pointers/{max(taken, default=0) + 1:012d}"
-    spark.createDataFrame([(version,)], "path string").coalesce(1).write.mode("errorifexists").text(pointer)
-    return version
-
-
-def read_current(spark: SparkSession, table_root: str) -> DataFrame | None:
-    """The current version of a versioned table, or None if never written.  A table that cannot be read raises."""
-    pointers = _pointers(spark, table_root)
-    if not pointers:
+    for _ in range(attempts):
+        now = current_version(spark, root)
+        if base is not None and now != base:
+            raise VersionConflict(f"{root} is at commit {now}, not at {base}")
+        if _create(spark, f"{root}/_pointers/{now + 1:012d}", version):
+            return version
+    raise VersionConflict(f"{root}: no free commit in {attempts} attempts")
+
+
+def update_version(spark: SparkSession, table_root: str, change: Callable[[DataFrame | None], DataFrame], attempts: int = 20) -> str:
+    """Commit ``change`` of the current version.  If another writer was first, the change is made again from what that one committed."""
+    for _ in range(attempts):
+        base = current_version(spark, table_root)
+        try:
+            return write_version(change(read_current(spark, table_root, base)), table_root, base)
+        except VersionConflict:
+            continue
+    raise VersionConflict(f"{table_root}: other writers were first {attempts} times")
+
+
+def read_current(spark: SparkSession, table_root: str, commit: int | None = None) -> DataFrame | None:
+    """The current version of a versioned table (or that of a commit), or None if never written.  A table that cannot be read raises."""
+    commit = current_version(spark, table_root) if commit is None else commit
+    if not commit:
         return None
-    pointer = spark.read.text(f"{table_root.rstrip('/')}/_pointers/{pointers[-1]}").first()
+    pointer = spark.read.text(f"{table_root.rstrip('/')}/_pointers/{commit:012d}").first()
     return spark.read.parquet(pointer[0])
 
 
+def truncate_reload(df: DataFrame, table_root: str) -> DataFrame:
+    """Replace all rows of a table by those of ``df`` (also by none), and read it back."""
+    write_version(df, table_root)
+    return read_current(df.sparkSession, table_root)
+
+
 def materialize(df: DataFrame, layer: str, name: str, root: str | None = None) -> DataFrame:
     """Staging models are views; intermediate and mart models are tables
     (written as a new version and read back)."""
