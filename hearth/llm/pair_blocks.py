@@ -27,13 +27,13 @@ from pyspark.sql import functions as F
 from hearth.llm.common import grouped
 
 BLOCK = 1024
-#: Least places of a bitmap.
-LEAST = 64
+#: Least and most places of a bitmap: a block of the longest sets takes 32 MB.
+LEAST, MOST = 64, 1 << 18
 
 
 def bitmap(s: np.ndarray) -> bytes:
-    """A set of 64-bit hashes as a bitmap of 4 to 8 places a hash (a power of two)."""
-    places = max(LEAST, 4 << max(len(s) - 1, 0).bit_length())
+    """A set of 64-bit hashes as a bitmap of 4 to 8 places a hash (a power of two, ``MOST`` for very large sets, whose bound is weaker)."""
+    places = min(MOST, max(LEAST, 4 << max(len(s) - 1, 0).bit_length()))
     bits = np.zeros(places, dtype=np.uint8)
     bits[(s.view(np.uint64) & np.uint64(places - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
