@@ -20,6 +20,7 @@ m = n = 10**6 unless b is 10**12.  Eight bytes a key rule files out at any size.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from urllib.parse import unquote
 
@@ -70,13 +71,18 @@ def read_files(spark: SparkSession, root: str, files: Sequence[str]) -> DataFram
 
 def files_with_keys(batch: DataFrame, root: str, keys: Sequence[str], buckets: int = BUCKETS) -> list[str]:
     """Data files that may hold a key of ``batch``: those with one of its hashes, and those that are not covered."""
+    from hearth.session import scratch_path
+
     spark = batch.sparkSession
     root = root.rstrip("/")
     there = set(data_files(spark, root))
     covered = covered_files(spark, root) & there
     found: set[str] = set()
     if covered:
-        hashes = batch.select(_hash(keys).alias("h")).distinct().withColumn("bucket", _bucket(buckets))
+        # eight bytes a key, written once: the filters that a join infers would work out the batch's key columns again
+        path = scratch_path(spark, f"hashes-{uuid.uuid4().hex}")
+        batch.select(_hash(keys).alias("h")).distinct().write.parquet(path)
+        hashes = spark.read.parquet(path).withColumn("bucket", _bucket(buckets))
         touched = [r["bucket"] for r in hashes.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
         if touched:
             index = spark.read.parquet(f"{root}/{INDEX}").where(F.col("bucket").isin(touched))
