@@ -293,8 +293,12 @@ HISTORY_COLS = "listing_snapshot_id s, listing_id s, snapshot_date t, rent d, re
 def _upsert_table(spark, d):
     from hearth.plans.queries_ops import OLD_CUTOFF
 
-    root = _fresh(spark, "fct") + "/fct_listing_history"
-    history = ModelGraph(spark, d).fct_listing_history.withColumn("snapshot_month", F.trunc("snapshot_date", "month"))
+    base = _fresh(spark, "fct")
+    root = f"{base}/fct_listing_history"
+    # the staging is read twice by the lag's range split, the model by both upserts: each is written once
+    model = ModelGraph(spark, d, materialize=("stg_listing_snapshots",)).fct_listing_history
+    model.withColumn("snapshot_month", F.trunc("snapshot_date", "month")).write.parquet(f"{base}/model")
+    history = spark.read.parquet(f"{base}/model")
     old = history.where(F.col("snapshot_date") < F.lit(OLD_CUTOFF).cast("date"))
     upsert_partitions(old, root, "listing_snapshot_id", "snapshot_date", "snapshot_month")
     upsert_partitions(history, root, "listing_snapshot_id", "snapshot_date", "snapshot_month")

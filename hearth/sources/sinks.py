@@ -270,6 +270,12 @@ def append_new(
     fresh.write.mode("append").partitionBy(*partition_by).parquet(target_root)
 
 
+def _by_partition(df: DataFrame, part: str) -> DataFrame:
+    """Rows of a partition brought together before they are written: else every task leaves a small file in every
+    partition, and files grow with the tasks.  Adaptive execution splits partitions that are large."""
+    return df.hint("rebalance", part)
+
+
 def upsert_partitions(
     model_output: DataFrame,
     target_root: str,
@@ -285,7 +291,7 @@ def upsert_partitions(
     key.  Every partition that is rewritten is rebuilt from all of its old rows
     (minus replaced keys) plus the new ones, so a coarse partition loses
     nothing; all other partitions are not touched.  The replacement is
-    checkpointed before the dynamic partition overwrite, so no file is
+    written to the scratch folder before the dynamic partition overwrite, so no file is
     overwritten while it is still being read.
 
     A batch that repeats a key raises, and so does a key that the table holds in
@@ -293,16 +299,18 @@ def upsert_partitions(
     nothing is written then.
     """
     from hearth.operators.merge import DuplicateKeyError, high_water_mark
-    from hearth.session import ensure_checkpoint_dir
+    from hearth.session import scratch_path
 
     spark = model_output.sparkSession
     part = partition_col or watermark_col
     if not table_exists(spark, target_root):
-        model_output.write.mode("overwrite").partitionBy(part).parquet(target_root)
+        _by_partition(model_output, part).write.mode("overwrite").partitionBy(part).parquet(target_root)
         return
     current = spark.read.parquet(target_root)
     mark = high_water_mark(current, watermark_col)
-    batch = model_output.where(F.col(watermark_col) >= F.lit(mark))
+    scratch = scratch_path(spark, f"upsert-{uuid.uuid4().hex}")
+    model_output.where(F.col(watermark_col) >= F.lit(mark)).write.parquet(f"{scratch}/batch")
+    batch = spark.read.parquet(f"{scratch}/batch")  # read several times below, computed once
     if part == watermark_col:
         first_part = mark
     else:
@@ -318,10 +326,9 @@ def upsert_partitions(
         raise DuplicateKeyError(f"key {moved[0][0]} moves from partition {moved[0][1]} to {moved[0][2]}")
     affected = current.where(F.col(part) >= F.lit(first_part))
     kept = affected.join(batch.select(key), key, "left_anti")
-    ensure_checkpoint_dir(spark)
-    replacement = batch.unionByName(kept.select(*batch.columns)).checkpoint(eager=True)
+    batch.unionByName(kept.select(*batch.columns)).write.parquet(f"{scratch}/replacement")
     (
-        replacement.write.mode("overwrite")
+        _by_partition(spark.read.parquet(f"{scratch}/replacement"), part).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(part)
         .parquet(target_root)
