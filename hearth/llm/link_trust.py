@@ -48,6 +48,8 @@ DAMPING = 85
 #: Rounds of propagation: ``DAMPING ** ROUNDS`` bounds the share of all mass that still moves, here 1 in 10,000.
 ROUNDS = 57
 RATIO = 100
+#: Edges that one task takes in a round.
+EDGES_A_TASK = 100_000
 LINK = r"""(?i)\b(?:href|src)\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
 
 
@@ -108,13 +110,16 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataF
     kinds = kinds.select("s.*").where("n > 0")
     total = kinds.groupBy("kind").agg(F.sum("n").alias("total"))
     start = checkpoint(kinds.join(F.broadcast(total), "kind").select("kind", "host", F.expr(f"cast(cast(n as decimal(20, 0)) * {MASS} div total as bigint)").alias("seed")), spark)  # two rows of totals
+    # every task of a round leaves shuffle files of its own, so the tasks follow the graph's size and not the session's partitions
+    tasks = 1 + ways.count() // EDGES_A_TASK
+    ways, start = ways.coalesce(tasks), start.coalesce(tasks)
     mass = start.select("kind", "host", F.col("seed").alias("mass"))
     stay = start.select("kind", "host", F.expr(f"seed * {100 - DAMPING}L div 100").alias("mass"))
     for r in range(rounds):
         moved = mass.withColumnRenamed("host", "src").join(ways, ["kind", "src"]).select(
             "kind", F.col("dst").alias("host"), F.expr(f"(mass * {DAMPING}L) div (100L * out) * weight").alias("mass")
         )
-        mass = moved.union(stay).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
+        mass = moved.union(stay).groupBy("kind", "host").agg(F.sum("mass").alias("mass")).coalesce(tasks)
         if r % 3 == 2 and r + 1 < rounds:
             mass = checkpoint(mass, spark)
     pick = lambda k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("mass"))), F.lit(0)).alias(k)
