@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import checkpoint, id_text, key_filter, rows_of, ship, stored
+from hearth.llm.common import checkpoint, id_text, in_filter, key_filter, rows_of, ship, stored
 from hearth.llm.components import components
 from hearth.llm.group_join import shingle_sets
 from hearth.llm.pair_blocks import between_components, bitmap
@@ -113,9 +113,8 @@ def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(key_filter(nodes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(shared.value).astype(bool)
         for b in rows_of(batches):
-            b = b.filter(pa.array(bits[b.column("x").to_numpy()]))
+            b = b.filter(pa.array(in_filter(shared.value, b.column("x").to_numpy())))
             sets = shingle_sets(b.column("text").to_pylist(), width=SHINGLE)
             digests = [_digest(s) for s in sets]
             yield pa.RecordBatch.from_arrays(

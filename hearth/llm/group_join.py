@@ -7,14 +7,14 @@ order.  The order puts very frequent shingles last (a list of at most
 ``FREQUENT`` of them, which changes the work and never the result).
 
 1. Equal sets are one class (by a 96-bit digest of the sorted set); its smallest doc_id stands for it.
-2. Classes with identical prefix and size are one group; only groups are listed by prefix shingle, and lists
-   of the same groups are one list.
+2. Classes with identical prefix and size are one group; only groups are listed by prefix shingle (the shingles are
+   exchanged once, and one that no other group has goes no further), and lists of the same groups are one list.
 3. A list's pairs are bounded without their sets: with ``u`` prefix shingles
    that no other list member has, the set whose prefix ends earlier in the order can
    share at most ``size - u`` shingles.
 4. Round one verifies few pairs per list: every group against the list's
    centre (the group with the fewest shingles of its own), and members of a group
-   against the group's first.  Links make components.
+   against the group's first; bitmaps rule pairs out before their sets are fetched.  Links make components.
 5. Round two verifies the remaining candidate pairs that join two components:
    in each list, members outside its largest component meet all others in blocks inside tasks,
    and only pairs that the exact bound of their bitmaps allows become rows (``pair_blocks``).
@@ -41,12 +41,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearth.llm.common import checkpoint, id_text, key_filter, rows_of, ship, stored
+from hearth.llm.common import checkpoint, id_text, in_filter, key_filter, rows_of, ship, stored
 from hearth.llm.components import components
-from hearth.llm.pair_blocks import between_components, bitmap
+from hearth.llm.pair_blocks import between_components, bitmap, may_reach
 
 SHINGLE = 5
 #: In hundredths.
@@ -192,9 +192,8 @@ def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast(key_filter(nodes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(shared.value).astype(bool)
         for b in rows_of(batches):
-            b = b.filter(pa.array(bits[b.column("x").to_numpy()]))
+            b = b.filter(pa.array(in_filter(shared.value, b.column("x").to_numpy())))
             sets = shingle_sets(b.column("text").to_pylist())
             keys = [_digest(x) for x in sets]
             yield pa.RecordBatch.from_arrays(
@@ -260,17 +259,19 @@ def _classes(docs: DataFrame, threshold: int, tied: bool) -> tuple[DataFrame, Da
 
     # a group goes by its smallest node; what all its rows share is taken from any of them
     hubs = members.groupBy("group").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("m"))
-    shared_by = [F.first(c).alias(c) for c in ("n", "p", "last_rank", "last_hash", "prefix")]
+    shared_by = [F.first(c).alias(c) for c in ("n", "p", "last_rank", "last_hash")]
     groups = stored(rows.where("n > 0").groupBy("group").agg(*shared_by).join(hubs, "group"), spark, "groups")
-    posted = groups.select("hub", F.explode_outer("prefix").alias("token"))
+    # prefixes are exchanged once by their shingles; a shingle that no other group's prefix has ends there
+    prefixes = rows.where("n > 0").groupBy("group").agg(F.first("prefix").alias("prefix")).join(groups.select("group", "hub"), "group")
+    every = prefixes.select("hub", F.explode("prefix").alias("token")).repartition("token")
+    posted = stored(every.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("c > 1").select("hub", "token"), spark, "postings")
     # a list is told by its length, its ends and 128 bits of its members; equal lists are kept once
     same = [F.count(F.lit(1)).alias("c"), F.min("hub").alias("lo"), F.max("hub").alias("hi"), F.bit_xor(F.xxhash64("hub")).alias("h"), F.bit_xor(F.xxhash64("hub", F.lit(1))).alias("g")]
-    sizes = stored(posted.groupBy("token").agg(*same).where("c > 1"), spark, "lists")
-    shared = posted.join(sizes.select("token"), "token").groupBy("hub").agg(F.count(F.lit(1)).alias("shared"))
+    chosen = posted.groupBy("token").agg(*same).groupBy("c", "lo", "hi", "h", "g").agg(F.min("token").alias("token")).select("token")
+    shared = posted.groupBy("hub").agg(F.count(F.lit(1)).alias("shared"))
     facts = groups.join(shared, "hub").select(
         "group", "hub", "n", "last_rank", "last_hash", (F.col("n") - F.col("p") + F.col("shared")).alias("most")
     )  # most: shingles that the group's sets can share with a set whose prefix ends later
-    chosen = sizes.groupBy("c", "lo", "hi", "h", "g").agg(F.min("token").alias("token")).select("token")
     lists = stored(posted.join(chosen, "token").join(facts, "hub"), spark, "lists")
 
     def possible(a: str, b: str):
@@ -288,7 +289,8 @@ def _classes(docs: DataFrame, threshold: int, tied: bool) -> tuple[DataFrame, Da
     inner = members.join(hubs.where("m > 1"), "group").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     near = spokes.union(inner).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     first = checkpoint(near, spark)
-    links = checkpoint(linked(first), spark)
+    # whole sets are fetched for those alone that their bitmaps allow
+    links = checkpoint(linked(checkpoint(may_reach(first, members.select("node", "n", "bits"), threshold), spark)), spark)
 
     # a doc_id with several texts is one node: it ties their classes together
     several = links.limit(0) if not tied else rows.where("n > 0").join(members.select("k1", "k2", "node"), ["k1", "k2"]).groupBy("doc_id").agg(

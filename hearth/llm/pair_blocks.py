@@ -5,7 +5,7 @@ What is left are pairs between components, and a list with one large component a
 has as many of them as the product.  Here they are told apart inside tasks, on bitmaps, so that
 only pairs that an exact bound allows become rows:
 
-* a set's bitmap has 4 to 8 places a hash; bits of x that y lacks are hashes of x that y lacks, so y shares at
+* a set's bitmap has 2 to 4 places a hash; bits of x that y lacks are hashes of x that y lacks, so y shares at
   most ``|x|`` less their number (and the other way round);
 * a list's members come in blocks of ``BLOCK`` rows, every two blocks of a list once, so a list of any length
   is split over tasks;
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import grouped
+from hearth.llm.common import grouped, rows_of
 
 BLOCK = 1024
 #: Least and most places of a bitmap: a block of the longest sets takes 32 MB.
@@ -32,8 +32,8 @@ LEAST, MOST = 64, 1 << 18
 
 
 def bitmap(s: np.ndarray) -> bytes:
-    """A set of 64-bit hashes as a bitmap of 4 to 8 places a hash (a power of two, ``MOST`` for very large sets, whose bound is weaker)."""
-    places = min(MOST, max(LEAST, 4 << max(len(s) - 1, 0).bit_length()))
+    """A set of 64-bit hashes as a bitmap of 2 to 4 places a hash (a power of two, ``MOST`` for very large sets, whose bound is weaker)."""
+    places = min(MOST, max(LEAST, 2 << max(len(s) - 1, 0).bit_length()))
     bits = np.zeros(places, dtype=np.uint8)
     bits[(s.view(np.uint64) & np.uint64(places - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -92,6 +92,28 @@ def _compare(t: pa.Table, threshold: int) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
 
 
+def may_reach(pairs: DataFrame, facts: DataFrame, threshold: int) -> DataFrame:
+    """The pairs ``a b`` that may reach the threshold by the bound of their bitmaps.  ``facts``: ``node n bits``; where a node has several
+    sets, a pair stays if any of them allow it."""
+    side = lambda s: facts.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("bits").alias(f"bits_{s}"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in rows_of(batches, 8 << 20):
+            keep = []
+            for n, m, x, y in zip(*(b.column(c).to_pylist() for c in ("n_a", "n_b", "bits_a", "bits_b"))):
+                p, q = (np.frombuffer(v, dtype=np.uint64)[None, :] for v in (x, y))
+                while p.shape[1] > q.shape[1]:
+                    p = _folded(p)
+                while q.shape[1] > p.shape[1]:
+                    q = _folded(q)
+                keep.append(bool(may_link(p[0], n, q, np.array([m]), threshold)[0]))
+            m = pa.array(keep, type=pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column("a").filter(m), b.column("b").filter(m)], ["a", "b"])
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+    return both.mapInArrow(run, "a long, b long").distinct()
+
+
 def between_components(lists: DataFrame, label: DataFrame, facts: DataFrame, threshold: int) -> DataFrame:
     """Distinct pairs ``a b`` (a < b) of members of one list but of different components that may reach the threshold.
     ``lists``: ``key node``; ``label``: ``node component``, where a node without a row is its own component;
