@@ -325,9 +325,12 @@ register_fragment("materialize_models", MODEL_COLUMNS["dim_listings"], _material
 
 def _reload(spark, d):
     root = _fresh(spark, "reload")
-    raw = bindings.raw_records(spark, d).select("dataset_name", "source_row_id", "record_hash", "run_id")
-    truncate_reload(_early(bindings.raw_records(spark, d)).select(*raw.columns), root)
-    return truncate_reload(raw, root)  # nothing of the first load stays
+    columns = ["dataset_name", "source_row_id", "record_hash", "run_id"]
+    # both loads read the records: payloads and hashes are worked out once
+    bindings.raw_records(spark, d).select(*columns, "ingested_at").write.parquet(f"{root}/records")
+    raw = spark.read.parquet(f"{root}/records")
+    truncate_reload(_early(raw).select(*columns), f"{root}/table")
+    return truncate_reload(raw.select(*columns), f"{root}/table")  # nothing of the first load stays
 
 
 register_fragment("truncate_reload", KEY_COLS, _reload, "raw_records")
