@@ -14,9 +14,9 @@ minimum of a few contiguous rows.
 3. Round one holds each member of a bucket against the bucket's centre (the member that shares the
    most buckets), on whole sets.  Links make components.
 4. Round two looks between components: in a bucket of several, members outside the largest one meet
-   all others in blocks inside tasks, and only pairs that the exact bound of their bitmaps allows are held
-   against each other on whole sets (``pair_blocks``).  Members of one component are not compared
-   again, so copies are never expanded into pairs, and no bucket is capped.
+   all others in blocks inside tasks, and those whose bitmaps' exact bound allows a pair meet again on whole
+   sets inside tasks (``pair_blocks``).  Members of one component are not compared
+   again, so neither copies nor pairs that miss the threshold are ever expanded into rows, and no bucket is capped.
 
 Sets of documents that share a bucket are the only ones that move, one row a document.
 
@@ -167,9 +167,8 @@ def _links(docs: DataFrame, classes: DataFrame, threshold: int, tied: DataFrame)
     links = checkpoint(_linked(first, sets, threshold).union(tied), spark)
 
     label = components(links)
-    between = between_components(shared.select("key", "node"), label, sets, threshold)
-    rest = checkpoint(between.join(first, ["a", "b"], "left_anti"), spark)
-    return components(links.union(_linked(rest, sets, threshold)))
+    more = between_components(shared.select("key", "node"), label, sets, lambda nodes: sets.select("node", "bytes").join(nodes, "node", "left_semi"), threshold)
+    return components(links.union(more))
 
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

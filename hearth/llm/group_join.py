@@ -15,9 +15,9 @@ order.  The order puts very frequent shingles last (a list of at most
 4. Round one verifies few pairs per list: every group against the list's
    centre (the group with the fewest shingles of its own), and members of a group
    against the group's first; bitmaps rule pairs out before their sets are fetched.  Links make components.
-5. Round two verifies the remaining candidate pairs that join two components:
+5. Round two looks for links that join two components:
    in each list, members outside its largest component meet all others in blocks inside tasks,
-   and only pairs that the exact bound of their bitmaps allows become rows (``pair_blocks``).
+   and those whose bitmaps' exact bound allows a pair meet again on whole sets inside tasks (``pair_blocks``).
    Pairs inside a component can no longer
    change it, so all components are exact although copies are not compared
    with each other.
@@ -302,8 +302,12 @@ def _classes(docs: DataFrame, threshold: int, tied: bool) -> tuple[DataFrame, Da
     alone = members.select("group", "node")
     everyone = lists.select(F.col("token").alias("key"), "group").join(alone, "group").select("key", "node")
     crowds = alone.join(hubs.where("m > 1").select("group"), "group").select(F.col("group").alias("key"), "node")
-    rest = between_components(everyone.union(crowds), label, members.select("node", "n", "bits"), threshold).join(first, ["a", "b"], "left_anti")
-    more = linked(checkpoint(rest, spark))
+
+    def class_sets(nodes: DataFrame) -> DataFrame:
+        wanted = members.join(nodes, "node", "left_semi").select(F.col("first").alias("node"))
+        return _sets_of(docs, wanted).select("k1", "k2", "bytes").dropDuplicates(["k1", "k2"])
+
+    more = between_components(everyone.union(crowds), label, members.select("node", "n", "bits", "k1", "k2"), class_sets, threshold, by=("k1", "k2"))
     label = components(links.union(more).union(several))
     return rows, members.select("k1", "k2", "node").join(label, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
 

@@ -1,32 +1,40 @@
-"""Pairs of sets that may link, found between the components of shared lists.
+"""Links between the components of shared lists.
 
 Joins by lists (buckets, prefix shingles) first link most of a list's members through few pairs.
 What is left are pairs between components, and a list with one large component and many others
-has as many of them as the product.  Here they are told apart inside tasks, on bitmaps, so that
-only pairs that an exact bound allows become rows:
+has as many of them as the product.  Here they are told apart inside tasks, and no pair becomes a row
+unless it joins two components:
 
-* a set's bitmap has 2 to 4 places a hash; bits of x that y lacks are hashes of x that y lacks, so y shares at
+* bitmaps rule most pairs out: a set's bitmap has 2 to 4 places a hash; bits of x that y lacks are hashes of x that y lacks, so y shares at
   most ``|x|`` less their number (and the other way round);
 * a list's members come in blocks of ``BLOCK`` rows, every two blocks of a list once, so a list of any length
   is split over tasks;
 * lists of two members are left out: the first round held one against the other;
-* members of a list's largest component are not compared with each other, nor any two of one component.
-
-No pair that reaches the threshold is lost: the bound holds for every bitmap size.
+* members of a list's largest component are not compared with each other, nor any two of one component;
+* pairs that the bound allows tie their members into crowds: a task gives one row a member, not one a pair, and a
+  member of many lists is in one crowd;
+* in a crowd, members outside its largest component meet all others on whole sets, in blocks bounded by rows and bytes.
+  A link that joins two components of a block becomes a row, others of the same components do not.
+
+No link that would join two components is lost: the bound holds for every bitmap size, each pair that it allows has both
+members in one crowd, and counts are of whole sets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import grouped, rows_of
+from hearth.llm.common import checkpoint, grouped, rows_of
+from hearth.llm.components import components
 
 BLOCK = 1024
+#: Hashes of a block of whole sets, about (16 MB), where its rows are not fewer.
+HASHES = 1 << 21
 #: Least and most places of a bitmap: a block of the longest sets takes 32 MB.
 LEAST, MOST = 64, 1 << 18
 
@@ -114,11 +122,24 @@ def may_reach(pairs: DataFrame, facts: DataFrame, threshold: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
-def between_components(lists: DataFrame, label: DataFrame, facts: DataFrame, threshold: int) -> DataFrame:
-    """Distinct pairs ``a b`` (a < b) of members of one list but of different components that may reach the threshold.
-    ``lists``: ``key node``; ``label``: ``node component``, where a node without a row is its own component;
-    lists of two members were tested by the caller's first round; ``facts``: ``node n bits``, the set's size and ``bitmap``."""
-    placed = lists.join(label.select("node", F.col("component").alias("_c")), "node", "left").select("key", "node", F.coalesce("_c", "node").alias("c"))
+def _roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each node of the pairs ``a b`` but the smallest that it is tied with, and that one: a row a node, however many the pairs."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    root = np.arange(len(nodes))
+    while (root[x] != root[y]).any():
+        p, q = root[x], root[y]
+        np.minimum.at(root, np.maximum(p, q), np.minimum(p, q))
+        while (root[root] != root).any():
+            root = root[root]
+    other = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[other], nodes[root[other]]
+
+
+def ties(lists: DataFrame, label: DataFrame, facts: DataFrame, threshold: int) -> DataFrame:
+    """Pairs ``a b`` that tie all nodes whose pairs may reach the threshold, where these are members of one list but of different
+    components: each such pair has its nodes in one component of the result.  A task gives fewer rows than it reads."""
+    placed = _placed(lists, label)
     parts = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"))
     mixed = parts.groupBy("key").agg(F.max(F.struct("m", "c"))["c"].alias("top"), F.count(F.lit(1)).alias("parts"), F.sum("m").alias("m")).where("parts > 1 and m > 2")
     rows = placed.join(mixed.select("key", "top", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "key").join(facts.select("node", "n", "bits"), "node")
@@ -129,6 +150,78 @@ def between_components(lists: DataFrame, label: DataFrame, facts: DataFrame, thr
         for t in grouped(batches, ["key", "i", "j"]):
             a, b = _compare(t, threshold)
             if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in _roots(a, b)], ["a", "b"])
 
     return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long").distinct()
+
+
+def _placed(lists: DataFrame, label: DataFrame) -> DataFrame:
+    """``key node c``: the members of lists with their components."""
+    return lists.join(label.select("node", F.col("component").alias("_c")), "node", "left").select("key", "node", F.coalesce("_c", "node").alias("c"))
+
+
+def _joining(t: pa.Table, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between the rows of ``outer`` and the others, on whole sets, of different components ``c``: one for every two that they join."""
+    node, c, inner, outer = (t.column(k).to_numpy() for k in ("node", "c", "inner", "outer"))
+    sets = [np.frombuffer(x, dtype=np.int64) for x in t.column("bytes").to_pylist()]
+    n = np.array([len(s) for s in sets])
+    _, c = np.unique(c, return_inverse=True)
+    others = np.flatnonzero(~outer)
+    if not len(others):
+        return node[:0], node[:0]
+    hashes, at = np.unique(np.concatenate([sets[y] for y in others]), return_inverse=True)
+    at = dict(zip(others.tolist(), np.split(at.astype(np.int32), np.cumsum(n[others])[:-1])))
+    left, right, has = [], [], np.zeros(len(hashes), dtype=bool)
+    for x in np.flatnonzero(outer).tolist():
+        ok = (c[others] != c[x]) & (inner[others] | (node[others] > node[x]))  # two outer rows meet in two blocks
+        ok &= (n[others] * 100 >= n[x] * threshold) & (n[x] * 100 >= n[others] * threshold)
+        y = others[ok]
+        if not len(y):
+            continue
+        own = np.minimum(np.searchsorted(hashes, sets[x]), len(hashes) - 1)
+        own = own[hashes[own] == sets[x]]
+        has[own] = True
+        both = np.array([np.count_nonzero(has[at[k]]) for k in y.tolist()])
+        has[own] = False
+        y = y[(100 * both >= threshold * (n[x] + n[y] - both)) & (both > 0)]
+        joined, first = np.unique(c[y], return_index=True)
+        left.append(np.full(len(first), node[x]))
+        right.append(node[y[first]])
+        c[np.isin(c, joined)] = c[x]
+    none = np.zeros(0, dtype=np.int64)
+    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
+
+
+def between_components(
+    lists: DataFrame, label: DataFrame, facts: DataFrame, sets_of: Callable[[DataFrame], DataFrame], threshold: int, by: tuple[str, ...] = ("node",)
+) -> DataFrame:
+    """Links ``a b`` of members of one list but of different components: those that it takes to join all components that links join.
+    ``lists``: ``key node``; ``label``: ``node component``, where a node without a row is its own component;
+    lists of two members were tested by the caller's first round; ``facts``: ``node n bits``, the set's size and ``bitmap``, and the columns ``by``;
+    ``sets_of``: ``bytes`` of the sets of some nodes (and maybe of others), one row for each value of ``by``."""
+    near = checkpoint(ties(lists, label, facts, threshold), lists.sparkSession)
+    if near.isEmpty():
+        return near
+    crowds = components(near).toDF("node", "key")
+    placed = checkpoint(_placed(crowds, label).join(facts.select("node", "n", *(c for c in by if c != "node")), "node"), lists.sparkSession)
+    top = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.max(F.struct("m", "c"))["c"].alias("top"))
+    rows = placed.join(top, "key").withColumn("inner", F.col("c") == F.col("top"))
+    blocks = lambda rows, hashes: F.ceil(F.greatest(rows / BLOCK, hashes / HASHES)).cast("int")
+    one, size = F.lit(1), F.col("n")
+    split = rows.groupBy("key").agg(
+        blocks(F.count(one), F.sum(size)).alias("all"), blocks(F.count(F.when(~F.col("inner"), one)), F.sum(F.when(~F.col("inner"), size))).alias("some")
+    )
+    # each row meets every block of outer rows, and each outer row every block of all rows
+    block = lambda k: F.pmod(F.xxhash64("node"), F.col(k)).cast("int")
+    every = F.transform(F.sequence(F.lit(0), F.col("some") - 1), lambda w: F.struct(w.alias("i"), block("all").alias("j"), F.lit(False).alias("outer")))
+    outer = F.transform(F.sequence(F.lit(0), F.col("all") - 1), lambda w: F.struct(block("some").alias("i"), w.alias("j"), F.lit(True).alias("outer")))
+    rows = rows.join(split, "key").join(sets_of(crowds.select("node")), list(by))
+    rows = rows.withColumn("at", F.explode(F.when(F.col("inner"), every).otherwise(F.concat(every, outer)))).select("key", "at.i", "at.j", "at.outer", "node", "c", "inner", "bytes")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in grouped(batches, ["key", "i", "j"]):
+            a, b = _joining(t, threshold)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return checkpoint(rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long"), lists.sparkSession)
