@@ -5,8 +5,8 @@ What is left are pairs between components, and a list with one large component a
 has as many of them as the product.  Here they are told apart inside tasks, and no pair becomes a row
 unless it joins two components:
 
-* bitmaps rule most pairs out: a set's bitmap has 2 to 4 places a hash; bits of x that y lacks are hashes of x that y lacks, so y shares at
-  most ``|x|`` less their number (and the other way round);
+* bitmaps rule most pairs out: a set's bitmap has 2 to 4 places a hash and tells whether a place holds an odd number of hashes; a place
+  where x and y differ holds a hash that one of them lacks, so they share at most half of ``|x| + |y|`` less the number of such places;
 * a list's members come in blocks of ``BLOCK`` rows, every two blocks of a list once, so a list of any length
   is split over tasks;
 * lists of two members are left out: the first round held one against the other;
@@ -40,23 +40,22 @@ LEAST, MOST = 64, 1 << 18
 
 
 def bitmap(s: np.ndarray) -> bytes:
-    """A set of 64-bit hashes as a bitmap of 2 to 4 places a hash (a power of two, ``MOST`` for very large sets, whose bound is weaker)."""
+    """A set of 64-bit hashes as a bitmap of 2 to 4 places a hash, set where their number is odd (a power of two, ``MOST`` for very large sets, whose bound is weaker)."""
     places = min(MOST, max(LEAST, 2 << max(len(s) - 1, 0).bit_length()))
-    bits = np.zeros(places, dtype=np.uint8)
-    bits[(s.view(np.uint64) & np.uint64(places - 1)).astype(np.int64)] = 1
-    return np.packbits(bits, bitorder="little").tobytes()
+    held = np.bincount((s.view(np.uint64) & np.uint64(places - 1)).astype(np.int64), minlength=places)
+    return np.packbits((held & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
 def _folded(rows: np.ndarray) -> np.ndarray:
     """Bitmaps of half the places, which hold the same hashes."""
     half = rows.shape[1] // 2
-    return rows[:, :half] | rows[:, half:]
+    return rows[:, :half] ^ rows[:, half:]
 
 
 def may_link(x: np.ndarray, n: int, others: np.ndarray, sizes: np.ndarray, threshold: int) -> np.ndarray:
     """Whether the set of ``n`` hashes with the bitmap ``x`` can reach the threshold with each of ``others`` (rows of as many words)."""
-    most = np.minimum(n - np.bitwise_count(x & ~others).sum(axis=1, dtype=np.int64), sizes - np.bitwise_count(others & ~x).sum(axis=1, dtype=np.int64))
-    return most * (100 + threshold) >= (n + sizes) * threshold
+    twice = n + sizes - np.bitwise_count(x ^ others).sum(axis=1, dtype=np.int64)  # twice the hashes that they can share
+    return twice * (100 + threshold) >= 2 * (n + sizes) * threshold
 
 
 class _Rows:
