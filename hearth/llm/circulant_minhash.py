@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearth.llm.common import checkpoint, id_text, in_filter, key_filter, rows_of, ship, stored
-from hearth.llm.components import components
+from hearth.llm.components import components, joined
 from hearth.llm.group_join import shingle_sets
 from hearth.llm.pair_blocks import between_components, bitmap
 
@@ -168,7 +168,7 @@ def _links(docs: DataFrame, classes: DataFrame, threshold: int, tied: DataFrame)
 
     label = components(links)
     more = between_components(shared.select("key", "node"), label, sets, lambda nodes: sets.select("node", "bytes").join(nodes, "node", "left_semi"), threshold)
-    return components(links.union(more))
+    return joined(label, more)
 
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -37,3 +37,13 @@ def components(links: DataFrame) -> DataFrame:
         label = new.select("node", "c")
         if not changed:
             return label.toDF("node", "component")
+
+
+def joined(label: DataFrame, more: DataFrame) -> DataFrame:
+    """``label`` (``node component``, where a node without a row is its own component) after the components of the pairs ``more`` (``a b``,
+    cut by ``checkpoint``) became one.  Only the graph of these pairs is gone through."""
+    if more.isEmpty():
+        return label
+    found = components(more).toDF("component", "to")
+    every = label.select("node", "component").union(found.select("component", "component")).distinct()
+    return every.join(found, "component", "left").select("node", F.coalesce("to", "component").alias("component"))

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearth.llm.common import checkpoint, id_text, in_filter, key_filter, rows_of, ship, stored
-from hearth.llm.components import components
+from hearth.llm.components import components, joined
 from hearth.llm.pair_blocks import between_components, bitmap, may_reach
 
 SHINGLE = 5
@@ -308,7 +308,7 @@ def _classes(docs: DataFrame, threshold: int, tied: bool) -> tuple[DataFrame, Da
         return _sets_of(docs, wanted).select("k1", "k2", "bytes").dropDuplicates(["k1", "k2"])
 
     more = between_components(everyone.union(crowds), label, members.select("node", "n", "bits", "k1", "k2"), class_sets, threshold, by=("k1", "k2"))
-    label = components(links.union(more).union(several))
+    label = joined(label, more)
     return rows, members.select("k1", "k2", "node").join(label, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
 
 

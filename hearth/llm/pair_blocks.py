@@ -160,11 +160,11 @@ def _placed(lists: DataFrame, label: DataFrame) -> DataFrame:
 
 
 def _joining(t: pa.Table, threshold: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links between the rows of ``outer`` and the others, on whole sets, of different components ``c``: one for every two that they join."""
-    node, c, inner, outer = (t.column(k).to_numpy() for k in ("node", "c", "inner", "outer"))
+    """Pairs of components ``c`` that links between the rows of ``outer`` and the others, on whole sets, join: as few as join them all."""
+    node, of, inner, outer = (t.column(k).to_numpy() for k in ("node", "c", "inner", "outer"))
     sets = [np.frombuffer(x, dtype=np.int64) for x in t.column("bytes").to_pylist()]
     n = np.array([len(s) for s in sets])
-    _, c = np.unique(c, return_inverse=True)
+    _, c = np.unique(of, return_inverse=True)
     others = np.flatnonzero(~outer)
     if not len(others):
         return node[:0], node[:0]
@@ -184,8 +184,8 @@ def _joining(t: pa.Table, threshold: int) -> tuple[np.ndarray, np.ndarray]:
         has[own] = False
         y = y[(100 * both >= threshold * (n[x] + n[y] - both)) & (both > 0)]
         joined, first = np.unique(c[y], return_index=True)
-        left.append(np.full(len(first), node[x]))
-        right.append(node[y[first]])
+        left.append(np.full(len(first), of[x]))
+        right.append(of[y[first]])
         c[np.isin(c, joined)] = c[x]
     none = np.zeros(0, dtype=np.int64)
     return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
@@ -194,7 +194,7 @@ def _joining(t: pa.Table, threshold: int) -> tuple[np.ndarray, np.ndarray]:
 def between_components(
     lists: DataFrame, label: DataFrame, facts: DataFrame, sets_of: Callable[[DataFrame], DataFrame], threshold: int, by: tuple[str, ...] = ("node",)
 ) -> DataFrame:
-    """Links ``a b`` of members of one list but of different components: those that it takes to join all components that links join.
+    """Pairs ``a b`` of components that links of members of one list join: those that it takes to join all of them (see ``components.joined``).
     ``lists``: ``key node``; ``label``: ``node component``, where a node without a row is its own component;
     lists of two members were tested by the caller's first round; ``facts``: ``node n bits``, the set's size and ``bitmap``, and the columns ``by``;
     ``sets_of``: ``bytes`` of the sets of some nodes (and maybe of others), one row for each value of ``by``."""

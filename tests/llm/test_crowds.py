@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 
 from hearth.llm import circulant_minhash, group_join, pair_blocks
+from hearth.llm.components import joined
 
 MEMBERS, OUTSIDERS = 90, 40
 
@@ -90,6 +91,14 @@ def test_links_between_components_match_all_pairs(spark, monkeypatch):
     assert mine == root and len(set(root.values())) > 2
 
 
+def test_components_are_joined_by_few_pairs(spark):
+    label = spark.createDataFrame([(1, 1), (4, 1), (3, 3), (5, 3), (6, 6), (7, 6)], "node long, component long")
+    pairs = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    after = {r["node"]: r["component"] for r in joined(label, pairs([(3, 1), (2, 6), (9, 8)])).collect()}
+    assert after == {1: 1, 4: 1, 3: 1, 5: 1, 6: 2, 7: 2, 2: 2, 9: 8, 8: 8}
+    assert joined(label, pairs([])).count() == 6
+
+
 def test_a_task_ties_nodes_by_fewer_rows_than_it_reads():
     a, b = (x.reshape(-1) for x in np.meshgrid(np.arange(5, 100), np.arange(100, 180)))
     node, first = pair_blocks._roots(np.r_[a, 7], np.r_[b, 300])
@@ -103,4 +112,4 @@ def test_sets_of_one_component_are_joined_once():
     rows = [(1, 5, False, True, s), (2, 0, True, False, s), (3, 0, True, False, s), (4, 6, False, False, s[:90]), (6, 7, False, False, s[:10]), (7, 8, False, False, s[:0])]
     t = pa.table({**{k: [r[i] for r in rows] for i, k in enumerate(("node", "c", "inner", "outer"))}, "bytes": [r[4].tobytes() for r in rows]})
     a, b = pair_blocks._joining(t, 80)
-    assert sorted(zip(a.tolist(), b.tolist())) == [(1, 2), (1, 4)]
+    assert sorted(zip(a.tolist(), b.tolist())) == [(5, 0), (5, 6)]
