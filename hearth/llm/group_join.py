@@ -53,6 +53,8 @@ SHINGLE = 5
 THRESHOLD = 80
 #: Frequent shingles that the order puts last, at most (8 bytes each), and how often one task must see a shingle to report it.
 FREQUENT, REPORTED = 1 << 17, 4
+#: Shingles that a task counts together (8 MB), about.
+COUNTED = 1 << 20
 _MULTIPLIER = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)
 #: Bytes as they count: A-Z lower-cased, separators 0, others one more than they are (UTF-8 keeps words apart by these bytes alone).
 _BYTE = np.array([0 if c == 0x20 or 9 <= c <= 13 else (c + 32 if 65 <= c <= 90 else c) + 1 for c in range(256)], dtype=np.uint64)
@@ -70,7 +72,7 @@ def _powers(n: int, known: list[np.ndarray] = []) -> np.ndarray:  # noqa: B006
     return known[0]
 
 
-def shingle_sets(texts: list[str], at_once: int = 1 << 20, width: int = SHINGLE) -> list[np.ndarray]:
+def shingle_sets(texts: list[str], at_once: int = 1 << 18, width: int = SHINGLE) -> list[np.ndarray]:
     """Sorted distinct hashes (int64) of each text's shingles of ``width`` words; texts are worked on in whole arrays of about
     ``at_once`` characters (or one longer text), which bounds the memory."""
     out: list[np.ndarray] = []
@@ -131,12 +133,21 @@ def _prefix_length(n: np.ndarray | int, t: int) -> np.ndarray | int:
 def _frequent(docs: DataFrame) -> np.ndarray:
     """Hashes of the most frequent shingles by rising count, at most ``FREQUENT``."""
 
+    def counted(every: list[np.ndarray]) -> pa.RecordBatch:
+        h, c = np.unique(np.concatenate(every), return_counts=True)
+        often = c >= REPORTED
+        return pa.RecordBatch.from_arrays([pa.array(h[often]), pa.array(c[often].astype(np.int64))], ["hash", "c"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in rows_of(batches, 8 << 20):
-            every = shingle_sets(b.column("text").to_pylist())
-            h, c = np.unique(np.concatenate(every), return_counts=True) if every else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-            often = c >= REPORTED
-            yield pa.RecordBatch.from_arrays([pa.array(h[often]), pa.array(c[often].astype(np.int64))], ["hash", "c"])
+        every, held = [], 0
+        for b in rows_of(batches):
+            sets = shingle_sets(b.column("text").to_pylist())
+            every, held = every + sets, held + sum(map(len, sets))
+            if held >= COUNTED:
+                yield counted(every)
+                every, held = [], 0
+        if every:
+            yield counted(every)
 
     counts = docs.select("text").mapInArrow(run, "hash long, c long").groupBy("hash").agg(F.sum("c").alias("c"))
     top = counts.orderBy(F.col("c").desc(), "hash").limit(FREQUENT).toPandas()

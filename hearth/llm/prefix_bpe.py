@@ -45,6 +45,8 @@ from hearth.llm.common import id_text, rows_of, ship
 SHORT = 48
 #: Strings that a worker remembers before it starts anew.
 REMEMBERED = 300_000
+#: Bytes of text that are cut into pieces at once: each piece is a string of its own, about ten times its bytes.
+SLICE = 1 << 20
 _NONE = np.int64(1 << 40)
 #: Odd multipliers of the rolling hash and of the places in small tables.
 _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -346,7 +348,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, pattern)
-        for b in rows_of(batches):
+        for b in rows_of(batches, SLICE):
             ids = [np.frombuffer(x, dtype="<u4").astype(np.int32) for x in enc.encode_texts(b.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, type=pa.list_(pa.int32()))], ["doc_id", "ids"])
 
@@ -359,7 +361,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, pattern)
-        for b in rows_of(batches):
+        for b in rows_of(batches, SLICE):
             ids = enc.encode_texts(b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [

@@ -341,7 +341,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Machine:
             chosen.append((i, t))
     if not chosen:
         return train([], [])
-    wanted = docs.sparkSession.createDataFrame(chosen, "doc_id long, t long")
+    # as an Arrow table: rows of Python objects would start workers of their own, which stay beside those that score
+    wanted = docs.sparkSession.createDataFrame(pa.table(list(map(list, zip(*chosen))), names=["doc_id", "t"]))
     rows = picked.withColumn("t", F.xxhash64("text")).join(F.broadcast(wanted), ["doc_id", "t"], "left_semi")
     rows = rows.select("y", "text", "o", "t").dropDuplicates(["o", "text", "y"])
 
