@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import id_text, rows_of, ship
+from hearth.llm.common import give_back, id_text, rows_of, ship
 
 #: Labelled documents of each label that training takes at most, and their characters in all.
 SAMPLE, SAMPLE_CHARS = 2_500, 24_000_000
@@ -272,11 +272,14 @@ def train_bags(words: Iterable[Iterable[str]], labels: list[int]) -> Machine:
         new = [w for w in positives + negatives if w not in known]
         for at in range(0, len(new), PART):  # feature maps of a part of the words at once
             known.update(zip(new[at : at + PART], _kernel(_features(new[at : at + PART]), mark) @ root))
-        x = np.array([known[w] for w in positives + negatives])
+        x = np.ones((len(positives) + len(negatives), root.shape[1] + 1))  # the last column stays: the intercept's
+        for i, v in enumerate(positives + negatives):
+            x[i, :-1] = known[v]
         y = np.r_[np.ones(len(positives)), -np.ones(len(negatives))]
         often = np.array([1.0 + in_toxic[w] for w in positives] + [1.0 + in_clean[w] ** 0.5 for w in negatives])  # a word counts by its documents
         weight = often * np.where(y > 0, 0.5 / often[y > 0].sum(), 0.5 / often[y < 0].sum())
         w, b = _squared_hinge(x, y, weight)
+        del x
         table = table_of(w)
         margin = np.concatenate([word_margins(part.astype(np.int64), table) for part in laid]) + b
         best = np.array([margin[i].max() if len(i) else -10.0 for i in numbers])
@@ -293,9 +296,8 @@ def train_bags(words: Iterable[Iterable[str]], labels: list[int]) -> Machine:
     return machine
 
 
-def _squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 20_000.0) -> tuple[np.ndarray, float]:
-    """Newton steps on ``|w|^2 / 2 + c * sum(weight * max(0, 1 - y f)^2)``."""
-    z = np.c_[x, np.ones(len(x))]
+def _squared_hinge(z: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 20_000.0) -> tuple[np.ndarray, float]:
+    """Newton steps on ``|w|^2 / 2 + c * sum(weight * max(0, 1 - y f)^2)``; the last column of ``z`` is the intercept's, all ones."""
     w = np.zeros(z.shape[1])
     ridge = np.eye(z.shape[1])
     ridge[-1, -1] = 1e-6
@@ -354,7 +356,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Machine:
     # words, each once a document, come to the driver, not texts
     ship(docs.sparkSession)
     found = rows.mapInArrow(bags, "o long, t long, y int, words string").orderBy("o", "t", "y").toArrow()
-    return train_bags((w.as_py().split(chr(BASE))[1:] for w in found.column("words")), found.column("y").to_pylist())
+    machine = train_bags((w.as_py().split(chr(BASE))[1:] for w in found.column("words")), found.column("y").to_pylist())
+    del found
+    give_back()
+    return machine
 
 
 def score_documents(docs: DataFrame, machine: Machine) -> DataFrame:
