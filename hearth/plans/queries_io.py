@@ -14,11 +14,13 @@ from hearth.plans.oracle import compose
 from hearth.plans.graph import SHARED_MODELS, ModelGraph
 from hearth.plans.registry import MODEL_COLUMNS, register, register_fragment
 from hearth.schemas import ENVELOPE_KEYS
-from hearth.session import ensure_checkpoint_dir, scratch_path
+from hearth.session import ensure_checkpoint_dir, frugal_writes, scratch_path
 from hearth.sources.catalog import register_raw_table
 from hearth.sources.files import read_csv_rows, read_json_rows, read_normalized
 from hearth.sources.key_index import append_indexed, upsert_indexed
-from hearth.sources.sinks import EXTRACTS, LANDED_ROWS, append_audit, extract, materialize, truncate_reload, upsert_partitions, write_normalized
+from hearth.sources.sinks import (
+    EXTRACTS, LANDED_ROWS, TABLE_CODEC, append_audit, extract, materialize, remove_folder, truncate_reload, upsert_partitions, write_normalized,
+)
 from hearth.streaming.ingest import ingest_available, landed_stream, stream_insert_ignore
 
 
@@ -229,11 +231,17 @@ register_fragment("stream_dedupe", KEY_COLS, _stream_dedupe, "raw_records")
 
 
 def _append_indexed(spark, d):
-    root = _fresh(spark, "indexed") + "/raw"
-    raw = bindings.raw_records(spark, d).select("dataset_name", "source_row_id", "record_hash", "run_id")
-    append_indexed(_early(bindings.raw_records(spark, d)).select(*raw.columns), root, ENVELOPE_KEYS)
-    append_indexed(raw, root, ENVELOPE_KEYS)
-    append_indexed(raw, root, ENVELOPE_KEYS)  # a replay appends nothing
+    base = _fresh(spark, "indexed")
+    root, records = f"{base}/raw", f"{base}/records"
+    columns = ["dataset_name", "source_row_id", "record_hash", "run_id"]
+    # each append goes over its batch more than once: payloads and hashes are worked out once for all of them
+    with frugal_writes(spark):
+        bindings.raw_records(spark, d).select(*columns, "ingested_at").write.option("compression", TABLE_CODEC).parquet(records)
+    raw = spark.read.parquet(records)
+    append_indexed(_early(raw).select(*columns), root, ENVELOPE_KEYS)
+    append_indexed(raw.select(*columns), root, ENVELOPE_KEYS)
+    append_indexed(raw.select(*columns), root, ENVELOPE_KEYS)  # a replay appends nothing
+    remove_folder(spark, records)
     return spark.read.parquet(root)
 
 

@@ -21,10 +21,11 @@ from pyspark.sql import types as T
 
 from hearth.session import frugal_writes, scratch_path
 
-#: Places of the bitmap for each shared hash (a share of 1/64 of the other rows is compared in vain), and its size at most: 32 MB.
+#: Places of the bitmap for each shared hash (a share of 1/64 of the other rows is compared in vain), and the most it has, 32 MB.
+#: Both are powers of two.
 PLACES, MOST_PLACES = 64, 1 << 28
 #: Rows that are compared at once, about.
-SLICE_ROWS = 8_000_000
+SLICE_ROWS = 16_000_000
 
 #: Types of which equal values have equal hashes, on either side of a join.
 _PLAIN = (T.StringType, T.BinaryType, T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -52,7 +53,7 @@ def shared_hashes(batch: DataFrame, target: DataFrame | None, keys: Sequence[str
 
 def _marks(shared: DataFrame, places: int) -> DataFrame:
     """The bitmap: ``__words``, 64 words of 64 places each, for each ``__chunk`` that has a mark."""
-    at = F.pmod(F.col("h"), F.lit(places))
+    at = F.col("h").bitwiseAND(F.lit(places - 1))
     words = shared.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 AS INT)))").alias("bits"))
     chunks = words.groupBy(F.shiftright("word", 6).alias("__chunk")).agg(
         F.map_from_entries(F.collect_list(F.struct(F.expr("cast(word & 63 AS INT)"), "bits"))).alias("m")
@@ -65,7 +66,7 @@ def _marked(df: DataFrame, marks: DataFrame, places: int, keys: Sequence[str], w
     h = df.withColumn("__h", key_hash(keys))
     if slices > 1:
         h = h.where(F.pmod(F.shiftright("__h", 40), F.lit(slices)) == number)
-    at = h.withColumn("__at", F.pmod(F.col("__h"), F.lit(places))).withColumn("__chunk", F.shiftright("__at", 12))
+    at = h.withColumn("__at", F.col("__h").bitwiseAND(F.lit(places - 1))).withColumn("__chunk", F.shiftright("__at", 12))
     hit = F.expr("coalesce(shiftright(get(__words, cast(shiftright(__at, 6) & 63 AS INT)), cast(__at & 63 AS INT)) & 1L, 0L) = 1L")
     return at.join(F.broadcast(marks), "__chunk", "inner" if want else "left").where(hit if want else ~hit).select(*df.columns)
 
@@ -123,8 +124,12 @@ def fresh_rows(
             with frugal_writes(spark):
                 part.write.mode("append").option("compression", "zstd").parquet(f"{scratch}/rest")
         rest = spark.read.schema(part.schema).parquet(f"{scratch}/rest")
-        if hashes is not None and pick is None and hashes.count() == count:
-            yield rest  # every key was compared
+        whole = False  # whether every key was compared
+        if hashes is not None and pick is None:
+            with frugal_writes(spark):
+                whole = hashes.count() == count
+        if whole:
+            yield rest
         else:
             yield _marked(batch, marks, places, keys, False).unionByName(rest)
     finally:

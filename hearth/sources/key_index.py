@@ -21,13 +21,16 @@ m = n = 10**6 unless b is 10**12.  Eight bytes a key rule files out at any size.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.sources.sinks import data_files, file_under, remove_folder, table_exists
+from hearth.session import frugal_writes, scratch_path
+from hearth.sources.fresh import fresh_rows, key_hash
+from hearth.sources.sinks import TABLE_CODEC, data_files, file_under, remove_folder, table_exists
 
 #: Folders of the index.  At 100 TB some thousand keep a bucket of 10**12 keys at the size of one task.
 BUCKETS = 64
@@ -38,10 +41,6 @@ class RepeatedKeyError(ValueError):
     pass
 
 
-def _hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(k) for k in keys])
-
-
 def _bucket(buckets: int) -> Column:
     return F.pmod(F.col("h"), F.lit(buckets)).cast("int")
 
@@ -57,8 +56,9 @@ def cover(spark: SparkSession, root: str, keys: Sequence[str], buckets: int = BU
     root = root.rstrip("/")
     new = sorted(set(data_files(spark, root)) - covered_files(spark, root))
     if new:
-        rows = read_files(spark, root, new).select(_hash(keys).alias("h"), file_under(spark, root).alias("file")).distinct()
-        rows.withColumn("bucket", _bucket(buckets)).repartition("bucket").write.mode("append").partitionBy("bucket").parquet(f"{root}/{INDEX}")
+        rows = read_files(spark, root, new).select(key_hash(keys).alias("h"), file_under(spark, root).alias("file"))
+        with frugal_writes(spark):  # equal entries are in the same bucket: one shuffle serves both
+            rows.withColumn("bucket", _bucket(buckets)).repartition("bucket").distinct().write.mode("append").partitionBy("bucket").parquet(f"{root}/{INDEX}")
         # files count as covered once their entries are there
         spark.createDataFrame([(f,) for f in new], "file string").coalesce(1).write.mode("append").parquet(f"{root}/{COVERED}")
     return new
@@ -69,41 +69,63 @@ def read_files(spark: SparkSession, root: str, files: Sequence[str]) -> DataFram
     return spark.read.option("basePath", root).schema(spark.read.parquet(root).schema).parquet(*[f"{root}/{unquote(f)}" for f in files])
 
 
-def files_with_keys(batch: DataFrame, root: str, keys: Sequence[str], buckets: int = BUCKETS) -> list[str]:
-    """Data files that may hold a key of ``batch``: those with one of its hashes, and those that are not covered."""
-    from hearth.session import scratch_path
+@contextmanager
+def stored_hashes(batch: DataFrame, keys: Sequence[str]) -> Iterator[DataFrame]:
+    """The distinct key hashes ``h`` of a batch, written once, eight bytes a key: the filters that a join infers would
+    work out the batch's key columns again."""
+    path = scratch_path(batch.sparkSession, f"hashes-{uuid.uuid4().hex}")
+    try:
+        with frugal_writes(batch.sparkSession):
+            batch.select(key_hash(keys).alias("h")).distinct().write.parquet(path)
+        yield batch.sparkSession.read.parquet(path)
+    finally:
+        remove_folder(batch.sparkSession, path)
 
-    spark = batch.sparkSession
+
+def files_with_hashes(spark: SparkSession, hashes: DataFrame, root: str, buckets: int = BUCKETS) -> list[str]:
+    """Data files that may hold a key with one of the hashes: those with one of them, and those that are not covered."""
     root = root.rstrip("/")
     there = set(data_files(spark, root))
     covered = covered_files(spark, root) & there
     found: set[str] = set()
     if covered:
-        # eight bytes a key, written once: the filters that a join infers would work out the batch's key columns again
-        path = scratch_path(spark, f"hashes-{uuid.uuid4().hex}")
-        batch.select(_hash(keys).alias("h")).distinct().write.parquet(path)
-        hashes = spark.read.parquet(path).withColumn("bucket", _bucket(buckets))
-        touched = [r["bucket"] for r in hashes.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
-        if touched:
-            index = spark.read.parquet(f"{root}/{INDEX}").where(F.col("bucket").isin(touched))
-            found = {r["file"] for r in index.join(hashes, ["bucket", "h"], "left_semi").select("file").distinct().collect()}
+        hashes = hashes.withColumn("bucket", _bucket(buckets))
+        with frugal_writes(spark):
+            touched = [r["bucket"] for r in hashes.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
+            if touched:
+                index = spark.read.parquet(f"{root}/{INDEX}").where(F.col("bucket").isin(touched))
+                found = {r["file"] for r in index.join(hashes, ["bucket", "h"], "left_semi").select("file").distinct().collect()}
     return sorted((found & there) | (there - covered))
 
 
+def files_with_keys(batch: DataFrame, root: str, keys: Sequence[str], buckets: int = BUCKETS) -> list[str]:
+    """Data files that may hold a key of ``batch``."""
+    with stored_hashes(batch, keys) as hashes:
+        return files_with_hashes(batch.sparkSession, hashes, root, buckets)
+
+
 def append_indexed(
     batch: DataFrame, root: str, keys: Sequence[str], partition_by: Sequence[str] = ("dataset_name",), buckets: int = BUCKETS
 ) -> list[str]:
     """Insert-only load like ``sinks.append_new``, by the index: append the rows of ``batch`` whose key the table does not hold.
+    The batch is worked out twice, or three times where some of its keys are there already and others are not.
     Returns the old data files that were read."""
     spark = batch.sparkSession
     root = root.rstrip("/")
+
+    def append(rows: DataFrame) -> None:
+        with frugal_writes(spark):
+            rows.write.mode("append").option("compression", TABLE_CODEC).partitionBy(*partition_by).parquet(root)
+
     read: list[str] = []
-    fresh = batch
     if table_exists(spark, root):
-        read = files_with_keys(batch, root, keys, buckets)
-        if read:
-            fresh = batch.join(read_files(spark, root, read).select(*keys), list(keys), "left_anti")
-    fresh.write.mode("append").partitionBy(*partition_by).parquet(root)
+        with stored_hashes(batch, keys) as hashes:
+            read = files_with_hashes(spark, hashes, root, buckets)
+            held = read_files(spark, root, read).select(*keys) if read else None
+            with fresh_rows(batch, held, keys, hashes=hashes) as fresh:
+                append(fresh)
+    else:
+        append(batch)
     cover(spark, root, keys, buckets)
     return read
 

@@ -5,10 +5,13 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from hearth.operators.envelope import SourceSpec, to_raw_records
 from hearth.operators.merge import first_per_key, new_rows
 from hearth.session import frugal_writes
-from hearth.sources import fresh, sinks
+from hearth.plans import queries_io
+from hearth.sources import fresh, key_index, sinks
 
+SPEC = SourceSpec("feed_f", "t", "u", ("id",))
 SCHEMA = "part string, id string, v long"
 
 
@@ -83,3 +86,27 @@ def test_settings_come_back(spark):
         assert spark.conf.get(name) != before
         raise ValueError
     assert spark.conf.get(name) == before
+
+
+def _feed(spark, n):
+    src = spark.range(n).select(F.col("id").cast("string").alias("id"), (F.col("id") % 7).cast("string").alias("v"))
+    return to_raw_records(src, SPEC, "run-1999", "1999-05-01 00:00:00")
+
+
+def test_indexed_appends_work_the_records_out_once(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(queries_io.bindings, "raw_records", lambda s, d: calls.append(d) or _feed(s, 300))
+    got = queries_io._append_indexed(spark, "")
+    columns = ["dataset_name", "source_row_id", "record_hash", "run_id"]
+    assert _sorted(got.select(*columns)) == _sorted(_feed(spark, 300).select(*columns))
+    assert len(calls) == 1
+
+
+def test_an_indexed_append_leaves_no_shuffles(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(fresh, "SLICE_ROWS", 100)
+    root = str(tmp_path / "t")
+    before = _shuffle_files(spark)
+    for n in (300, 400, 400):
+        key_index.append_indexed(_feed(spark, n).drop("payload"), root, ["dataset_name", "source_row_id"])
+    assert not _shuffle_files(spark) - before
+    assert spark.read.parquet(root).count() == 400
