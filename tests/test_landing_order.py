@@ -1,5 +1,6 @@
 """Records are landed with like rows together and by writes that leave no shuffles and sort no whole rows; rows are the same."""
 
+import gzip
 import os
 
 from pyspark.sql import functions as F
@@ -73,3 +74,24 @@ def test_landing_leaves_no_shuffles(spark, tmp_path):
     sinks.write_normalized(_feed(spark, 200), str(tmp_path / "l"))
     assert not _shuffle_files(spark) - before
     assert read_normalized(spark, str(tmp_path / "l")).count() == 200
+
+
+def test_tolerant_scan_works_its_records_out_once(spark, tmp_path, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    def records(s, d):
+        return _feed(s, 50).withColumn("source_row_id", counted("source_row_id"))
+
+    monkeypatch.setattr(queries_io, "_fresh", lambda spark, label: str(tmp_path / label))
+    monkeypatch.setattr(queries_io.bindings, "raw_records", records)
+    before = _shuffle_files(spark)
+    out = queries_io._jsonl_tolerant(spark, "")
+    assert seen.value == 50 and not _shuffle_files(spark) - before
+    assert _text(out) == _text(_feed(spark, 50))
+    lines = [line for f in _files(tmp_path) for line in gzip.open(f, "rt").read().splitlines()]
+    assert len(lines) == 100 and sum("broken" in line for line in lines) == 50
