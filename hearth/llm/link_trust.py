@@ -98,7 +98,7 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 
 def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """``host trust distrust`` from ``seeds`` (``host allowed blocked``: pages)."""
+    """``host trust distrust`` from ``seeds`` (``host allowed blocked``: pages), also of the hosts that no mass came to."""
     spark = edges.sparkSession
     ways = edges.select(F.lit("trust").alias("kind"), "src", "dst", "weight").union(
         edges.select(F.lit("distrust"), F.col("dst"), F.col("src"), "weight")  # distrust runs from a host to those that link to it
@@ -123,7 +123,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataF
         if r % 3 == 2 and r + 1 < rounds:
             mass = checkpoint(mass, spark)
     pick = lambda k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("mass"))), F.lit(0)).alias(k)
-    return mass.groupBy("host").agg(pick("trust"), pick("distrust"))
+    unreached = ways.select("kind", F.col("dst").alias("host"), F.lit(0).cast("bigint").alias("mass"))  # of a pair of hosts, each is a dst of one kind
+    return mass.union(unreached).groupBy("host").agg(pick("trust"), pick("distrust"))
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
